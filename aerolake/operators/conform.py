@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.functions import clock, text
+from aerolake.functions import clock, rules, text
 
 
 def stamp(df: DataFrame, name: str, value: object = None) -> DataFrame:
@@ -57,14 +57,11 @@ def decimal_comma(df: DataFrame, col: str, out: str) -> DataFrame:
 
 
 def on_time(df: DataFrame, metric: str, out: str, threshold: int = 15) -> DataFrame:
-    """Within the threshold; an unknown delay stays unknown, an early leg is on time."""
-    return df.withColumn(out, F.col(metric) <= F.lit(threshold))
+    return df.withColumn(out, rules.on_time(F.col(metric), threshold))
 
 
 def on_time_by_clock(df: DataFrame, planned: str, actual: str, out: str) -> DataFrame:
-    """No later than planned. Unknown without an actual time, but FALSE without a planned one."""
-    kept = F.coalesce(F.col(actual) <= F.col(planned), F.lit(False))
-    return df.withColumn(out, F.when(F.col(actual).isNotNull(), kept))
+    return df.withColumn(out, rules.on_time_by_clock(F.col(planned), F.col(actual)))
 
 
 def classify(
@@ -75,17 +72,7 @@ def classify(
     default: str | None = None,
     by_prefix: bool = False,
 ) -> DataFrame:
-    """Label a code by the set (or the prefixes) it belongs to."""
-    answer: Column = F.lit(default).cast("string")
-    for label, values in reversed(labels.items()):
-        if by_prefix:
-            belongs = F.lit(False)
-            for prefix in values:
-                belongs = belongs | F.col(col).startswith(prefix)
-        else:
-            belongs = F.col(col).isin(*values)
-        answer = F.when(belongs, label).otherwise(answer)
-    return df.withColumn(out, answer)
+    return df.withColumn(out, rules.classified(F.col(col), labels, default, by_prefix))
 
 
 def calendar_parts(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from aerolake.functions import measures, text
+from aerolake.sources.seed import seed_table
 
 DICTIONARY = "camada string, tabela string, coluna string, comentario string"
 TAGS = "camada string, tabela string, etiqueta string, valor string"
@@ -23,7 +24,7 @@ def data_dictionary(spark: SparkSession, schemas: Mapping[tuple[str, str], Struc
         for (layer, table), schema in schemas.items()
         for field in schema.fields
     ]
-    return spark.createDataFrame(rows, DICTIONARY)
+    return seed_table(spark, rows, DICTIONARY)
 
 
 def dictionary_gaps(dictionary: DataFrame, schema: DataFrame) -> DataFrame:
@@ -52,7 +53,7 @@ def doc_coverage(dictionary: DataFrame, by: Sequence[str], with_percent: bool =
 def tag_rows(spark: SparkSession, tags: Mapping[tuple[str, str], Mapping[str, str]]) -> DataFrame:
     """Tag sets of the tables as (camada, tabela, etiqueta, valor)."""
     rows = [(*table, k, v) for table, pairs in tags.items() for k, v in pairs.items()]
-    return spark.createDataFrame(rows, TAGS)
+    return seed_table(spark, rows, TAGS)
 
 
 def tag_listing(tags: DataFrame, layer: str) -> DataFrame:
@@ -65,7 +66,7 @@ def edge_rows(
     spark: SparkSession, target: str, sources: Sequence[str], run_date: dt.date
 ) -> DataFrame:
     """Lineage edges of one write. A blank source stands for a raw file."""
-    return spark.createDataFrame([(s, target, run_date) for s in sources], EDGES)
+    return seed_table(spark, [(s, target, run_date) for s in sources], EDGES)
 
 
 def lineage_edges(

@@ -61,6 +61,7 @@ def join_lookup(
     side = _with_policy(side, on_duplicate)
 
     condition = F.col(key) == F.col(MATCH)
+    helpers = [MATCH]
     left = df
     if salts > 1:
         # The salt depends on the row alone, so a recomputed task deals out the same salts.
@@ -69,16 +70,17 @@ def join_lookup(
         every_salt = F.array(*[F.lit(n).cast("long") for n in range(salts)])
         side = side.withColumn(SALT + "_side", F.explode(every_salt))
         condition = condition & (F.col(SALT) == F.col(SALT + "_side"))
+        helpers += [SALT, SALT + "_side"]
     joined = left.join(F.broadcast(side) if fixed else side, condition, "left")
 
-    columns = [F.col(c) for c in df.columns]
-    for out in take.values():
-        label = (fallback or {}).get(out)
-        found = F.col(out)
-        columns.append(found if label is None else text.labelled(found, label, F.col(key)).alias(out))
+    settled = {
+        out: text.labelled(F.col(out), label, F.col(key)) for out, label in (fallback or {}).items()
+    }
     if present_flag is not None:
-        columns.append(F.col(MATCH).isNotNull().alias(present_flag))
-    return joined.select(*columns)
+        settled[present_flag] = F.col(MATCH).isNotNull()
+    if settled:
+        joined = joined.withColumns(settled)
+    return joined.drop(*helpers)
 
 
 def _with_policy(side: DataFrame, on_duplicate: str) -> DataFrame:
@@ -86,8 +88,8 @@ def _with_policy(side: DataFrame, on_duplicate: str) -> DataFrame:
         return side
     values = [c for c in side.columns if c != MATCH]
     packed = F.struct(*map(F.col, values)) if values else F.lit(0)
-    # A NULL key matches nothing, so it may repeat.
-    single = side.where(F.col(MATCH).isNotNull()).groupBy(MATCH)
+    # Operators without a code share the blank key; it names nobody, so it may repeat.
+    single = side.where(text.has_text(F.col(MATCH))).groupBy(MATCH)
     single = single.agg(measures.rows().alias("__n"), F.min(packed).alias("__row"))
     key = F.col(MATCH)
     if on_duplicate == "error":
@@ -130,6 +132,21 @@ def uncovered_keys(
     return used.join(F.broadcast(known) if fixed else known, condition, "left_anti")
 
 
+def coverage(
+    df: DataFrame, cols: Sequence[str], dims: Mapping[str, tuple[DataFrame, str]]
+) -> DataFrame:
+    """Uncovered keys against several dimensions, from one pass over ``df``: (alvo, coluna, chave, linhas)."""
+    used = key_usage(df, cols)
+    missing = []
+    for target, (dim, key) in dims.items():
+        flag = f"__in_{target}"
+        known = dim.select(F.col(key).alias("__k_" + target)).distinct().withColumn(flag, F.lit(True))
+        used = used.join(known, F.col("chave") == F.col("__k_" + target), "left")
+        missing.append(F.when(F.col(flag).isNull(), F.lit(target)))
+    targets = F.explode(F.array_compact(F.array(*missing))).alias("alvo")
+    return used.select(targets, "coluna", "chave", "linhas")
+
+
 def duplicate_keys(
     lookup: DataFrame, key: str, fact: DataFrame | None = None, fact_key: str | None = None
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.functions import measures
+from aerolake.functions import measures, rules
 
 AUDIT = ("_arquivo_origem", "_ingerido_em", "_transformado_em", "_processado_em")
 
@@ -22,10 +22,8 @@ def quarantine_range(
     high: int = 1440,
 ) -> DataFrame:
     """Keep the row, but null all metrics and raise the flag when any check leaves [low, high]."""
-    outside = reduce(Column.__or__, [~F.col(c).between(low, high) for c in checks])
-    outside = F.coalesce(outside, F.lit(False))
     # Flag first: it must see the raw values.
-    flagged = df.withColumn(flag, outside)
+    flagged = df.withColumn(flag, rules.outside([F.col(c) for c in checks], low, high))
     return flagged.withColumns({m: F.when(~F.col(flag), F.col(m)) for m in metrics})
 
 

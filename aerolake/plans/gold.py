@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.functions import text
+from aerolake.functions import clock, rules, text
 from aerolake.operators import conform
 from aerolake.operators.lookups import join_lookup, key_set
 from aerolake.operators.quality import dedupe_exact, quarantine_range
@@ -139,13 +139,16 @@ def leg_rules(legs: DataFrame, locale: str = "en", quarantine: bool = False) ->
         timed = F.col("partida_real").isNotNull() & F.col("partida_prevista").isNotNull()
         lost = flown & timed & F.col("atraso_partida_min").isNull()
         legs = legs.withColumn("atraso_fora_de_faixa", lost)
-    ruled = conform.classify(legs, "codigo_tipo_linha", SCOPES, "escopo_voo")
-    ruled = conform.route(ruled, "icao_origem", "icao_destino", "rota")
-    ruled = conform.calendar_parts(ruled, "partida_prevista", locale)
-    ruled = conform.on_time(ruled, "atraso_partida_min", "partida_pontual", PUNCTUAL_MINUTES)
-    ruled = conform.on_time(ruled, "atraso_chegada_min", "chegada_pontual", PUNCTUAL_MINUTES)
-    return ruled.withColumns(
+    planned = F.col("partida_prevista")
+    return legs.withColumns(
         {
+            "escopo_voo": rules.classified(F.col("codigo_tipo_linha"), SCOPES, None),
+            "rota": text.joined(F.col("icao_origem"), F.col("icao_destino")),
+            "hora_partida_prevista": F.hour(planned),
+            "dia_semana": clock.weekday(planned, locale),
+            "mes_referencia": F.date_trunc("month", planned),
+            "partida_pontual": rules.on_time(F.col("atraso_partida_min"), PUNCTUAL_MINUTES),
+            "chegada_pontual": rules.on_time(F.col("atraso_chegada_min"), PUNCTUAL_MINUTES),
             "voo_realizado": F.col("situacao_voo") == FLOWN,
             "voo_cancelado": F.col("situacao_voo") == CANCELLED,
         }

@@ -273,13 +273,8 @@ def dim_coverage(spark, sf_dir):
     legs = views.silver_vra(spark, sf_dir)
     registry = views.silver_aerodromos(spark, sf_dir)
     dim = gold.dim_airport(legs, registry)
-    return lookups.union_with_provenance(
-        {
-            "dim_aeroporto": lookups.uncovered_keys(legs, AIRPORT_SIDES, dim, "icao_aeroporto"),
-            "cadastro": lookups.uncovered_keys(legs, AIRPORT_SIDES, registry, "icao"),
-        },
-        "alvo",
-    )
+    targets = {"dim_aeroporto": (dim, "icao_aeroporto"), "cadastro": (registry, "icao")}
+    return lookups.coverage(legs, AIRPORT_SIDES, targets)
 
 
 @query
@@ -332,9 +327,8 @@ def uncatalogued_codes(spark, sf_dir):
 
 def _described_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as documented columns: the label, where there is one, is the comment."""
-    labels = views.table(spark, sf_dir, "labels").select(
-        "doc_id", F.concat(F.lit("qualidade "), "quality").alias("comentario")
-    )
+    comment = F.concat(F.lit("qualidade "), F.max("quality")).alias("comentario")
+    labels = views.table(spark, sf_dir, "labels").groupBy("doc_id").agg(comment)
     named = views.table(spark, sf_dir, "documents").select(
         "doc_id", F.col("lang").alias("camada"), F.col("source").alias("tabela")
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aerolake.functions import clock
 from aerolake.operators import conform
 from aerolake.operators.lookups import union_with_provenance
 
@@ -32,12 +33,12 @@ def legs(raw: DataFrame, formats: Sequence[str] | None = None) -> DataFrame:
     """
     sentinels = {**dict.fromkeys(TIMES, NO_TIME), "codigo_justificativa": NO_REASON}
     typed = conform.parse_timestamps(conform.nullify(raw, sentinels), TIMES, formats)
-    typed = conform.split_time(typed, TIMES)
-    departure = ("partida_prevista", "partida_real")
-    arrival = ("chegada_prevista", "chegada_real")
-    typed = conform.elapsed_minutes(typed, *departure, "atraso_partida_min")
-    typed = conform.elapsed_minutes(typed, *arrival, "atraso_chegada_min")
-    typed = conform.regained_minutes(typed, departure, arrival, "minutos_recuperados")
+    departure = clock.minutes_between(F.col("partida_prevista"), F.col("partida_real"))
+    arrival = clock.minutes_between(F.col("chegada_prevista"), F.col("chegada_real"))
+    metrics = (departure, arrival, departure - arrival)
+    typed = conform.split_time(typed, TIMES).withColumns(
+        {name: minutes.try_cast("int") for name, minutes in zip(DELAYS, metrics)}
+    )
 
     timed = [f"{t}{part}" for t in TIMES for part in ("", "_data", "_hora")]
     ordered = [*KEYS, *timed, "situacao_voo", "codigo_justificativa", *DELAYS]

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 CODES_DDL = "dominio string, codigo string, descricao string"
 
@@ -27,7 +30,14 @@ OPERATION_CODES = [
 
 
 def seed_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
-    return spark.createDataFrame(list(rows), ddl)
+    """A literal list as a local relation: Catalyst knows its exact size and folds filters into it."""
+    schema = StructType.fromDDL(ddl)
+    columns = zip(*rows) if rows else [()] * len(schema)
+    arrow = pa.table(
+        [pa.array(list(values), type=to_arrow_type(field.dataType)) for field, values in zip(schema, columns)],
+        names=schema.names,
+    )
+    return spark.createDataFrame(arrow, schema)
 
 
 def operation_codes(spark: SparkSession) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from aerolake.plans import silver
 from aerolake.sources.seed import operation_codes
@@ -16,8 +17,16 @@ SECONDS = "yyyy-MM-dd HH:mm:ss"
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
+_schemas: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One table; its footers are opened for the schema once per application, not once per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _schemas:
+        _schemas[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[known]).parquet(path)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

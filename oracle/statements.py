@@ -142,7 +142,8 @@ code_use AS (
 DESCRIBED = """
 described AS (
   SELECT lang AS camada, source AS tabela, quality IS NOT NULL AS documentada
-  FROM documents LEFT JOIN labels USING (doc_id)
+  FROM documents
+  LEFT JOIN (SELECT doc_id, MAX(quality) AS quality FROM labels GROUP BY doc_id) USING (doc_id)
 )"""
 
 LOADS = """
