@@ -55,6 +55,7 @@ FACT_COLUMNS = (
     "cadastro_companhia",
 )
 
+AIRPORT_ROLES = ("origem", "destino")
 AIRPORT_ATTRIBUTES = {
     "nome_aeroporto": "nome_aeroporto_{role}",
     "municipio_aeroporto": "municipio_{role}",
@@ -109,7 +110,7 @@ def dim_airport(legs: DataFrame, registry: DataFrame) -> DataFrame:
         registry,
         key="icao_aeroporto",
         lookup_key="icao",
-        take={"nome": "nome_aeroporto", "municipio": "municipio_aeroporto", "uf_nome": "uf_aeroporto"},
+        take=dict(zip(("nome", "municipio", "uf_nome"), AIRPORT_ATTRIBUTES)),
         fallback={"nome_aeroporto": UNLISTED_AIRPORT},
         present_flag="no_cadastro_anac",
     )
@@ -205,6 +206,49 @@ def fact_legs(
     return ruled.select(*passed, *FACT_COLUMNS)
 
 
+def role_play(legs: DataFrame, dim: DataFrame, salts: int = 1) -> DataFrame:
+    """The airport dimension joined twice: its attributes for the origin and for the destination."""
+    for role in AIRPORT_ROLES:
+        legs = join_lookup(
+            legs,
+            dim,
+            key=f"icao_{role}",
+            lookup_key="icao_aeroporto",
+            take={column: name.format(role=role) for column, name in AIRPORT_ATTRIBUTES.items()},
+            salts=salts,
+            salt_by=SALT_BY,
+        )
+    return legs
+
+
+def role_play_registry(legs: DataFrame, registry: DataFrame, salts: int = 1) -> DataFrame:
+    """The columns of role_play straight from the aerodrome registry.
+
+    The dimension holds every code the legs use, so joining it back adds nothing the registry and the
+    rules do not give. This needs no pass over the legs to collect their codes, and the registry's
+    size is known from its files, while that of a dimension still to be computed is not.
+    """
+    for role in AIRPORT_ROLES:
+        code = F.col(f"icao_{role}")
+        name, city, state, country = (n.format(role=role) for n in AIRPORT_ATTRIBUTES.values())
+        legs = join_lookup(
+            legs,
+            registry,
+            key=f"icao_{role}",
+            lookup_key="icao",
+            take={"nome": name, "municipio": city, "uf_nome": state},
+            salts=salts,
+            salt_by=SALT_BY,
+        )
+        legs = legs.withColumns(
+            {
+                name: F.when(text.has_text(code), text.labelled(F.col(name), UNLISTED_AIRPORT, code)),
+                country: F.when(text.has_text(code), rules.classified(code, HOME, ABROAD, True)),
+            }
+        )
+    return legs
+
+
 def obt_enriched(
     legs: DataFrame,
     airlines: DataFrame,
@@ -214,7 +258,10 @@ def obt_enriched(
     on_duplicate: str = "keep",
     salts: int = 1,
 ) -> DataFrame:
-    """The documented wide table: both airports named, gaps labelled, implausible delays quarantined."""
+    """The documented wide table: both airports named, gaps labelled, implausible delays quarantined.
+
+    ``airports`` is the aerodrome registry, or the stored airport dimension.
+    """
     passed = [c for c in legs.columns if c == "event_id"]
     wide = join_lookup(
         legs,
@@ -227,17 +274,9 @@ def obt_enriched(
         salts=salts,
         salt_by=SALT_BY,
     )
-    for role in ("origem", "destino"):
-        wide = join_lookup(
-            wide,
-            airports,
-            key=f"icao_{role}",
-            lookup_key="icao_aeroporto",
-            take={column: name.format(role=role) for column, name in AIRPORT_ATTRIBUTES.items()},
-            salts=salts,
-            salt_by=SALT_BY,
-        )
-    ends = [F.coalesce(f"municipio_{role}", f"icao_{role}") for role in ("origem", "destino")]
+    play = role_play if "icao_aeroporto" in airports.columns else role_play_registry
+    wide = play(wide, airports, salts)
+    ends = [F.coalesce(f"municipio_{role}", f"icao_{role}") for role in AIRPORT_ROLES]
     wide = wide.withColumn("rota_municipios", text.joined(*ends))
     wide = decode_codes(wide, codes, fixed_codes, UNLISTED_CODE)
     ruled = leg_rules(wide, locale="pt", quarantine=True).withColumnRenamed("rota", "rota_icao")

@@ -228,17 +228,23 @@ def fact_legs(spark, sf_dir):
 
 @query
 def obt_enriched(spark, sf_dir):
-    legs = views.silver_vra(spark, sf_dir)
-    airports = gold.dim_airport(legs, views.silver_aerodromos(spark, sf_dir))
     return gold.obt_enriched(
-        legs,
+        views.silver_vra(spark, sf_dir),
         views.silver_empresas(spark, sf_dir),
         views.silver_codigos(spark, sf_dir),
-        airports,
+        views.silver_aerodromos(spark, sf_dir),
         fixed_codes=True,
     )
 
 
+@query
+def airport_roles(spark, sf_dir):
+    """The computed dimension joined for the origin and for the destination."""
+    legs = views.silver_vra(spark, sf_dir).select("event_id", *AIRPORT_SIDES)
+    dim = gold.dim_airport(legs, views.silver_aerodromos(spark, sf_dir))
+    return gold.role_play(legs, dim)
+
+
 @query
 def recovery_profile(spark, sf_dir):
     legs = gold.obt_legs(views.silver_vra(spark, sf_dir)).where(F.col("minutos_recuperados") > 0)

@@ -329,6 +329,18 @@ STATEMENTS: dict[str, str] = {
         LEFT JOIN dim o ON s.icao_origem = o.icao_aeroporto
         LEFT JOIN dim e ON s.icao_destino = e.icao_aeroporto""",
     ),
+    "airport_roles": _with(
+        LEGS,
+        AIRPORTS,
+        DIM,
+        body="""SELECT event_id, icao_origem, icao_destino, o.nome_aeroporto AS nome_aeroporto_origem,
+            o.municipio_aeroporto AS municipio_origem, o.uf_aeroporto AS uf_origem,
+            o.pais_aeroporto AS pais_origem, e.nome_aeroporto AS nome_aeroporto_destino,
+            e.municipio_aeroporto AS municipio_destino, e.uf_aeroporto AS uf_destino,
+            e.pais_aeroporto AS pais_destino
+          FROM legs LEFT JOIN dim o ON icao_origem = o.icao_aeroporto
+          LEFT JOIN dim e ON icao_destino = e.icao_aeroporto""",
+    ),
     "recovery_profile": _clocked(
         """SELECT COUNT(*) AS recuperaram,
           CAST(SUM(IF(atraso_chegada_min <= 0, 1, 0)) AS BIGINT) AS no_horario_ou_antes,

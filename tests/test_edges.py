@@ -179,7 +179,13 @@ def test_portuguese_weekdays(spark, codegen):
         got = column(conform.calendar_parts(df, "a", "pt"), "dia_semana")
     finally:
         spark.conf.unset("spark.sql.codegen.wholeStage")
-    assert got == [*clock.WEEKDAYS_PT, None]
+    assert got == [*clock.WEEKDAYS["pt"], None]
+
+
+def test_english_weekdays_match_date_format(spark):
+    days = [f"2025-02-{d:02d} 12:00:00" for d in range(1, 29)]
+    df = conform.calendar_parts(times(spark, *[(d, None) for d in days]), "a")
+    assert df.where("dia_semana <> lower(date_format(a, 'EEEE'))").count() == 0
 
 
 def test_unknown_locale():
@@ -373,6 +379,22 @@ def test_dimension_covers_all_keys(spark):
     }
 
 
+def test_registry_and_dimension_give_the_same_roles(spark):
+    """Also for blank and missing codes, which no dimension row stands for."""
+    codes = ["SBGR", "SBXX", "KJFK", "", None]
+    pairs = [(i, a, b) for i, (a, b) in enumerate((a, b) for a in codes for b in codes)]
+    legs = of(spark, "i int, icao_origem string, icao_destino string", *pairs)
+    airports = of(
+        spark,
+        "icao string, nome string, municipio string, uf_nome string",
+        ("SBGR", "Guarulhos", "Guarulhos", "São Paulo"),
+        ("KJFK", None, None, None),
+    )
+    by_dim = gold.role_play(legs, gold.dim_airport(legs, airports)).orderBy("i")
+    by_registry = gold.role_play_registry(legs, airports).select(*by_dim.columns).orderBy("i")
+    assert by_dim.collect() == by_registry.collect()
+
+
 def test_duplicate_keys_with_and_without_fact(spark, registry):
     twice = registry.unionByName(registry)
     assert sorted(column(lookups.duplicate_keys(twice, "icao"), "chave")) == ["", "A", "B"]
