@@ -29,7 +29,7 @@ def query(build: Query) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         pin(spark)
-        known = (spark.sparkContext.applicationId, sf_dir)
+        known = (spark.conf.get("spark.app.id"), sf_dir)
         if known not in _sized:
             _sized[known] = stored_bytes(spark, sf_dir, "*.parquet")
         size_shuffles(spark, _sized[known])
@@ -368,10 +368,12 @@ def tag_listing(spark, sf_dir):
 def lineage_edges(spark, sf_dir):
     edges = views.events(spark, sf_dir).select(
         F.when(F.col("event_id") % 11 == 0, "").otherwise(F.col("event_type")).alias("origem"),
-        F.concat(F.lit("flight."), "user_id").alias("destino"),
+        F.concat(F.when(F.col("event_type") == "error", "other.").otherwise("flight."), "user_id").alias(
+            "destino"
+        ),
         F.to_date("ts").alias("data_evento"),
     )
-    return governance.lineage_edges(edges, "flight.1", dt.date(2024, 1, 30))
+    return governance.lineage_edges(edges, "flight.", dt.date(2024, 1, 30))
 
 
 def _loads(spark: SparkSession, sf_dir: str) -> DataFrame:

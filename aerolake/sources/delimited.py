@@ -8,6 +8,7 @@ from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ NO_SEPARATOR = "\u0001"
 
 PREAMBLE = r"^Atualizado em:"
 HEADER_READERS = 16
+BOM = "\ufeff"
 
 
 class MissingColumns(ValueError):
@@ -92,13 +94,13 @@ def _layouts(
 
     def layout(path: str) -> tuple[tuple[str, ...], bool]:
         top = [row["line"] for row in lines(path).take(2)]
-        has_preamble = bool(top) and re.search(preamble, top[0].lstrip("﻿")) is not None
+        has_preamble = bool(top) and re.search(preamble, top[0].lstrip(BOM)) is not None
         rest = top[1:] if has_preamble else top
         if not rest:
             return (), has_preamble
-        return _fields(rest[0].lstrip("﻿"), sep, quote), has_preamble
+        return _fields(rest[0].lstrip(BOM), sep, quote), has_preamble
 
-    files = sorted(lines(list(paths)).inputFiles())
+    files = sorted(_literal(unquote(uri)) for uri in lines(list(paths)).inputFiles())
     with ThreadPoolExecutor(HEADER_READERS) as readers:
         found = list(readers.map(layout, files))
 
@@ -114,6 +116,11 @@ def _layouts(
     return dict(groups)
 
 
+def _literal(path: str) -> str:
+    """The path with its glob characters escaped, so that it names one file."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def _fields(line: str, sep: str, quote: str | None) -> tuple[str, ...]:
     if quote is None:
         return tuple(line.split(sep))

@@ -23,7 +23,7 @@ _schemas: dict[tuple[str, str], StructType] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table; its footers are opened for the schema once per application, not once per query."""
     path = f"{sf_dir}/{name}.parquet"
-    known = (spark.sparkContext.applicationId, path)
+    known = (spark.conf.get("spark.app.id"), path)
     if known not in _schemas:
         _schemas[known] = spark.read.parquet(path).schema
     return spark.read.schema(_schemas[known]).parquet(path)

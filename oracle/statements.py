@@ -408,7 +408,7 @@ STATEMENTS: dict[str, str] = {
         SELECT DISTINCT IF(event_id % 11 = 0, '(arquivo no volume)', event_type) AS origem,
           'flight.' || user_id AS destino
         FROM events
-        WHERE CAST(user_id AS VARCHAR) LIKE '1%' AND CAST(ts AS DATE) >= DATE '2024-01-23'
+        WHERE event_type <> 'error' AND CAST(ts AS DATE) >= DATE '2024-01-23'
         ORDER BY destino, origem""",
     "load_ledger": _with(
         LOADS,

@@ -86,6 +86,13 @@ def test_two_files_by_name_with_provenance(spark, tmp_path):
     assert landed(rows) == [("1", "Um", "x", "jan.csv"), ("2", "Dois", "y", "feb.csv")]
 
 
+def test_odd_file_names(spark, tmp_path):
+    for n, name in enumerate(("VRA 2025 [jan] é.csv", "a%20b.csv", "c{x}.csv")):
+        write(tmp_path / name, [PREAMBLE, "Código;Nome;Nota", f"{n};Um;x"])
+    rows = read_delimited(spark, str(tmp_path), COLUMNS)
+    assert sorted(r["codigo"] for r in rows.collect()) == ["0", "1", "2"]
+
+
 def test_file_larger_than_a_split(spark, tmp_path):
     """The header is dropped once, not once per split, and no row is lost at the seams."""
     rows = [f"{i};nome {i};{'x' * 50}" for i in range(20_000)]
