@@ -29,12 +29,15 @@ def publish(
     comments: Mapping[str, str] | None = None,
     partition_by: Sequence[str] = (),
     version: int | None = None,
+    clustered: bool = False,
 ) -> int:
     """Replace ``target`` (a ``schema.table`` name, or a path) and return the rows it then holds.
 
     partition_by  writes directories a later filter prunes. The rows are rebalanced by these columns
                   first: adaptive execution merges small partitions into one file and splits the one
                   that holds a third of the table, so files come out near the advisory size.
+    clustered     the rows already come in the order of these directories (a row-by-row result of a
+                  table stored the same way), so the shuffle is left out.
     version       keeps earlier loads: only this version's rows are replaced, so a retried load
                   leaves no copies. Read the history with load_ledger and snapshot_compare.
     """
@@ -43,7 +46,7 @@ def publish(
     if version is not None:
         described = described.withColumn(VERSION, F.lit(version))
         directories = [VERSION, *directories]
-    if partition_by:
+    if partition_by and not clustered:
         described = described.hint("rebalance", *partition_by)
     spark = df.sparkSession
     is_path = "/" in target

@@ -24,6 +24,7 @@ PLAUSIBLE_MINUTES = (-120, 1440)
 
 SALT_BY = ("numero_voo", "icao_origem", "partida_prevista", "chegada_prevista")
 
+# Columns of the published tables, in order.
 FACT_COLUMNS = (
     "icao_empresa",
     "nome_companhia",

@@ -83,9 +83,10 @@ def _store(
     options: Options,
     partition_by: Sequence[str] = (),
     version: int | None = None,
+    clustered: bool = False,
 ) -> dict[str, int]:
     by = partition_by if options.partitioned else ()
-    rows = publish(df, target, comments_for(target, df.columns), by, version)
+    rows = publish(df, target, comments_for(target, df.columns), by, version, clustered)
     log_edges(df.sparkSession, target, sources, EDGE_LOG, options.run_date)
     return {target: rows}
 
@@ -134,7 +135,8 @@ def build_gold(spark: SparkSession, options: Options) -> dict[str, int]:
     airports, codes = spark.table("silver.aerodromos"), spark.table("silver.codigos_operacao")
     day, month = ["partida_prevista_data"], ["mes_referencia"]
 
-    written = _store(gold.obt_legs(legs), "gold.obt_voos", ["silver.vra"], options, day)
+    wide = gold.obt_legs(legs)
+    written = _store(wide, "gold.obt_voos", ["silver.vra"], options, day, clustered=True)
 
     dim = stamp(gold.dim_airport(legs, airports), PROCESSED)
     written |= _store(dim, "gold.dim_aeroporto", ["silver.vra", "silver.aerodromos"], options)

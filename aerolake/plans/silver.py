@@ -11,6 +11,7 @@ from aerolake.functions import clock
 from aerolake.operators import conform
 from aerolake.operators.lookups import union_with_provenance
 
+# Column names of the flight files and the derived measures.
 TIMES = ("partida_prevista", "partida_real", "chegada_prevista", "chegada_real")
 KEYS = (
     "icao_empresa",

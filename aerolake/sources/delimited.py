@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -58,11 +58,11 @@ def read_delimited(
         positions = [f"_{i}" for i in range(len(header))]
         schema = StructType([StructField(p, StringType()) for p in positions])
         rows = spark.read.schema(schema).options(**options).csv(files)
-        if has_preamble:  # line 1 was the preamble, so the header is still there as a row
-            repeats_header = F.lit(True)
-            for position, name in zip(positions, header):
-                repeats_header = repeats_header & F.col(position).eqNullSafe(F.lit(name or None))
-            rows = rows.where(~repeats_header)
+        if has_preamble:
+            # Line 1 was the preamble, so the header is still there as a row. Only the landed columns
+            # are compared: a comparison of all of them would make the parser convert all of them.
+            named = [F.col(positions[header.index(s)]).eqNullSafe(F.lit(s)) for s in columns]
+            rows = rows.where(~reduce(Column.__and__, named))
         taken = [F.col(positions[header.index(s)]).alias(t) for s, t in columns.items()]
         if file_column is not None:
             taken.append(F.col("_metadata.file_name").alias(file_column))
