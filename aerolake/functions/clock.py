@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MICROS_PER_MINUTE = 60_000_000
+
 # Weekday names, Sunday first.
 WEEKDAYS = {
     "en": ("sunday", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday"),
@@ -38,8 +40,12 @@ def hour_minute(ts: Column) -> Column:
 
 
 def minutes_between(start: Column, end: Column) -> Column:
-    """Whole elapsed minutes, truncated toward zero (bigint)."""
-    return F.timestamp_diff("MINUTE", start, end)
+    """Whole elapsed minutes, truncated toward zero (bigint).
+
+    With the session zone at UTC this is timestampdiff(MINUTE, ...), at a fraction of its cost.
+    """
+    elapsed = F.unix_micros(end) - F.unix_micros(start)
+    return F.call_function("div", elapsed, F.lit(MICROS_PER_MINUTE))
 
 
 def weekday(ts: Column, locale: str = "en") -> Column:

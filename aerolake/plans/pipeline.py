@@ -14,7 +14,7 @@ from aerolake.operators.conform import stamp
 from aerolake.operators.publish import VERSION, log_edges, publish
 from aerolake.plans import gold, silver
 from aerolake.plans.dictionary import TAGS, comments_for
-from aerolake.session import size_shuffles, stored_bytes
+from aerolake.session import pin, size_shuffles, stored_bytes
 from aerolake.sources import layouts
 from aerolake.sources.delimited import read_delimited
 from aerolake.sources.seed import operation_codes
@@ -67,6 +67,7 @@ class Options:
 
 def run(spark: SparkSession, inputs: Inputs, options: Options) -> Mapping[str, int]:
     """Build all layers; returns the rows of each table written."""
+    pin(spark)
     size_shuffles(spark, stored_bytes(spark, inputs.paths()))
     return {
         **build_bronze(spark, inputs, options),

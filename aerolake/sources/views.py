@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from aerolake.functions.clock import MICROS_PER_MINUTE
 from aerolake.plans import silver
 from aerolake.sources.seed import operation_codes
 
@@ -40,6 +41,9 @@ def bronze_vra(spark: SparkSession, sf_dir: str) -> DataFrame:
     def time_text(value: str, layout: str) -> str:
         return f"date_format({value}, '{layout}')"
 
+    def later(value: str, minutes: str) -> str:
+        return f"timestamp_micros(unix_micros({value}) + ({minutes}) * {MICROS_PER_MINUTE}L)"
+
     return events(spark, sf_dir).selectExpr(
         "event_id",
         "CASE WHEN user_id % 10 = 9 THEN concat('X', user_id) ELSE CAST(user_id AS STRING) END AS icao_empresa",
@@ -52,9 +56,9 @@ def bronze_vra(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"CASE WHEN event_id % 50 = 0 THEN 'null' ELSE {time_text('date_trunc(\'hour\', ts)', SECONDS)} END"
         " AS partida_prevista",
         f"CASE WHEN {flown} THEN {time_text('ts', MICROS)} ELSE 'null' END AS partida_real",
-        f"{time_text('date_trunc(\'hour\', ts) + INTERVAL 60 MINUTES', SECONDS)} AS chegada_prevista",
+        f"{time_text(later('date_trunc(\'hour\', ts)', '60'), SECONDS)} AS chegada_prevista",
         f"CASE WHEN {flown} THEN"
-        f" {time_text('ts + make_dt_interval(0, 0, CAST((event_id * 7) % 120 AS INT))', MICROS)}"
+        f" {time_text(later('ts', '(event_id * 7) % 120'), MICROS)}"
         " ELSE 'null' END AS chegada_real",
         f"CASE WHEN {flown} THEN 'REALIZADO' ELSE 'CANCELADO' END AS situacao_voo",
         "CASE WHEN event_id % 2 = 0 THEN 'N/A' ELSE event_type END AS codigo_justificativa",

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from aerolake.operators import lookups, quality
+from aerolake.operators import conform, lookups, quality
 from aerolake.plans import gold, silver
 
 # A Spark job per example is slow, so few examples carry many rows each.
@@ -57,6 +57,14 @@ def test_typing_keeps_rows_and_ties_the_metrics(spark, rows):
     assert tuple(row) == (len(rows), 0, 0)
 
 
+@few
+@given(pairs=st.lists(st.tuples(moment, moment), min_size=1, max_size=60))
+def test_minutes_agree_with_timestampdiff(spark, pairs):
+    df = conform.parse_timestamps(spark.createDataFrame(pairs, "a string, b string"), ["a", "b"])
+    both = conform.elapsed_minutes(df, "a", "b", "m")
+    assert both.where("NOT m <=> CAST(timestampdiff(MINUTE, a, b) AS INT)").count() == 0
+
+
 @few
 @given(rows=legs_lists, names=st.sets(st.sampled_from(["A", "B", "C"])))
 def test_lookup_by_unique_key_keeps_the_count(spark, rows, names):
