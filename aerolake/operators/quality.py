@@ -31,7 +31,8 @@ def dedupe_exact(df: DataFrame, ignore: Sequence[str] = AUDIT) -> DataFrame:
     """One row per distinct business row; of the ignored audit columns the least value stays.
 
     An aggregate combines copies before the shuffle, so one row repeated a billion times travels as
-    one row per task, and taking the least audit value gives the same answer on every attempt.
+    one row per task, and taking the least audit value gives the same answer on every attempt. Text
+    among the audit columns turns the hash aggregate into a sorting one; drop it first if unused.
     """
     audit = [c for c in df.columns if c in set(ignore)]
     business = [c for c in df.columns if c not in set(ignore)]

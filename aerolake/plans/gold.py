@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from aerolake.functions import clock, rules, text
 from aerolake.operators import conform
 from aerolake.operators.lookups import join_lookup, key_set
-from aerolake.operators.quality import dedupe_exact, quarantine_range
+from aerolake.operators.quality import AUDIT, dedupe_exact, quarantine_range
 from aerolake.plans.silver import DELAYS
 
 # Code sets, prefixes and texts of the rules.
@@ -192,7 +192,8 @@ def fact_legs(
     """
     passed = [c for c in legs.columns if c == "event_id"]
     if dedupe:
-        legs = dedupe_exact(legs)
+        # Without the audit text, which the fact has no use for, the copies collapse in a hash table.
+        legs = dedupe_exact(legs.drop(*AUDIT))
     named = join_lookup(
         legs,
         airlines,

@@ -127,7 +127,7 @@ def checksum(df):
     return tuple(rows.first())
 
 
-SORT_MERGE = {
+NO_BROADCAST = {
     "spark__sql__autoBroadcastJoinThreshold": "-1",
     "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
 }
@@ -149,7 +149,7 @@ def build_fact(spark, sf_dir, legs, salts=1):
 
 def test_hot_airline_is_split_when_the_registry_outgrows_a_broadcast(spark, sf_dir, hot_legs):
     expected = checksum(build_fact(spark, sf_dir, hot_legs))
-    with settings(spark, **SORT_MERGE, **SMALL_SKEW):
+    with settings(spark, **NO_BROADCAST, **SMALL_SKEW):
         fact = build_fact(spark, sf_dir, hot_legs)
         assert checksum(fact) == expected
         executed = fact.groupBy("dia_semana").agg(F.count("nome_companhia"))
@@ -161,7 +161,7 @@ def test_hot_airline_is_split_when_the_registry_outgrows_a_broadcast(spark, sf_d
 
 def test_salting_spreads_a_hot_airline(spark, sf_dir, hot_legs):
     expected = checksum(build_fact(spark, sf_dir, hot_legs))
-    with settings(spark, **SORT_MERGE, spark__sql__adaptive__enabled="false"):
+    with settings(spark, **NO_BROADCAST, spark__sql__adaptive__enabled="false"):
         salted = build_fact(spark, sf_dir, hot_legs, salts=16)
         assert checksum(salted) == expected
         sizes = salted.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
