@@ -5,11 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from aerolake.plans.register import QUERIES
+from oracle.statements import STATEMENTS as ORACLE
 from tests import compare
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
@@ -20,6 +19,8 @@ def duck(sf_dir):
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
