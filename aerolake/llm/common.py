@@ -64,13 +64,13 @@ def blocks(batch: pa.RecordBatch, column: str, size: int = BLOCK_BYTES) -> Itera
 
 
 def by_block(
-    column: str, step: Callable[[pa.RecordBatch], pa.RecordBatch | None]
+    column: str, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], size: int = BLOCK_BYTES
 ) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A ``mapInArrow`` function that applies ``step`` to bounded blocks of texts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch, column):
+            for block in blocks(batch, column, size):
                 made = step(block)
                 if made is not None and made.num_rows:
                     yield made

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import common, simhash
+from aerolake.llm import bpe, common, hamming, licenses, onebit, packing, quality, simhash, statements, toxicity, urls
+
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 STATEMENTS: dict[str, str] = {}
@@ -18,8 +22,80 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url by rule or by its host's place in the link graph."""
+    return urls.judge(common.read(spark, sf_dir, "pages"))
+
+
+@query
+def op2_onebit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest found vectors of every fiftieth one."""
+    vectors = common.read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return onebit.search(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document and whether it stays."""
+    docs = common.read(spark, sf_dir, "documents")
+    model = quality.fit(docs, common.read(spark, sf_dir, "labels"))
+    scored = quality.with_score(docs, model, "score")
+    return scored.select("doc_id", "score", (F.col("score") >= quality.THRESHOLD).alias("kept"))
+
+
+@query
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of every document's ids, and the digest of what they decode to."""
+    coded = bpe.encode(common.read(spark, sf_dir, "documents"), BYTE_VOCABULARY, public_tokenizers.PATTERN)
+    return bpe.decode(coded, BYTE_VOCABULARY).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; fold 0 is held out of all fitting."""
+    docs = common.read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, common.read(spark, sf_dir, "labels"))
+    scored = toxicity.with_score(docs.select("doc_id", "text"), model, "score")
+    held_out = toxicity.fold_of(F.col("doc_id")) == 0
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query
+def op7_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest sign codes of every hundredth one."""
+    vectors = common.read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return hamming.search(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document and their places in packed sequences."""
+    return packing.pack_documents(common.read(spark, sf_dir, "documents"), WORD_VOCABULARY)
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(common.read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.as_hex(F.col("code")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence sentences and licences of every document."""
+    found = licenses.scan(common.read(spark, sf_dir, "documents"))
+    joined = {c: F.array_join(c, ",") for c in ("identifiers", "licences", "leftovers")}
+    return found.withColumns(joined).select("doc_id", "identifiers", "licences", "leftovers", "matches")
+
+
+STATEMENTS["op1_urls"] = statements.url_sql()
+STATEMENTS["op2_onebit"] = statements.ONEBIT
+STATEMENTS["op7_hamming"] = statements.HAMMING
+STATEMENTS["op10_licenses"] = statements.license_sql()
