@@ -37,7 +37,8 @@ CONFIDENT = 0.95
 CALIBRATION_PART = 4
 LANG_BUCKETS = 16
 SOURCE_BUCKETS = 32
-PASSES = 40
+PASSES = 12
+LINE_PASSES = 8
 # Good means at least this probability.
 THRESHOLD = 0.5
 
@@ -137,16 +138,16 @@ def _dot(vector: Column, model: LogisticRegressionModel) -> Column:
     return F.aggregate(products, F.lit(float(model.intercept)), lambda a, x: a + x)
 
 
-def _fit(rows: DataFrame, features: str) -> LogisticRegressionModel:
+def _fit(rows: DataFrame, features: str, passes: int = PASSES) -> LogisticRegressionModel:
     return LogisticRegression(
-        featuresCol=features, labelCol="label", maxIter=PASSES, regParam=1e-3, weightCol="weight"
+        featuresCol=features, labelCol="label", maxIter=passes, regParam=1e-3, weightCol="weight"
     ).fit(rows)
 
 
 def _calibrated(view: View, held: DataFrame) -> View:
     """A line through the log-odds, fitted on labelled rows that the view has not seen."""
     rows = held.select(array_to_vector(F.array(view.log_odds())).alias("line"), "label", "weight")
-    line = _fit(rows, "line")
+    line = _fit(rows, "line", LINE_PASSES)
     return View(view.name, view.model, float(line.coefficients[0]), float(line.intercept))
 
 
@@ -189,6 +190,7 @@ def fit(
     rows = common.keep(
         texts.join(ids, "doc_id").select(*[v.alias(n) for v, n in zip(views, VIEWS)], "label", part.alias("part"))
     )
+    rows = rows.coalesce(2)  # two small tasks for each of the many short passes
     known = rows.where("label is not null").withColumn("weight", F.lit(1.0))
     counts = {(r["label"], r["held"]): r["count"] for r in known.groupBy("label", (F.col("part") == 0).alias("held")).count().collect()}
     good, bad = (sum(n for (label, _), n in counts.items() if label == x) for x in (1.0, 0.0))

@@ -246,7 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         sample.select(
             array_to_vector(features(weights, F.col("text"))).alias("features"), F.col("label").cast("double"), "fold"
         )
-    )
+    ).coalesce(2)  # two small tasks for each of the many short passes
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=1, minInstancesPerNode=3).fit(
         rows.where(F.col("fold") != CALIBRATION_FOLD)
     )
