@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import bpe, common, hamming, licenses, onebit, packing, quality, simhash, statements, toxicity, urls
+from aerolake.llm import bpe, common, hamming, licenses, onebit, packing, quality, simhash, statements, toxicity, urls, warc
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -56,6 +56,50 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records against a replica in which every url's MD5 plants the damage: a character
+    changed, the record lost, or its second half. Returns every differing node down to the records."""
+    key = F.col("page_id").cast("long")
+    whole, kind = F.col("whole"), F.col("kind")
+    planted = F.substring(F.md5(F.coalesce("url", F.lit("")).cast("binary")), 1, 2)
+    half = F.expr("char_length(whole) div 2")
+    changed = F.concat(F.substr(whole, F.lit(1), half), F.lit("#"), F.substr(whole, half + 2))
+    other = (
+        F.when(kind == "01", None)
+        .when(kind == "02", F.substr(whole, F.lit(1), half))
+        .when(kind == "00", changed)
+        .otherwise(whole)
+    )
+    pages = common.read(spark, sf_dir, "pages")
+    content = warc.record(key, F.col("url"), F.col("html"))
+    records = pages.select(key.alias("page_id"), content.alias("whole"), planted.alias("kind"))
+    rows = records.select(
+        "page_id",
+        warc.digest(whole).alias("digest"),
+        (F.octet_length(whole) + len(warc.END)).cast("long").alias("length"),
+        warc.digest(other).alias("digest_b"),
+        (F.octet_length(other) + len(warc.END)).cast("long").alias("length_b"),
+    )
+    # Equal records lie one after the other and are one leaf.
+    leaves = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
+    placed = common.keep(warc.positions(leaves, ["page_id", "digest"]))
+    sides = F.explode(
+        F.array(
+            F.struct(F.lit("a").alias("replica"), F.col("digest"), (F.col("length") * F.col("copies")).alias("length")),
+            F.struct(
+                F.lit("b").alias("replica"),
+                F.col("digest_b").alias("digest"),
+                (F.col("length_b") * F.col("copies")).alias("length"),
+            ),
+        )
+    )
+    both = placed.select("position", sides.alias("x")).select("position", "x.*").where("digest is not null")
+    found = warc.audit(warc.trees(both), "a", "b")
+    keys = placed.select("page_id", F.col("position").alias("first_position"), F.lit(0).alias("level"))
+    return found.join(keys, ["level", "first_position"], "left")
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; fold 0 is held out of all fitting."""
@@ -97,5 +141,6 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STATEMENTS["op1_urls"] = statements.url_sql()
 STATEMENTS["op2_onebit"] = statements.ONEBIT
+STATEMENTS["op5_merkle"] = statements.merkle_sql()
 STATEMENTS["op7_hamming"] = statements.HAMMING
 STATEMENTS["op10_licenses"] = statements.license_sql()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from aerolake.llm import licenses, urls
+from aerolake.llm import licenses, urls, warc
 
 
 def license_sql() -> str:
@@ -116,3 +116,51 @@ WITH v AS (
     vec_id, distance FROM scored
 )
 SELECT * FROM ranked WHERE rank <= 10"""
+
+
+def merkle_sql() -> str:
+    end = "chr(13) || chr(10)"
+    parts = [
+        "'WARC/1.1'", end, "'WARC-Type: response'", end, "'WARC-Record-ID: <urn:page:'", "coalesce(CAST(page_id AS VARCHAR), '')",
+        "'>'", end, "'WARC-Target-URI: '", "coalesce(url, '')", end, "'Content-Type: text/html; charset=utf-8'", end,
+        "'Content-Length: '", "CAST(strlen(coalesce(html, '')) AS VARCHAR)", end, end, "coalesce(html, '')",
+    ]
+    fan, levels = warc.FANOUT, ""
+    for level in range(1, warc.HEIGHT + 1):
+        levels += f""", n{level} AS MATERIALIZED (
+  SELECT replica, node // {fan} AS node, CAST(sum(length) AS BIGINT) AS length,
+    sha256(string_agg(CAST(node % {fan} AS VARCHAR) || ':' || digest, ',' ORDER BY node)) AS digest
+  FROM n{level - 1} GROUP BY replica, node // {fan})"""
+    sides = " UNION ALL ".join(
+        f"""SELECT {level} AS level, coalesce(a.node, b.node) AS node, a.digest AS digest_a, b.digest AS digest_b,
+    coalesce(a.length, 0) AS length_a, coalesce(b.length, 0) AS length_b
+  FROM (SELECT * FROM n{level} WHERE replica = 'a') a FULL JOIN (SELECT * FROM n{level} WHERE replica = 'b') b USING (node)"""
+        for level in range(warc.HEIGHT + 1)
+    )
+    return f"""
+WITH records AS (
+  SELECT page_id, {' || '.join(parts)} AS whole, substr(md5(coalesce(url, '')), 1, 2) AS kind FROM pages
+), damaged AS (
+  SELECT *, CASE kind WHEN '01' THEN NULL WHEN '02' THEN substr(whole, 1, length(whole) // 2)
+    WHEN '00' THEN substr(whole, 1, length(whole) // 2) || '#' || substr(whole, length(whole) // 2 + 2)
+    ELSE whole END AS other FROM records
+), leaves AS (
+  SELECT page_id, sha256(whole) AS digest, strlen(whole) + 4 AS length, sha256(other) AS digest_b,
+    strlen(other) + 4 AS length_b, count(*) AS copies FROM damaged GROUP BY ALL
+), placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (ORDER BY page_id NULLS FIRST, digest) - 1 AS position FROM leaves
+), n0 AS MATERIALIZED (
+  SELECT 'a' AS replica, position AS node, digest, length * copies AS length FROM placed
+  UNION ALL SELECT 'b', position, digest_b, length_b * copies FROM placed WHERE digest_b IS NOT NULL
+){levels}, sides AS (
+  {sides}
+), placed_sides AS (
+  SELECT *, CAST(coalesce(sum(length_a) OVER (PARTITION BY level ORDER BY node
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM sides
+)
+SELECT CAST(s.level AS INTEGER) AS level, s.node, CAST(s.node * {fan} ** s.level AS BIGINT) AS first_position, s."offset",
+  s.length_a, s.length_b, s.digest_a, s.digest_b,
+  CASE WHEN s.level > 0 THEN 'branch' WHEN s.digest_b IS NULL THEN 'lost' WHEN s.digest_a IS NULL THEN 'extra'
+    WHEN s.length_a <> s.length_b THEN 'resized' ELSE 'altered' END AS damage, p.page_id
+FROM placed_sides s LEFT JOIN placed p ON s.level = 0 AND s.node = p.position
+WHERE s.digest_a IS DISTINCT FROM s.digest_b"""
