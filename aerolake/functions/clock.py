@@ -24,14 +24,20 @@ WEEKDAYS = {
 }
 
 
-def read_time(value: Column, formats: Sequence[str] = ()) -> Column:
+# A time of day without a date, and a year without a month: the cast would have to guess the rest.
+GUESSED = r"^\s*(T?\d{1,2}(:.*)?|T.*|[+-]?\d{4,})\s*$"
+
+
+def read_time(value: Column, formats: Sequence[str] = (), guess: bool = True) -> Column:
     """Timestamp from text, NULL on failure.
 
-    Without formats this is Spark's lenient cast, which also accepts a bare year, and a bare time of
-    day as *today*; with formats only those layouts parse, which is what a repeatable load needs.
+    Without formats this is Spark's lenient cast. It also reads a bare year, as its first moment, and a
+    bare time of day as *today*; with ``guess=False`` these two become NULL, which is what a repeatable
+    load needs. With formats only those layouts parse.
     """
     if not formats:
-        return value.try_cast("timestamp")
+        read = value.try_cast("timestamp")
+        return read if guess else F.when(~value.rlike(GUESSED), read)
     return F.coalesce(*[F.try_to_timestamp(value, F.lit(layout)) for layout in formats])
 
 

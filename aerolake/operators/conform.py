@@ -21,11 +21,11 @@ def nullify(df: DataFrame, sentinels: Mapping[str, str]) -> DataFrame:
 
 
 def parse_timestamps(
-    df: DataFrame, cols: Sequence[str], format: str | Sequence[str] | None = None
+    df: DataFrame, cols: Sequence[str], format: str | Sequence[str] | None = None, guess: bool = True
 ) -> DataFrame:
     """Text columns to timestamps; unparsable text becomes NULL, the row stays."""
     formats = (format,) if isinstance(format, str) else tuple(format or ())
-    return df.withColumns({c: clock.read_time(F.col(c), formats) for c in cols})
+    return df.withColumns({c: clock.read_time(F.col(c), formats, guess) for c in cols})
 
 
 def split_time(df: DataFrame, cols: Sequence[str]) -> DataFrame:

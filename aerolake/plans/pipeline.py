@@ -53,12 +53,14 @@ class Inputs:
 @dataclass(frozen=True)
 class Options:
     """``partitioned`` stores legs by day and the fact by month, whose column then comes last in the
-    table; ``version`` keeps each load of the raw legs; ``time_formats`` None reads times leniently."""
+    table; ``version`` keeps each load of the raw legs. Times in any form that Spark's cast reads are taken, or only
+    those of ``time_formats``; ``guess_times`` also completes a bare time of day or year."""
 
     run_date: dt.date
     partitioned: bool = True
     version: int | None = None
-    time_formats: Sequence[str] | None = layouts.FLIGHT_TIME_FORMATS
+    time_formats: Sequence[str] | None = None
+    guess_times: bool = False
     dedupe_fact: bool = False
     quarantine_fact: bool = False
     on_duplicate: str = "keep"
@@ -116,7 +118,7 @@ def build_silver(spark: SparkSession, options: Options) -> dict[str, int]:
     raw = spark.table("bronze.vra")
     if options.version is not None:
         raw = raw.where(F.col(VERSION) == options.version).drop(VERSION)
-    legs = stamp(silver.legs(raw, options.time_formats), TYPED)
+    legs = stamp(silver.legs(raw, options.time_formats, options.guess_times), TYPED)
     written = _store(legs, "silver.vra", ["bronze.vra"], options, ["partida_prevista_data"])
 
     sources = ["bronze.empresas_nacionais", "bronze.empresas_estrangeiras"]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.functions import measures, text
-from aerolake.operators import governance, lookups, quality
+from aerolake.operators import conform, governance, lookups, quality
 from aerolake.plans import consumption, gold, silver
 from aerolake.session import pin, size_shuffles, stored_bytes
 from aerolake.sources import views
@@ -135,6 +135,29 @@ def parse_profile(spark, sf_dir):
     )
 
 
+@query
+def read_times(spark, sf_dir):
+    """Event times written in ten forms, read as the build reads them; the last three stay unread."""
+    forms = (
+        "yyyy-MM-dd HH:mm:ss",
+        "yyyy-MM-dd'T'HH:mm:ss",
+        "yyyy-MM-dd HH:mm:ss'Z'",
+        "yyyy-MM-dd H:mm:ss",
+        "' 'yyyy-MM-dd HH:mm:ss",
+        "yyyy-MM-dd HH:mm:ss.SSSSSS'000'",
+        "yyyy-MM-dd",
+        "HH:mm:ss",
+        "yyyy",
+        "dd/MM/yyyy HH:mm",
+    )
+    written = F.lit(None)
+    for n, form in enumerate(forms):
+        written = F.when(F.col("event_id") % len(forms) == n, F.date_format("ts", form)).otherwise(written)
+    texts = views.events(spark, sf_dir).select("event_id", written.alias("texto"))
+    read = conform.parse_timestamps(texts.withColumn("lido", F.col("texto")), ["lido"], guess=False)
+    return read
+
+
 @query
 def row_parity(spark, sf_dir):
     return quality.row_parity(

@@ -27,13 +27,14 @@ NO_TIME = "null"
 NO_REASON = "N/A"
 
 
-def legs(raw: DataFrame, formats: Sequence[str] | None = None) -> DataFrame:
+def legs(raw: DataFrame, formats: Sequence[str] | None = None, guess: bool = False) -> DataFrame:
     """Typed flight legs with the three elapsed-time metrics. Other raw columns pass through.
 
-    Without ``formats`` times are read by the lenient cast.
+    Without ``formats`` times are read by the lenient cast; only a bare time of day or year, of which
+    it would have to ``guess`` the rest, becomes NULL.
     """
     sentinels = {**dict.fromkeys(TIMES, NO_TIME), "codigo_justificativa": NO_REASON}
-    typed = conform.parse_timestamps(conform.nullify(raw, sentinels), TIMES, formats)
+    typed = conform.parse_timestamps(conform.nullify(raw, sentinels), TIMES, formats, guess)
     departure = clock.minutes_between(F.col("partida_prevista"), F.col("partida_real"))
     arrival = clock.minutes_between(F.col("chegada_prevista"), F.col("chegada_real"))
     metrics = (departure, arrival, departure - arrival)

@@ -8,8 +8,11 @@ from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import quote as quote_uri
 from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -20,6 +23,10 @@ NO_SEPARATOR = "\u0001"
 
 PREAMBLE = r"^Atualizado em:"
 HEADER_READERS = 16
+TOP_BYTES = 1 << 14
+LINE_END = re.compile(r"\r\n|\r|\n")
+# Layouts named in an error message.
+SHOWN = 10
 BOM = "\ufeff"
 
 
@@ -40,8 +47,9 @@ def read_delimited(
 ) -> DataFrame:
     """Land ``columns`` (source name -> target name) as text, whatever order each file has them in.
 
-    Rows are never dropped: short rows are padded with NULL, surplus fields are cut. Files are
-    grouped by header, and each group is one splittable scan; only header lines reach the driver.
+    Rows are never dropped: short rows are padded with NULL, surplus fields are cut, and a data row
+    that repeats the header text stays. Files are grouped by header, and each group is one splittable
+    scan; with a single layout the paths are scanned as given.
     """
     listed = [paths] if isinstance(paths, str) else list(paths)
     layouts = _layouts(spark, listed, columns, sep, quote, encoding, preamble)
@@ -58,18 +66,36 @@ def read_delimited(
         positions = [f"_{i}" for i in range(len(header))]
         schema = StructType([StructField(p, StringType()) for p in positions])
         rows = spark.read.schema(schema).options(**options).csv(files)
-        if has_preamble:
-            # Line 1 was the preamble, so the header is still there as a row. Only the landed columns
-            # are compared: a comparison of all of them would make the parser convert all of them.
-            named = [F.col(positions[header.index(s)]).eqNullSafe(F.lit(s)) for s in columns]
-            rows = rows.where(~reduce(Column.__and__, named))
         taken = [F.col(positions[header.index(s)]).alias(t) for s, t in columns.items()]
         if file_column is not None:
             taken.append(F.col("_metadata.file_name").alias(file_column))
+        if has_preamble:
+            # Line 1 was the preamble, so each file's header is still there as a row.
+            named = [F.col(positions[header.index(s)]).eqNullSafe(F.lit(s)) for s in columns]
+            is_header = reduce(Column.__and__, named)
+            scans.append(_repeated_headers(rows.where(is_header), columns, file_column))
+            rows = rows.where(~is_header)
         scans.append(rows.select(*taken))
     return reduce(DataFrame.unionByName, scans)
 
 
+def _repeated_headers(
+    headers: DataFrame, columns: Mapping[str, str], file_column: str | None
+) -> DataFrame:
+    """The rows that read like their file's header, less the header itself.
+
+    They cannot be told apart in what is landed, so which of them is left out makes no difference.
+    Nothing but one count per file is shuffled.
+    """
+    counted = headers.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name")
+    )
+    counted = counted.groupBy("path", "name").agg(F.count("*").alias("n")).where("n > 1")
+    again = counted.withColumn("copy", F.explode(F.sequence(F.lit(2).cast("long"), "n")))
+    taken = [F.lit(s).alias(t) for s, t in columns.items()]
+    return again.select(*taken, *([F.col("name").alias(file_column)] if file_column else []))
+
+
 def _layouts(
     spark: SparkSession,
     paths: Sequence[str],
@@ -79,43 +105,93 @@ def _layouts(
     encoding: str,
     preamble: str,
 ) -> dict[tuple[tuple[str, ...], bool], list[str]]:
-    """Files grouped by (header fields, has a preamble); fails on any missing column.
+    """Paths by (header fields, has a preamble); fails on any missing column.
 
-    Each file gives up its first two lines to a take() that stops in its first split, so the cost
-    follows the number of files, not their size.
+    The first lines are read inside tasks over the file listing, a few kilobytes of each file, and
+    grouped there: with one layout only that layout reaches the driver, not the files.
     """
 
-    def lines(path: str | Sequence[str]) -> DataFrame:
-        return (
-            spark.read.schema("line string")
-            .options(sep=NO_SEPARATOR, quote=NO_QUOTE, encoding=encoding)
-            .csv(path)
-        )
-
-    def layout(path: str) -> tuple[tuple[str, ...], bool]:
-        top = [row["line"] for row in lines(path).take(2)]
-        has_preamble = bool(top) and re.search(preamble, top[0].lstrip(BOM)) is not None
-        rest = top[1:] if has_preamble else top
-        if not rest:
-            return (), has_preamble
-        return _fields(rest[0].lstrip(BOM), sep, quote), has_preamble
-
-    files = sorted(_literal(unquote(uri)) for uri in lines(list(paths)).inputFiles())
-    with ThreadPoolExecutor(HEADER_READERS) as readers:
-        found = list(readers.map(layout, files))
-
-    problems = []
+    def layout(lines: Sequence[str]) -> tuple[list[str], bool]:
+        has_preamble = bool(lines) and re.search(preamble, lines[0].lstrip(BOM)) is not None
+        rest = lines[1:] if has_preamble else lines
+        return list(_fields(rest[0].lstrip(BOM), sep, quote)) if rest else [], has_preamble
+
+    def read_tops(batches):
+        for batch in batches:
+            found = [layout(_top_lines(path, encoding)) for path in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([header for header, _ in found], pa.list_(pa.string())),
+                    pa.array([has for _, has in found], pa.bool_()),
+                ],
+                names=["path", "header", "has_preamble"],
+            )
+
+    listing = spark.read.format("binaryFile").load(list(paths)).select("path")
+    schema = "path string, header array<string>, has_preamble boolean"
+    first = listing.first()
+    if first is not None and _store_of(first["path"]) is None:
+        # A store that only Spark can read: two lines of each file by a job of its own.
+        found = [(path, *layout(lines)) for path, lines in _lines_by_jobs(spark, paths, encoding)]
+        tops = spark.createDataFrame(found, schema)
+    else:
+        # The listing itself is small, so its rows are spread before the files are opened.
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tops = listing.repartition(tasks, "path").mapInArrow(read_tops, schema)
+    wanted = F.array(*[F.lit(name) for name in columns])
+    by_layout = tops.groupBy("header", "has_preamble").agg(
+        F.count("*").alias("files"), F.min("path").alias("example")
+    )
+    layouts = by_layout.withColumn("missing", F.array_except(wanted, "header")).collect()
+    bad = [row for row in layouts if row["missing"]]
+    if bad:
+        listed = "; ".join(f"{r['example']} ({r['files']} files): {r['missing']}" for r in bad[:SHOWN])
+        total = sum(r["files"] for r in bad)
+        raise MissingColumns(f"expected columns not found in {total} files, such as {listed}")
+    if len(layouts) == 1:
+        return {(tuple(layouts[0]["header"]), layouts[0]["has_preamble"]): list(paths)}
     groups: dict[tuple[tuple[str, ...], bool], list[str]] = defaultdict(list)
-    for path, (header, has_preamble) in zip(files, found):
-        missing = [name for name in columns if name not in header]
-        if missing:
-            problems.append(f"{path}: {missing}")
-        groups[header, has_preamble].append(path)
-    if problems:
-        raise MissingColumns("expected columns not found in " + "; ".join(problems))
+    for row in tops.sort("path").collect():
+        groups[tuple(row["header"]), row["has_preamble"]].append(_literal(row["path"]))
     return dict(groups)
 
 
+def _store_of(path: str) -> tuple[FileSystem, str] | None:
+    """The file system of a listed path and the path in it; None where only Spark knows the store."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return LocalFileSystem(), "/" + rest.lstrip("/")
+    try:
+        return FileSystem.from_uri(f"{scheme}:{quote_uri(rest)}")
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return None
+
+
+def _top_lines(path: str, encoding: str) -> list[str]:
+    """The first two lines with text, which are the ones that Spark's reader counts."""
+    store, place = _store_of(path)
+    held = b""
+    with store.open_input_stream(place) as file:
+        while True:
+            more = file.read(TOP_BYTES)
+            held += more
+            lines = [x for x in LINE_END.split(held.decode(encoding, "replace")) if x.strip()]
+            if not more or len(lines) > 2:  # a third line has begun, so the second is whole
+                return lines[:2]
+
+
+def _lines_by_jobs(spark: SparkSession, paths: Sequence[str], encoding: str) -> list[tuple[str, list[str]]]:
+    def lines(path: str | Sequence[str]) -> DataFrame:
+        reader = spark.read.schema("line string")
+        return reader.options(sep=NO_SEPARATOR, quote=NO_QUOTE, encoding=encoding).csv(path)
+
+    files = sorted(unquote(uri) for uri in lines(list(paths)).inputFiles())
+    with ThreadPoolExecutor(HEADER_READERS) as readers:
+        tops = readers.map(lambda f: [r["line"] for r in lines(_literal(f)).take(2)], files)
+        return list(zip(files, tops))
+
+
 def _literal(path: str) -> str:
     """The path with its glob characters escaped, so that it names one file."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)

@@ -46,11 +46,3 @@ FLIGHT_FILE = {"columns": FLIGHT_COLUMNS, "quote": '"', "escape": '"', "encoding
 # Latitudes are written with a double quote for seconds of arc, so quoting is off.
 AERODROME_FILE = {"columns": AERODROME_COLUMNS, "quote": None, "encoding": "ISO-8859-1"}
 AIRLINE_FILE = {"columns": AIRLINE_COLUMNS, "quote": '"', "encoding": "UTF-8"}
-
-# Time layouts of the flight files; fractional seconds are optional.
-FLIGHT_TIME_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd HH:mm",
-    "dd/MM/yyyy HH:mm:ss",
-    "dd/MM/yyyy HH:mm",
-)

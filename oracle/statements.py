@@ -226,6 +226,17 @@ STATEMENTS: dict[str, str] = {
     "silver_legs": _with(LEGS, body="SELECT * FROM legs"),
     "silver_airports": _with(AIRPORTS, body="SELECT * FROM airports"),
     "union_registries": _with(AIRLINES, body="SELECT * FROM airlines"),
+    "read_times": """
+        SELECT event_id,
+          CASE event_id % 10 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+            WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') WHEN 2 THEN strftime(ts, '%Y-%m-%d %H:%M:%SZ')
+            WHEN 3 THEN strftime(ts, '%Y-%m-%d %-H:%M:%S') WHEN 4 THEN strftime(ts, ' %Y-%m-%d %H:%M:%S')
+            WHEN 5 THEN strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || '000' WHEN 6 THEN strftime(ts, '%Y-%m-%d')
+            WHEN 7 THEN strftime(ts, '%H:%M:%S') WHEN 8 THEN strftime(ts, '%Y')
+            ELSE strftime(ts, '%d/%m/%Y %H:%M') END AS texto,
+          CASE WHEN event_id % 10 < 5 THEN date_trunc('second', ts) WHEN event_id % 10 = 5 THEN ts
+            WHEN event_id % 10 = 6 THEN CAST(date_trunc('day', ts) AS TIMESTAMP) END AS lido
+        FROM events""",
     "parse_profile": _with(
         LEGS,
         body="""SELECT COUNT(partida_prevista) AS partida_prevista_ok, COUNT(partida_real) AS partida_real_ok,

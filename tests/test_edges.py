@@ -501,3 +501,26 @@ def test_silver_passes_audit_columns_through(spark):
     assert len(legs.columns) == 24 and legs.columns[-1] == "_arquivo_origem"
     row = legs.first()
     assert row["codigo_justificativa"] is None and row["partida_prevista"] is None
+
+
+def test_build_reads_every_form_that_names_its_moment(spark):
+    """Only a bare time of day and a bare year, which the cast would complete by a guess, stay unread."""
+    forms = {
+        "2025-01-05T10:00:00": "2025-01-05 10:00:00",
+        "2025-01-05 10:00:00Z": "2025-01-05 10:00:00",
+        "2025-01-05 9:05:00": "2025-01-05 09:05:00",
+        " 2025-01-05 10:00:00": "2025-01-05 10:00:00",
+        "2025-01-05 10:00:00.123456789": "2025-01-05 10:00:00.123456",
+        "2025-01-05": "2025-01-05 00:00:00",
+        "2025-01": "2025-01-01 00:00:00",
+        "10:00": None,
+        "T10:00:00": None,
+        " 9:05:00.5 ": None,
+        "2025": None,
+        "05/01/2025 10:00": None,
+        "null": None,
+        "": None,
+    }
+    rows = spark.createDataFrame(list(forms.items()), "t string, want string")
+    read = conform.parse_timestamps(rows, ["t"], guess=False)
+    assert all(got == want for got, want in read.select(F.col("t").cast("string"), "want").collect())

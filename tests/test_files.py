@@ -93,6 +93,52 @@ def test_odd_file_names(spark, tmp_path):
     assert sorted(r["codigo"] for r in rows.collect()) == ["0", "1", "2"]
 
 
+@pytest.mark.parametrize("top", [[], [PREAMBLE]])
+def test_rows_that_repeat_the_header_stay(spark, tmp_path, top):
+    header = "Código;Nome;Nota"
+    write(tmp_path / "a.csv", [*top, header, "1;Um;x", header, "2;Dois;y", header])
+    write(tmp_path / "b.csv", [*top, header, header])
+    write(tmp_path / "c.csv", [*top, header])
+    rows = read_delimited(spark, str(tmp_path / "*.csv"), COLUMNS, file_column="_arquivo_origem")
+    again = tuple(header.split(";"))
+    assert landed(rows) == sorted(
+        [("1", "Um", "x", "a.csv"), ("2", "Dois", "y", "a.csv"), *[(*again, f) for f in ("a.csv", "a.csv", "b.csv")]]
+    )
+
+
+def test_discovery_does_not_grow_with_the_files(spark, tmp_path):
+    """A few hundred files cost as many jobs as a few, and with one layout the glob is scanned itself."""
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(count, odd):
+        folder = tmp_path / f"{count}-{odd}"
+        folder.mkdir()
+        for i in range(count):
+            header = "Nota;Código;Nome" if odd and i % 2 else "Código;Nome;Nota"
+            write(folder / f"{i}.csv", [PREAMBLE, header, f"{i};{i};{i}"])
+        group = f"discovery-{count}-{odd}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            rows = read_delimited(spark, str(folder / "*.csv"), COLUMNS)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert rows.count() == count
+        return len(tracker.getJobIdsForGroup(group))
+
+    assert jobs(300, False) <= 12
+    assert jobs(40, True) <= 12
+
+
+def test_only_spark_can_read_the_store(spark, tmp_path, monkeypatch):
+    from aerolake.sources import delimited
+
+    write(tmp_path / "a.csv", [PREAMBLE, "Código;Nome;Nota", "1;Um;x"])
+    write(tmp_path / "b.csv", ["Nota;Nome;Código", "y;Dois;2"])
+    monkeypatch.setattr(delimited, "_store_of", lambda path: None)
+    rows = delimited.read_delimited(spark, str(tmp_path / "*.csv"), COLUMNS)
+    assert landed(rows) == [("1", "Um", "x"), ("2", "Dois", "y")]
+
+
 def test_file_larger_than_a_split(spark, tmp_path):
     """The header is dropped once, not once per split, and no row is lost at the seams."""
     rows = [f"{i};nome {i};{'x' * 50}" for i in range(20_000)]
