@@ -19,18 +19,22 @@ import heapq
 import re
 import unicodedata
 from collections import defaultdict
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm import common
+from aerolake.llm import common, cuts
 
-BLOCK_BYTES = 16 << 20
-# Words whose ids a worker remembers between blocks; beyond it only the last block's stay.
+BLOCK_BYTES = 12 << 20
+# Words and cuts whose ids a worker remembers between blocks; beyond it it replays them anew.
 REMEMBERED = 300_000
+# Ids that are decoded at a time.
+DECODED_IDS = 2 << 20
 NO_MERGE = np.iinfo(np.int32).max
 
 
@@ -115,15 +119,15 @@ def replay(words: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarra
     count = len(flat)
     # One more slot stands for "no neighbour"; its id is -1 and has no merge.
     ids = np.append(vocab.of_byte[flat], np.int32(-1))
-    after = np.append(np.arange(1, count + 1), count)
-    before = np.append(np.arange(-1, count - 1), count)
+    after = np.append(np.arange(1, count + 1, dtype=np.int32), np.int32(count))
+    before = np.append(np.arange(-1, count - 1, dtype=np.int32), np.int32(count))
     ends = np.cumsum(lengths)
     filled = lengths > 0
     after[ends[filled] - 1] = count
     before[(ends - lengths)[filled]] = count
     ranks = np.append(vocab.merge(ids[:count], ids[after[:count]]), np.int32(NO_MERGE))
     index = PairIndex()
-    index.add(ranks[:count], np.arange(count))
+    index.add(ranks[:count], np.arange(count, dtype=np.int32))
     alive = np.ones(count, bool)
     while (found := index.lowest()) is not None:
         rank, at = found
@@ -149,43 +153,64 @@ def replay(words: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarra
 
 # --- texts -----------------------------------------------------------------------------------
 
-_PLAIN = [(0x09, 0x0A), (0x0D, 0x0D), (0x20, 0x7E), (0xA1, 0x24F), (0x2010, 0x2027)]
-_ODD = re.compile("[^" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _PLAIN) + "]")
+_ODD = re.compile(cuts.ODD)
+# A blank that has white space on both sides, or before it and the end behind it.
+_WIDE = re.compile(r"[\t\n\r ] (?:[\t\n\r ]|\Z)")
+_CUT = "\x00"
 
 
 @functools.cache
 def splitters(pattern: str) -> tuple[re.Pattern, re.Pattern]:
     """The pattern, and its twin for texts of plain characters, on which ``re`` is twice as fast."""
-    plain = [chr(c) for a, b in _PLAIN for c in range(a, b + 1)]
+    plain = cuts.plain_characters()
     classes = {k: "".join(re.escape(c) for c in plain if unicodedata.category(c)[0] == k) for k in "LN"}
-    twin = pattern
-    for kind in "LN":  # inside a class first, then alone
-        twin = twin.replace(rf"\s\p{{L}}\p{{N}}", r"\t\n\r " + classes["L"] + classes["N"])
+    # Inside a class first, then alone.
+    twin = pattern.replace(r"\s\p{L}\p{N}", r"\t\n\r " + classes["L"] + classes["N"])
+    for kind in "LN":
         twin = twin.replace(rf"\p{{{kind}}}", f"[{classes[kind]}]")
     return regex.compile(pattern), re.compile(twin)
 
 
 class Encoder:
-    """Ids of texts; remembers the words it has replayed."""
+    """Ids of texts; remembers the words it has replayed and the cuts it has put together.
+
+    Plain texts are cut before every blank: a word of the pattern begins with a blank or holds none, unless
+    white space runs on both sides of it. Texts with such runs are one cut each.
+    """
 
     def __init__(self, path: str, pattern: str):
         self.vocab = vocabulary(path)
         self.full, self.plain = splitters(pattern)
-        self.known: dict[str, np.ndarray] = {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [(self.full if _ODD.search(t) else self.plain).findall(t) for t in texts]
-        words = set().union(*split)
-        new = [w for w in words if w not in self.known]
+        self.words: dict[str, bytes] = {}
+        self.cuts: dict[str, bytes] = {}
+
+    def _replay(self, split: list[list[str]]) -> list[bytes]:
+        """Ids of texts or cuts that are given as words."""
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        known = self.words
+        new = list({w for words in split for w in words}.difference(known))
         ids, ends = replay([w.encode("utf-8") for w in new], self.vocab)
-        flat = ids.astype("<i4").tobytes()
-        ends = (4 * ends).tolist()
-        self.known.update(zip(new, map(flat.__getitem__, map(slice, [0, *ends], ends))))
-        known = self.known
-        out = [np.frombuffer(b"".join(map(known.__getitem__, w)), "<i4") for w in split]
+        flat, ends = ids.astype("<u4").tobytes(), (4 * ends).tolist()
+        known.update((w, flat[a:b]) for w, a, b in zip(new, [0, *ends], ends))
+        of_word = known.__getitem__
+        return [of_word(w[0]) if len(w) == 1 else b"".join(map(of_word, w)) for w in split]
+
+    def _ids_of(self, distinct: list[str]) -> list[bytes]:
+        known = self.cuts
         if len(known) > REMEMBERED:
-            self.known = {w: known[w] for w in words} if len(words) <= REMEMBERED else {}
-        return out
+            known.clear()
+        new = [c for c in distinct if c not in known]
+        known.update(zip(new, self._replay([self.plain.findall(c) for c in new])))
+        return [known[c] for c in distinct]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        smooth = [not (_ODD.search(t) or _WIDE.search(t)) for t in texts]
+        marked = pc.replace_substring(pa.array([t for t, s in zip(texts, smooth) if s], pa.string()), " ", _CUT + " ")
+        made = cuts.assemble(pc.split_pattern(marked, _CUT), self._ids_of)
+        rest = [t for t, s in zip(texts, smooth) if not s]
+        whole = self._replay([(self.full if _ODD.search(t) else self.plain).findall(t) for t in rest])
+        return cuts.merge(smooth, made, [np.frombuffer(w, "<u4") for w in whole])
 
 
 @functools.cache
@@ -200,7 +225,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def step(block: pa.RecordBatch) -> pa.RecordBatch:
         made = encoder(path, pattern).encode(block.column("text").to_pylist())
         offsets = np.concatenate(([0], np.cumsum([len(m) for m in made]))).astype(np.int32)
-        ids = pa.ListArray.from_arrays(offsets, np.concatenate([np.empty(0, np.int32), *made]))
+        ids = pa.ListArray.from_arrays(offsets, np.concatenate([np.empty(0, np.uint32), *made]).astype(np.int32))
         return pa.RecordBatch.from_arrays([block.column("doc_id"), ids], names=["doc_id", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
@@ -210,12 +235,19 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 def decode(coded: DataFrame, path: str) -> DataFrame:
     """The rows of ``encode`` with the bytes that the ids stand for."""
 
-    def run(batches):
-        token = vocabulary(path).bytes
+    def one(block: pa.RecordBatch) -> pa.RecordBatch:
+        lists = block.column("ids")
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        tokens = pa.array(vocabulary(path).bytes, pa.binary()).take(lists.flatten())
+        # The tokens' bytes lie end to end, so a text is the stretch between its first and last token.
+        _, offsets, data = tokens.buffers()
+        places = np.frombuffer(offsets, np.int32)[ends]
+        texts = pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(places), data])
+        return pa.RecordBatch.from_arrays([*block.columns, texts], names=["doc_id", "ids", "decoded"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                made = [b"".join(map(token.__getitem__, ids)) for ids in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.binary())], names=["doc_id", "ids", "decoded"])
+            for block in common.slices(batch, np.diff(batch.column("ids").offsets.to_numpy()), DECODED_IDS):
+                yield one(block)
 
     return coded.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")

@@ -50,12 +50,11 @@ def in_order(key: Column) -> Column:
     return F.xxhash64(key.cast("string"), F.lit("order"))
 
 
-def blocks(batch: pa.RecordBatch, column: str, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts hold about ``size`` bytes, one row at least."""
+def slices(batch: pa.RecordBatch, sizes: Iterable[int], most: int) -> Iterator[pa.RecordBatch]:
+    """Runs of a batch's rows whose sizes add up to ``most`` at most, one row at least."""
     start, held = 0, 0
-    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
-    for i, n in enumerate(lengths):
-        if held and held + n > size:
+    for i, n in enumerate(sizes):
+        if held and held + n > most:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += n
@@ -70,7 +69,8 @@ def by_block(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch, column, size):
+            lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
+            for block in slices(batch, lengths, size):
                 made = step(block)
                 if made is not None and made.num_rows:
                     yield made

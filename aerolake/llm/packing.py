@@ -35,19 +35,18 @@ PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, ids: bool = False) -> DataFrame:
     """The pieces of every document: place, length, checksum and, if wanted, the ids themselves."""
-    last = np.array([end_id], "<u4").tobytes()
+    last = np.array([end_id], "<u4")
 
     def step(block: pa.RecordBatch) -> pa.RecordBatch:
         docs_of, starts, parts, totals = [], [], [], []
         for doc, made in zip(block.column("doc_id").to_pylist(), words.encode(block.column("text"), vocabulary)):
-            whole = made + last
-            total = len(whole) // 4
-            for start in range(0, total, capacity):
+            whole = np.concatenate((made, last))
+            for start in range(0, len(whole), capacity):
                 docs_of.append(doc)
                 starts.append(start)
-                parts.append(whole[4 * start : 4 * (start + capacity)])
-                totals.append(total)
-        lengths = [len(p) // 4 for p in parts]
+                parts.append(whole[start : start + capacity])
+                totals.append(len(whole))
+        lengths = [len(p) for p in parts]
         columns = {
             "doc_id": pa.array(docs_of, pa.int64()),
             "start": pa.array(starts, pa.int64()),
@@ -56,7 +55,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
             "doc_tokens": pa.array(totals, pa.int64()),
         }
         if ids:
-            flat = np.frombuffer(b"".join(parts), "<u4").astype(np.int32)
+            flat = np.concatenate([np.empty(0, np.int32), *parts]).astype(np.int32)
             columns["ids"] = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32), flat)
         return pa.RecordBatch.from_pydict(columns)
 

@@ -1,10 +1,9 @@
-"""Exact token ids of whole texts, word by word.
+"""Exact token ids of whole texts, cut by cut.
 
-A ``tokenizers`` vocabulary that lower-cases, drops white space and splits by a fixed pattern gives
-every word its ids without regard to its neighbours. So a block of texts is split once, each distinct
-word is encoded by the library once, and texts are put together from the words' ids. Texts with
-characters on which Python and the library might disagree (outside Latin letters, usual punctuation and
-plain white space) are encoded by the library as a whole.
+A ``tokenizers`` vocabulary that lower-cases, drops white space and splits by a fixed pattern gives every
+word its ids without regard to its neighbours, and no word reaches over white space. So a block of texts
+is cut at white space, the words of each distinct cut are encoded by the library once, and texts are put
+together from the cuts' ids. Texts with characters that are not plain are encoded by the library whole.
 """
 
 from __future__ import annotations
@@ -16,26 +15,27 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-# Words whose ids a worker remembers between blocks; beyond it only the last block's stay.
-REMEMBERED = 300_000
+from aerolake.llm import cuts
 
-_PLAIN = [(0x09, 0x0A), (0x0D, 0x0D), (0x20, 0x7E), (0xA1, 0x24F), (0x2010, 0x2027)]
+# Words and cuts whose ids a worker remembers between blocks; beyond it it learns them anew.
+REMEMBERED = 400_000
 
 
 def _class(kind: str) -> str:
     """The lower-cased plain characters of a Unicode category, for a character class."""
-    plain = {x for a, b in _PLAIN for c in range(a, b + 1) for x in chr(c).lower()}
+    plain = {c.lower() for c in cuts.plain_characters()}
     return "".join(re.escape(c) for c in sorted(plain) if unicodedata.category(c)[0] == kind)
 
 
-_ODD = re.compile("[^" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _PLAIN) + "]")
+_ODD = re.compile(cuts.ODD)
 # Fixed: the word pattern of the vocabulary file, for plain characters.
 _WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_class('L')}]+|[{_class('N')}]|[^\\t\\n\\r {_class('L')}{_class('N')}]+")
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes."""
+    """Ids of texts; remembers the cuts and words it has met."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core already
@@ -43,24 +43,38 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        made = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in made]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _ODD.search(t) else _WORD.findall(t.lower()) for t in texts]
-        words = set().union(*(w for w in split if w))
-        new = [w for w in words if w not in self.known]
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            self.known.update(zip(part, self._whole(part)))
-        odd = iter(self._whole([t for t, w in zip(texts, split) if w is None]))
-        out = [next(odd) if w is None else b"".join(map(self.known.__getitem__, w)) for w in split]
-        if len(self.known) > REMEMBERED:
-            self.known = {w: self.known[w] for w in words} if len(words) <= REMEMBERED else {}
-        return out
+        self.words: dict[str, bytes] = {}
+        self.cuts: dict[str, bytes] = {}
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of single words, by one call over all of them, a blank between each two."""
+        made = self.library.encode(" ".join(words), add_special_tokens=False)
+        flat = np.array(made.ids, "<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(made.word_ids, minlength=len(words)))).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _ids_of(self, distinct: list[str]) -> list[bytes]:
+        known = self.cuts
+        if len(known) > REMEMBERED:
+            known.clear()
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        new = [c for c in distinct if c not in known]
+        split = [_WORD.findall(c) for c in new]
+        unmet = list({w for words in split for w in words}.difference(self.words))
+        for at in range(0, len(unmet), 4096):
+            part = unmet[at : at + 4096]
+            self.words.update(zip(part, self._words(part)))
+        of_word = self.words.__getitem__
+        known.update((c, of_word(w[0]) if len(w) == 1 else b"".join(map(of_word, w))) for c, w in zip(new, split))
+        return [known[c] for c in distinct]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        plain = [not _ODD.search(t) for t in texts]
+        lower = pc.utf8_lower(pa.array([t for t, p in zip(texts, plain) if p], pa.string()))
+        made = cuts.assemble(pc.utf8_split_whitespace(lower), self._ids_of)
+        whole = self.library.encode_batch_fast([t for t, p in zip(texts, plain) if not p], add_special_tokens=False)
+        return cuts.merge(plain, made, [np.array(e.ids, "<u4") for e in whole])
 
 
 @functools.cache
@@ -69,5 +83,5 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encode(texts: pa.Array, path: str) -> list[bytes]:
+def encode(texts: pa.Array, path: str) -> list[np.ndarray]:
     return encoder(path).encode(texts.to_pylist())
