@@ -1,0 +1,119 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from aerolake.llm import common, hamming, onebit
+
+ODD = [
+    (100, [1.0, 0.0, 0.5]),
+    (100, [1.0, 0.0, 0.5]),
+    (1, [1.0, 0.0, 0.5]),
+    (2, [2.0, 0.0, 1.0]),
+    (3, [-1.0, 0.5, 0.0]),
+    (4, None),
+    (5, [0.0, 0.0, 0.0]),
+    (6, [1.0, None, 0.0]),
+    (7, [1.0, float("nan"), 0.0]),
+    (8, [1.0, float("inf"), 0.0]),
+    (9, [1.0, 2.0]),
+    (200, [1.0, 3.0]),
+    (None, [1.0, 0.1, 0.5]),
+    (10, []),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame([(*r, "x", 1) for r in ODD], "vec_id long, vector array<float>, code string, row int")
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    return common.read(spark, "/root/testdata/sf0.1", "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+
+
+def answers(found, value):
+    out: dict = {}
+    for r in sorted(found.collect(), key=lambda r: (r.query_id, r.rank)):
+        out.setdefault(r.query_id, []).append((r.vec_id, r[value]))
+    return out
+
+
+@pytest.mark.parametrize("group_rows,block_rows", [(16_384, 512), (300, 7)])
+def test_onebit_recall_and_scores(vectors, group_rows, block_rows):
+    rows = {r.vec_id: np.array(r.vector, np.float64) for r in vectors.collect()}
+    ids, matrix = np.array(list(rows)), np.stack(list(rows.values()))
+    found = answers(
+        onebit.search(vectors, F.col("vec_id") % 50 == 0, group_rows=group_rows, block_rows=block_rows), "score"
+    )
+    assert set(found) == {i for i in rows if i % 50 == 0}
+    hits = total = 0
+    for query, got in found.items():
+        scores = onebit.cosine(matrix, rows[query])
+        scores[ids == query] = -2
+        best = [(int(ids[j]), float(scores[j])) for j in np.lexsort((ids, -scores))[:5]]
+        total += 5
+        hits += len(set(best) & set(got))
+        assert all(dict(zip(ids.tolist(), scores.tolist()))[i] == s for i, s in got)
+    assert hits / total >= 0.99
+
+
+def test_bounds_hold_and_choose(vectors):
+    """Nearly all true inner products lie within the bound, and the bound leaves most rows out."""
+    matrix = onebit._unit(np.array([r.vector for r in vectors.collect()], np.float64))
+    turned = matrix @ onebit.rotation(matrix.shape[1])
+    scalars = np.abs(turned).sum(axis=1) / np.sqrt(matrix.shape[1])
+    words = onebit.sign_words(turned)
+    inside, chosen = [], []
+    for i in range(0, len(matrix), 40):
+        guess, bound = onebit.estimates(words, scalars, turned[i])
+        true = matrix @ matrix[i]
+        inside.append((np.abs(guess - true) <= bound).mean())
+        chosen.append((guess + bound >= np.sort(true)[-6]).mean())
+    assert np.mean(inside) > 0.99
+    assert np.mean(chosen) < 0.5
+
+
+@pytest.mark.parametrize("group_rows,block_rows", [(65_536, 256), (300, 4)])
+def test_hamming_is_exact(vectors, group_rows, block_rows):
+    rows = [(r.vec_id, np.array(r.vector) > 0) for r in vectors.collect()]
+    ids, bits = np.array([i for i, _ in rows]), np.stack([b for _, b in rows])
+    found = answers(
+        hamming.search(vectors, F.col("vec_id") % 100 == 0, group_rows=group_rows, block_rows=block_rows), "distance"
+    )
+    for query, own in rows:
+        if query % 100 == 0:
+            far = (bits != own).sum(axis=1)
+            far[ids == query] = 10_000
+            assert found[query] == [(int(ids[j]), int(far[j])) for j in np.lexsort((ids, far))[:10]]
+
+
+@settings(deadline=None, max_examples=40)
+@given(st.integers(1, 70), st.integers(1, 60), st.integers(1, 12), st.integers(2, 9), st.integers(0, 10**6))
+def test_segment_index(bits, count, k, segment_bits, seed):
+    rng = np.random.default_rng(seed)
+    matrix = rng.integers(0, 2, (count, bits)).astype(np.uint8)
+    matrix[rng.integers(0, count, count // 2)] = matrix[0]
+    codes = np.packbits(matrix, axis=1, bitorder="little")
+    barred = rng.random(count) < 0.2
+    near, far = hamming.SegmentIndex(codes, bits, segment_bits).nearest(codes[0], k, barred, np.arange(count))
+    distance = (matrix != matrix[0]).sum(axis=1).astype(int)
+    want = [j for j in np.lexsort((np.arange(count), distance)).tolist() if not barred[j]][:k]
+    assert near.tolist() == want and far.tolist() == distance[want].tolist()
+
+
+def test_odd_vectors(odd):
+    near = answers(onebit.search(odd, F.col("vec_id") % 50 == 0), "score")
+    assert [i for i, _ in near[100]] == [1, 2, None, 3]
+    assert near[100][0][1] == near[100][1][1]
+    assert [i for i, _ in near[200]] == [9]
+    close = answers(hamming.search(odd, F.col("vec_id") % 100 == 0), "distance")
+    assert [i for i, _ in close[200]] == [9]
+    assert {5, 3} <= {i for i, _ in close[100]} and not {4, 6, 7, 8, 10} & {i for i, _ in close[100]}
+    empty = odd.limit(0)
+    assert onebit.search(empty, F.col("vec_id") % 50 == 0).count() == 0
+    assert hamming.search(empty, F.col("vec_id") % 50 == 0).count() == 0
