@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 
 from aerolake.llm import common, cuts
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 # Words and cuts whose ids a worker remembers between blocks; beyond it it replays them anew.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 # Ids that are decoded at a time.
 DECODED_IDS = 2 << 20
 NO_MERGE = np.iinfo(np.int32).max
@@ -219,35 +219,41 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id and the ids of its whole text."""
+def bytes_of(lists: pa.ListArray, path: str) -> pa.BinaryArray:
+    """The bytes that each list of ids stands for."""
+    ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    tokens = pa.array(vocabulary(path).bytes, pa.binary()).take(lists.flatten())
+    # The tokens' bytes lie end to end, so a text is the stretch between its first and last token.
+    _, offsets, data = tokens.buffers()
+    places = np.frombuffer(offsets, np.int32)[ends]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(places), data])
+
+
+def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> DataFrame:
+    """doc_id and the ids of its whole text; with ``decoded`` also the bytes that these ids stand for,
+    which spares handing the ids to a second worker."""
 
     def step(block: pa.RecordBatch) -> pa.RecordBatch:
         made = encoder(path, pattern).encode(block.column("text").to_pylist())
         offsets = np.concatenate(([0], np.cumsum([len(m) for m in made]))).astype(np.int32)
         ids = pa.ListArray.from_arrays(offsets, np.concatenate([np.empty(0, np.uint32), *made]).astype(np.int32))
-        return pa.RecordBatch.from_arrays([block.column("doc_id"), ids], names=["doc_id", "ids"])
+        columns = {"doc_id": block.column("doc_id"), "ids": ids}
+        if decoded:
+            columns["decoded"] = bytes_of(ids, path)
+        return pa.RecordBatch.from_pydict(columns)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
-    return rows.mapInArrow(common.by_block("text", step, BLOCK_BYTES), "doc_id long, ids array<int>")
+    schema = "doc_id long, ids array<int>" + ", decoded binary" * decoded
+    return rows.mapInArrow(common.by_block("text", step, BLOCK_BYTES), schema)
 
 
 def decode(coded: DataFrame, path: str) -> DataFrame:
     """The rows of ``encode`` with the bytes that the ids stand for."""
 
-    def one(block: pa.RecordBatch) -> pa.RecordBatch:
-        lists = block.column("ids")
-        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        tokens = pa.array(vocabulary(path).bytes, pa.binary()).take(lists.flatten())
-        # The tokens' bytes lie end to end, so a text is the stretch between its first and last token.
-        _, offsets, data = tokens.buffers()
-        places = np.frombuffer(offsets, np.int32)[ends]
-        texts = pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(places), data])
-        return pa.RecordBatch.from_arrays([*block.columns, texts], names=["doc_id", "ids", "decoded"])
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in common.slices(batch, np.diff(batch.column("ids").offsets.to_numpy()), DECODED_IDS):
-                yield one(block)
+                texts = bytes_of(block.column("ids"), path)
+                yield pa.RecordBatch.from_arrays([*block.columns, texts], names=["doc_id", "ids", "decoded"])
 
     return coded.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")

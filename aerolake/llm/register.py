@@ -47,8 +47,8 @@ def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and digest of every document's ids, and the digest of what they decode to."""
-    coded = bpe.encode(common.read(spark, sf_dir, "documents"), BYTE_VOCABULARY, public_tokenizers.PATTERN)
-    return bpe.decode(coded, BYTE_VOCABULARY).select(
+    docs = common.read(spark, sf_dir, "documents")
+    return bpe.encode(docs, BYTE_VOCABULARY, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
