@@ -44,6 +44,8 @@ def test_table_and_round_trip(spark, library):
     for row in coded:
         assert row.ids == library.encode_ordinary(texts[row.doc_id])
         assert bytes(row.decoded).decode() == texts[row.doc_id]
+    both = bpe.encode(docs, BYTE_VOCABULARY, public_tokenizers.PATTERN, decoded=True).collect()
+    assert sorted(both) == sorted(coded)
     assert QUERIES["op4_bpe"](spark, "/root/testdata/sf0.001").count() == len(texts)
 
 
