@@ -14,6 +14,7 @@ from aerolake.sources.seed import seed_table
 
 DICTIONARY = "camada string, tabela string, coluna string, comentario string"
 TAGS = "camada string, tabela string, etiqueta string, valor string"
+LOADS = "tabela string, versao int, operacao string, linhas long"
 EDGES = "origem string, destino string, data_evento date"
 
 
@@ -83,14 +84,12 @@ def lineage_edges(
     return pairs.distinct().orderBy("destino", "origem")
 
 
-def load_ledger(
-    df: DataFrame, version_col: str, ts_col: str, operation: str = "overwrite"
-) -> DataFrame:
-    """One row per load: operation, rows written, first ingest time."""
+def load_ledger(df: DataFrame, version_col: str, ts_col: str, operation_col: str) -> DataFrame:
+    """One row per load: recorded operation, rows written, first ingest time."""
     return (
         df.groupBy(version_col)
         .agg(
-            F.lit(operation).alias("operacao"),
+            F.min(operation_col).alias("operacao"),
             measures.rows().alias("linhas_escritas"),
             F.min(ts_col).alias("ingerido_em"),
         )

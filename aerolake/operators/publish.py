@@ -1,16 +1,24 @@
-"""Writing tables: full refresh, comments that travel with the schema, lineage edges."""
+"""Writing tables: full refresh, kept loads, comments that travel with the schema, logs."""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from aerolake.operators.governance import edge_rows
+from aerolake.operators.governance import LOADS, edge_rows
+from aerolake.sources.seed import seed_table
 
 VERSION = "_versao"
+# Beside the target: rows being written, and the old rows until the new ones are in place.
+COMING, LEAVING = "__novo", "__antigo"
+
+
+class KeptLoads(ValueError):
+    """A plain refresh would erase the loads that a table keeps."""
 
 
 def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
@@ -30,65 +38,198 @@ def publish(
     partition_by: Sequence[str] = (),
     version: int | None = None,
     clustered: bool = False,
+    log: str | None = None,
 ) -> int:
     """Replace ``target`` (a ``schema.table`` name, or a path) and return the rows it then holds.
 
+    The rows are written beside the target and take its place only when all of them are there, so a
+    refresh that fails leaves the old ones as they were.
+
     partition_by  writes directories a later filter prunes. The rows are rebalanced by these columns
                   first: adaptive execution merges small partitions into one file and splits the one
                   that holds a third of the table, so files come out near the advisory size.
     clustered     the rows already come in the order of these directories (a row-by-row result of a
                   table stored the same way), so the shuffle is left out.
     version       keeps earlier loads: only this version's rows are replaced, so a retried load
-                  leaves no copies. Read the history with load_ledger and snapshot_compare.
+                  leaves no copies. Columns that the table lacks are added, NULL in older loads;
+                  columns that the load lacks are NULL in it. A later publish without a version is
+                  an error. Read the history with load_ledger and snapshot_compare.
+    log           table to which (table, version, time, operation, rows) of this write is appended
     """
+    spark = df.sparkSession
     described = with_comments(df, comments or {})
+    _recover(spark, target)
+    existed = _exists(spark, target)
+    held = existed and VERSION in stored(spark, target).columns
+    if held and version is None:
+        raise KeptLoads(f"{target} keeps loads by version; publish with a version or drop it first")
     directories = list(partition_by)
     if version is not None:
         described = described.withColumn(VERSION, F.lit(version))
         directories = [VERSION, *directories]
     if partition_by and not clustered:
         described = described.hint("rebalance", *partition_by)
-    spark = df.sparkSession
-    is_path = "/" in target
-    keeps_loads = version is not None and (is_path or _holds_versions(spark, target))
-    if keeps_loads and not is_path:
-        # insertInto goes by position, and the stored table has its directory columns last.
-        ordered = described.select(*spark.table(target).columns)
-        ordered.write.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=True)
+    if held:
+        _add_load(described, target, directories)
+        rows = stored(spark, target).where(F.col(VERSION) == version).count()
     else:
-        _replace(described, target, directories, keeps_loads)
-    stored = spark.read.parquet(target) if is_path else spark.table(target)
-    if version is not None:
-        stored = stored.where(F.col(VERSION) == version)
-    return stored.count()
+        rows = _replace(described, target, directories)
+    if log is not None:
+        operation = "load" if version is not None else "refresh" if existed else "create"
+        log_load(spark, log, target, version, operation, rows)
+    return rows
+
+
+def stored(spark: SparkSession, target: str) -> DataFrame:
+    """A published table or path; the files of a path may have grown columns over time."""
+    return spark.read.option("mergeSchema", "true").parquet(target) if _is_path(target) else spark.table(target)
+
+
+def _is_path(target: str) -> bool:
+    return "/" in target
+
 
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
-def _holds_versions(spark: SparkSession, target: str) -> bool:
-    return spark.catalog.tableExists(target) and VERSION in spark.table(target).columns
+
+def _exists(spark: SparkSession, target: str) -> bool:
+    if not _is_path(target):
+        return spark.catalog.tableExists(target)
+    store, where = _hadoop(spark, target)
+    return store.exists(where)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    (store, old), (_, new) = _hadoop(spark, source), _hadoop(spark, target)
+    if not store.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    store, where = _hadoop(spark, path)
+    store.delete(where, True)
+
+
+def _location(spark: SparkSession, what: str) -> str:
+    rows = spark.sql(f"DESCRIBE {what}").collect()
+    return next(row[1] for row in rows if row[0] == "Location")
+
+
+def _beside(spark: SparkSession, target: str, mark: str) -> str:
+    """A folder beside the path, or in the folder of the table's schema."""
+    if _is_path(target):
+        return target.rstrip("/") + mark
+    schema, _, name = target.rpartition(".")
+    if schema:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    folder = _location(spark, f"SCHEMA {schema or spark.catalog.currentDatabase()}")
+    return f"{folder.rstrip('/')}/{name}{mark}"
 
 
-def _replace(df: DataFrame, target: str, directories: Sequence[str], keeps_loads: bool) -> None:
-    writer: DataFrameWriter = df.write.mode("overwrite").format("parquet")
+def _recover(spark: SparkSession, target: str) -> None:
+    """Undo a refresh that stopped before its last step: the old files still lie beside the target."""
+    leaving = _beside(spark, target, LEAVING)
+    if not _exists(spark, leaving + "/"):
+        return
+    old = spark.read.option("mergeSchema", "true").parquet(leaving)
+    inside = (old.inputFiles() or [""])[0].partition(LEAVING)[2].split("/")
+    directories = [step.partition("=")[0] for step in inside if "=" in step]
+    if _is_path(target):
+        _delete(spark, target)
+    _settle(spark, leaving, target, old.schema, directories)
+
+
+def _replace(df: DataFrame, target: str, directories: Sequence[str]) -> int:
+    """Write beside the target, count, then change places; only files are moved, never rows."""
+    spark = df.sparkSession
+    coming, leaving = _beside(spark, target, COMING), _beside(spark, target, LEAVING)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*directories).parquet(coming)
+    rows = spark.read.schema(df.schema).parquet(coming).count()
+    if _exists(spark, target):
+        _set_aside(spark, target)
+    _settle(spark, coming, target, df.schema, directories)
+    _delete(spark, leaving)
+    return rows
+
+
+def _set_aside(spark: SparkSession, target: str) -> None:
+    place = target if _is_path(target) else _location(spark, f"TABLE EXTENDED {target}")
+    _move(spark, place, _beside(spark, target, LEAVING))
+
+
+def _settle(
+    spark: SparkSession, folder: str, target: str, schema: StructType, directories: Sequence[str]
+) -> None:
+    """Make a folder of files the target. A table is made anew, without rows, and is given the files."""
+    if _is_path(target):
+        _move(spark, folder, target)
+        return
+    spark.sql(f"DROP TABLE IF EXISTS {target}")  # its files lie elsewhere by now
+    empty = spark.createDataFrame([], schema).write.format("parquet")
+    empty.partitionBy(*directories).saveAsTable(target)
+    place = _location(spark, f"TABLE EXTENDED {target}")
+    store, old = _hadoop(spark, folder)
+    for child in store.listStatus(old):
+        name = child.getPath().getName()
+        if name != "_SUCCESS":
+            _move(spark, f"{folder}/{name}", f"{place}/{name}")
     if directories:
-        writer = writer.partitionBy(*directories)
-    if "/" in target:
-        # A plain refresh drops partitions the new rows no longer have; a versioned one keeps other
-        # loads. Not set for tables: they would store the option and apply it to later inserts.
-        mode = "dynamic" if keeps_loads else "static"
-        writer.option("partitionOverwriteMode", mode).save(target)
+        spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(target)
+    _delete(spark, folder)
+
+
+def _add_load(df: DataFrame, target: str, directories: Sequence[str]) -> None:
+    """Replace one version's rows; the other versions' files are not touched, the schema only grows."""
+    spark = df.sparkSession
+    if _is_path(target):
+        writer = df.write.mode("overwrite").format("parquet").partitionBy(*directories)
+        writer.option("partitionOverwriteMode", "dynamic").save(target)
         return
-    schema, _, _ = target.rpartition(".")
+    known = spark.table(target).schema
+    added = [f for f in df.schema.fields if f.name not in known.names]
+    if added:
+        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({listed})")
+    # insertInto goes by position, and the stored table has its directory columns last.
+    wanted = spark.table(target).schema.fields
+    ordered = df.select(
+        *[
+            F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in wanted
+        ]
+    )
+    # insertInto takes the mode from the session only, so it is set for this one write.
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        ordered.write.insertInto(target, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
+def _append(rows: DataFrame, table: str) -> None:
+    schema, _, _ = table.rpartition(".")
     if schema:
-        df.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    writer.saveAsTable(target)
+        rows.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    rows.write.mode("append").format("parquet").saveAsTable(table)
+
+
+def log_load(
+    spark: SparkSession, log: str, target: str, version: int | None, operation: str, rows: int
+) -> None:
+    """Append one write to the load log."""
+    entry = seed_table(spark, [(target, version, operation, rows)], LOADS)
+    _append(entry.withColumn("instante", F.current_timestamp()), log)
 
 
 def log_edges(
     spark: SparkSession, target: str, sources: Sequence[str], log: str, run_date: dt.date
 ) -> None:
     """Append the lineage edges of one write to the log table; repeats collapse in the report."""
-    schema, _, _ = log.rpartition(".")
-    if schema:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    edges = edge_rows(spark, target, sources, run_date)
-    edges.write.mode("append").format("parquet").saveAsTable(log)
+    _append(edge_rows(spark, target, sources, run_date), log)

@@ -21,6 +21,7 @@ from aerolake.sources.seed import operation_codes
 
 INGESTED, TYPED, PROCESSED = "_ingerido_em", "_transformado_em", "_processado_em"
 EDGE_LOG = "governanca.linhagem"
+LOAD_LOG = "governanca.cargas"
 DICTIONARY = "governanca.dicionario"
 TAG_TABLE = "governanca.etiquetas"
 
@@ -89,7 +90,7 @@ def _store(
     clustered: bool = False,
 ) -> dict[str, int]:
     by = partition_by if options.partitioned else ()
-    rows = publish(df, target, comments_for(target, df.columns), by, version, clustered)
+    rows = publish(df, target, comments_for(target, df.columns), by, version, clustered, LOAD_LOG)
     log_edges(df.sparkSession, target, sources, EDGE_LOG, options.run_date)
     return {target: rows}
 

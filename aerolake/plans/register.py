@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 from aerolake.functions import measures, text
 from aerolake.operators import conform, governance, lookups, quality
 from aerolake.plans import consumption, gold, silver
-from aerolake.session import pin, size_shuffles, stored_bytes
+from aerolake.session import input_bytes, pin, size_shuffles
 from aerolake.sources import views
 from aerolake.sources.delimited import parse_delimited
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-_sized: dict[tuple[str, str], int] = {}
 
 AIRPORT_SIDES = ("icao_origem", "icao_destino")
 CODE_COLUMNS = ("codigo_di", "codigo_tipo_linha")
@@ -29,11 +28,9 @@ def query(build: Query) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         pin(spark)
-        known = (spark.conf.get("spark.app.id"), sf_dir)
-        if known not in _sized:
-            _sized[known] = stored_bytes(spark, sf_dir, "*.parquet")
-        size_shuffles(spark, _sized[known])
-        return build(spark, sf_dir)
+        result = build(spark, sf_dir)
+        size_shuffles(spark, input_bytes(result))
+        return result
 
     QUERIES[build.__name__] = run
     return build
@@ -400,15 +397,18 @@ def lineage_edges(spark, sf_dir):
 
 
 def _loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as three loads, told apart by the day of the month."""
+    """Events as three loads, told apart by the day of the month; the first one created the table."""
+    version = F.dayofmonth("ts") % 3
     return views.events(spark, sf_dir).select(
-        (F.dayofmonth("ts") % 3).alias("_versao"), F.col("ts").alias("_ingerido_em")
+        version.alias("_versao"),
+        F.col("ts").alias("_ingerido_em"),
+        F.when(version == 0, "create").otherwise("load").alias("_operacao"),
     )
 
 
 @query
 def load_ledger(spark, sf_dir):
-    return governance.load_ledger(_loads(spark, sf_dir), "_versao", "_ingerido_em")
+    return governance.load_ledger(_loads(spark, sf_dir), "_versao", "_ingerido_em", "_operacao")
 
 
 @query

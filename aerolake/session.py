@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Times are wall-clock readings, so UTC keeps daylight-saving gaps from shifting them.
@@ -19,18 +19,19 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 # Raw text is several times wider than its Parquet form once it is decoded into rows.
 DECODED_WIDTH = 4
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
-# More reduce partitions than this cost the driver more in map-output bookkeeping than they save.
-MOST_PARTITIONS = 20_000
 
 
 def pin(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
+    """Apply the runtime settings to a session somebody else built; they stay set.
+
+    All of them are about how times, numbers and shuffles of a query are treated. Nothing that decides
+    what a write replaces is among them.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -67,15 +68,26 @@ def stored_bytes(spark: SparkSession, paths: str | Iterable[str], pattern: str =
     return listing.agg(F.sum("length").alias("n")).first()["n"] or 0
 
 
-def partitions_for(stored: int, at_least: int) -> int:
-    """Shuffle partitions that keep one partition near 128 MB of decoded rows."""
-    wanted = math.ceil(stored * DECODED_WIDTH / SHUFFLE_PARTITION_BYTES)
-    return max(at_least, min(wanted, MOST_PARTITIONS))
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files below a query, as its optimised plan knows them; no job, no content."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
+    return sum(int(size.toString()) for size in sizes)
+
+
+def partitions_for(stored: int, at_least: int, partition_bytes: int = SHUFFLE_PARTITION_BYTES) -> int:
+    """Shuffle partitions that keep one partition near ``partition_bytes`` of decoded rows.
+
+    No upper bound: on a cluster with large executors, larger partitions keep the number down.
+    """
+    return max(at_least, math.ceil(stored * DECODED_WIDTH / partition_bytes))
 
 
-def size_shuffles(spark: SparkSession, stored: int) -> int:
+def size_shuffles(
+    spark: SparkSession, stored: int, partition_bytes: int = SHUFFLE_PARTITION_BYTES
+) -> int:
     """Raise the initial shuffle width to fit the input; adaptive execution merges what is too small."""
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = partitions_for(stored, floor)
+    wanted = partitions_for(stored, floor, partition_bytes)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return wanted

@@ -148,7 +148,10 @@ described AS (
 )"""
 
 LOADS = """
-loads AS (SELECT CAST(day(ts) % 3 AS INT) AS _versao, ts AS _ingerido_em FROM events)"""
+loads AS (
+  SELECT CAST(day(ts) % 3 AS INT) AS _versao, ts AS _ingerido_em,
+    IF(day(ts) % 3 = 0, 'create', 'load') AS _operacao
+  FROM events)"""
 
 CLOCK_PUNCTUAL = """CASE WHEN partida_real IS NOT NULL
   THEN COALESCE(partida_real <= partida_prevista, FALSE) END"""
@@ -424,7 +427,7 @@ STATEMENTS: dict[str, str] = {
         ORDER BY destino, origem""",
     "load_ledger": _with(
         LOADS,
-        body="""SELECT _versao, 'overwrite' AS operacao, COUNT(*) AS linhas_escritas,
+        body="""SELECT _versao, MIN(_operacao) AS operacao, COUNT(*) AS linhas_escritas,
             MIN(_ingerido_em) AS ingerido_em
           FROM loads GROUP BY _versao ORDER BY _versao""",
     ),

@@ -482,7 +482,7 @@ def test_blank_and_label_helpers(spark):
 
 def test_shuffle_width_follows_the_input(spark):
     assert partitions_for(0, 8) == 8
-    assert partitions_for(10 * 1024**4, 200) == 20_000
+    assert partitions_for(100 * 1024**4, 200, 2 * 1024**3) == 204_800
     assert partitions_for(3 * 1024**3, 8) == 96
     try:
         assert size_shuffles(spark, 3 * 1024**3) == 96

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aerolake.operators import governance, quality
-from aerolake.operators.publish import publish
+from aerolake.operators.publish import KeptLoads, publish, stored
 from aerolake.plans import pipeline
 from aerolake.plans.dictionary import GLOSSARY
 from aerolake.sources import layouts
@@ -178,6 +178,7 @@ def test_refresh_drops_vanished_partitions(spark, tmp_path):
     for target in ("t_refresh.b", str(tmp_path / "b")):
         assert publish(first, target, partition_by=["p"]) == 10
         assert publish(first.where("p = 1"), target, partition_by=["p"]) == 3
+        assert stored(spark, target).count() == 3
 
 
 def test_null_partition_round_trips(spark):
@@ -204,23 +205,106 @@ def test_hot_partition_is_split_into_several_files(spark, tmp_path):
 @pytest.mark.parametrize("kind", ["table", "path"])
 def test_versions_are_kept_and_reloads_replace(spark, tmp_path, kind):
     target = "t_refresh.v" if kind == "table" else str(tmp_path / "v")
-    stamped = lambda n: spark.range(n).withColumn("_ingerido_em", F.current_timestamp())
-    assert publish(stamped(5), target, version=0) == 5
-    assert publish(stamped(8), target, version=1) == 8
-    assert publish(stamped(7), target, version=1) == 7
-    stored = spark.table(target) if kind == "table" else spark.read.parquet(target)
-    ledger = governance.load_ledger(stored, "_versao", "_ingerido_em").collect()
+    def stamped(n, operation):
+        rows = spark.range(n).withColumn("_ingerido_em", F.current_timestamp())
+        return rows.withColumn("_operacao", F.lit(operation))
+
+    assert publish(stamped(5, "create"), target, version=0) == 5
+    assert publish(stamped(8, "load"), target, version=1) == 8
+    assert publish(stamped(7, "load"), target, version=1) == 7
+    rows = stored(spark, target)
+    ledger = governance.load_ledger(rows, "_versao", "_ingerido_em", "_operacao").collect()
     assert [(r["_versao"], r["operacao"], r["linhas_escritas"]) for r in ledger] == [
-        (0, "overwrite", 5),
-        (1, "overwrite", 7),
+        (0, "create", 5),
+        (1, "load", 7),
     ]
-    both = governance.snapshot_compare(stored, "_versao", "_ingerido_em").collect()
+    both = governance.snapshot_compare(rows, "_versao", "_ingerido_em").collect()
     assert [(r["carga"], r["_versao"], r["linhas"]) for r in both] == [
         ("primeira carga", 0, 5),
         ("carga atual", 1, 7),
     ]
 
 
+@pytest.fixture(params=["table", "path"])
+def target(request, tmp_path):
+    name = f"t_{abs(hash(request.node.name))}"
+    return f"t_publish.{name}" if request.param == "table" else str(tmp_path / name)
+
+
+def broken(spark):
+    return spark.range(9).withColumn("id", F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("broken"))))
+
+
+def test_a_refresh_that_fails_keeps_the_old_rows(spark, target):
+    publish(spark.range(4), target)
+    with pytest.raises(Exception, match="broken"):
+        publish(broken(spark), target)
+    assert stored(spark, target).count() == 4
+    assert publish(spark.range(6), target) == 6
+    assert landed(stored(spark, target)) == [(i,) for i in range(6)]
+
+
+def test_a_load_that_fails_keeps_all_loads(spark, target):
+    publish(spark.range(4), target, version=0)
+    with pytest.raises(Exception, match="broken"):
+        publish(broken(spark), target, version=0)
+    assert stored(spark, target).count() == 4
+
+
+def test_a_refresh_that_stopped_between_its_moves_is_put_right(spark, target):
+    from aerolake.operators import publish as writer
+
+    publish(spark.range(4).withColumn("p", F.col("id") % 2), target, {"id": "A number."}, ["p"])
+    writer._set_aside(spark, target)
+    with pytest.raises(Exception, match="broken"):
+        publish(broken(spark), target)
+    rows = stored(spark, target)
+    assert landed(rows.select("id", "p")) == [(0, 0), (1, 1), (2, 0), (3, 1)]
+    assert rows.schema["id"].metadata["comment"] == "A number."
+
+
+def test_versioned_loads_widen_the_schema(spark, target):
+    publish(spark.range(2).withColumn("x", F.lit("a")), target, version=0)
+    publish(spark.range(3).withColumn("novo", F.lit(7)), target, version=1)
+    rows = stored(spark, target).select("id", "x", "novo", "_versao")
+    assert landed(rows) == sorted(
+        [(0, "a", None, 0), (1, "a", None, 0), (0, None, 7, 1), (1, None, 7, 1), (2, None, 7, 1)], key=str
+    )
+
+
+def test_a_plain_refresh_does_not_erase_kept_loads(spark, target):
+    publish(spark.range(2), target, version=0)
+    with pytest.raises(KeptLoads):
+        publish(spark.range(3), target)
+    assert stored(spark, target).count() == 2
+
+
+def test_every_write_is_logged(spark, target):
+    log = f"t_publish.log_{abs(hash(target))}"
+    publish(spark.range(2), target, log=log)
+    publish(spark.range(3), target, log=log)
+    rows = spark.table(log).orderBy("instante").select("tabela", "versao", "operacao", "linhas").collect()
+    assert [tuple(r) for r in rows] == [(target, None, "create", 2), (target, None, "refresh", 3)]
+
+
+def test_the_callers_overwrite_mode_stays(spark, tmp_path):
+    """After a query and a publish, a plain partitioned overwrite still replaces the whole table."""
+    publish(spark.range(4), str(tmp_path / "other"), version=1)
+    rows = spark.range(6).withColumn("p", F.col("id") % 3)
+    for part in (rows, rows.where("p = 1")):
+        part.write.mode("overwrite").partitionBy("p").parquet(str(tmp_path / "plain"))
+    assert spark.read.parquet(str(tmp_path / "plain")).count() == 2
+
+
+def test_a_rewritten_table_shows_its_new_columns(spark, tmp_path):
+    from aerolake.sources import views
+
+    spark.range(3).write.parquet(str(tmp_path / "part.parquet"))
+    assert views.table(spark, str(tmp_path), "part").columns == ["id"]
+    spark.range(3).withColumn("more", F.lit(1)).write.mode("overwrite").parquet(str(tmp_path / "part.parquet"))
+    assert views.table(spark, str(tmp_path), "part").where("more = 1").count() == 3
+
+
 # --- the whole build -------------------------------------------------------------------------
 
 FLIGHT_HEADER = list(layouts.FLIGHT_COLUMNS)
@@ -323,6 +407,10 @@ def test_pipeline(spark, sources):
     edges = governance.lineage_edges(spark.table("governanca.linhagem"), "gold.", dt.date(2026, 2, 5))
     assert ("silver.vra", "gold.fato_voos") in {tuple(r) for r in edges.collect()}
 
+    # every write is on record
+    log = spark.table("governanca.cargas").where("tabela = 'gold.fato_voos'")
+    assert log.select("operacao", "linhas").collect()[0]["linhas"] == 5
+
     # a second run gives the same tables
     again = pipeline.run(spark, sources, options)
     assert again == written
