@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.functions import measures, text
+from aerolake.session import broadcastable, small
 
 MATCH = "__lookup_key"
 SALT = "__salt"
@@ -36,20 +37,21 @@ def join_lookup(
     fallback: Mapping[str, str] | None = None,
     present_flag: str | None = None,
     on_duplicate: str = "keep",
-    fixed: bool = False,
     salts: int = 1,
     salt_by: Sequence[str] = (),
 ) -> DataFrame:
     """Left-outer lookup that keeps every row of ``df``.
 
+    A blank key names nobody and finds nothing. The lookup is broadcast if it is a literal list or its
+    files are below Catalyst's threshold; beyond that the join shuffles and adaptive execution splits
+    hot keys.
+
     take          lookup column -> output column
     domain        (column, value) the lookup rows must carry; unmatched rows of ``df`` still stay
     fallback      output column -> label; a missing value becomes the label followed by the key
     present_flag  output column telling whether the key was found
     on_duplicate  'keep' repeats a row for each lookup row of its key (plain SQL behaviour),
                   'error' fails the query on a key found twice, 'merge' takes the least row per key
-    fixed         the lookup is a literal list of the program, so it is broadcast outright; any other
-                  lookup is broadcast only if Catalyst finds it below its size threshold
     salts         spread each key over that many shuffle partitions, for clusters where adaptive
                   skew splitting is off; the lookup is repeated once per salt
     salt_by       columns of ``df`` that deal out the salts (default: all of them)
@@ -58,7 +60,8 @@ def join_lookup(
     if domain is not None:
         side = side.where(F.col(domain[0]) == F.lit(domain[1]))
     side = side.select(F.col(lookup_key).alias(MATCH), *[F.col(c).alias(o) for c, o in take.items()])
-    side = _with_policy(side, on_duplicate)
+    side = _with_policy(side.where(text.has_text(F.col(MATCH))), on_duplicate)
+    few = salts == 1 and broadcastable(side)
 
     condition = F.col(key) == F.col(MATCH)
     helpers = [MATCH]
@@ -71,7 +74,7 @@ def join_lookup(
         side = side.withColumn(SALT + "_side", F.explode(every_salt))
         condition = condition & (F.col(SALT) == F.col(SALT + "_side"))
         helpers += [SALT, SALT + "_side"]
-    joined = left.join(F.broadcast(side) if fixed else side, condition, "left")
+    joined = left.join(F.broadcast(side) if few else side, condition, "left")
 
     settled = {
         out: text.labelled(F.col(out), label, F.col(key)) for out, label in (fallback or {}).items()
@@ -88,9 +91,7 @@ def _with_policy(side: DataFrame, on_duplicate: str) -> DataFrame:
         return side
     values = [c for c in side.columns if c != MATCH]
     packed = F.struct(*map(F.col, values)) if values else F.lit(0)
-    # Operators without a code share the blank key; it names nobody, so it may repeat.
-    single = side.where(text.has_text(F.col(MATCH))).groupBy(MATCH)
-    single = single.agg(measures.rows().alias("__n"), F.min(packed).alias("__row"))
+    single = side.groupBy(MATCH).agg(measures.rows().alias("__n"), F.min(packed).alias("__row"))
     key = F.col(MATCH)
     if on_duplicate == "error":
         complaint = F.concat(F.lit("lookup key found more than once: "), key.cast("string"))
@@ -117,7 +118,6 @@ def uncovered_keys(
     dim: DataFrame,
     key: str,
     domain: str | None = None,
-    fixed: bool = False,
 ) -> DataFrame:
     """Keys of ``df`` that the dimension lacks, with the rows that carry them.
 
@@ -129,7 +129,7 @@ def uncovered_keys(
     condition = F.col("chave") == F.col("__known")
     if domain:
         condition = condition & (F.col("coluna") == F.col("__domain"))
-    return used.join(F.broadcast(known) if fixed else known, condition, "left_anti")
+    return used.join(small(known), condition, "left_anti")
 
 
 def coverage(

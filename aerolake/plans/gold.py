@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.functions import clock, rules, text
+from aerolake.functions import rules, text
 from aerolake.operators import conform
 from aerolake.operators.lookups import join_lookup, key_set
 from aerolake.operators.quality import AUDIT, dedupe_exact, quarantine_range
@@ -141,25 +141,20 @@ def leg_rules(legs: DataFrame, locale: str = "en", quarantine: bool = False) ->
         timed = F.col("partida_real").isNotNull() & F.col("partida_prevista").isNotNull()
         lost = flown & timed & F.col("atraso_partida_min").isNull()
         legs = legs.withColumn("atraso_fora_de_faixa", lost)
-    planned = F.col("partida_prevista")
+    legs = conform.classify(legs, "codigo_tipo_linha", SCOPES, "escopo_voo")
+    legs = conform.route(legs, "icao_origem", "icao_destino", "rota")
+    legs = conform.calendar_parts(legs, "partida_prevista", locale)
+    for end in ("partida", "chegada"):
+        legs = conform.on_time(legs, f"atraso_{end}_min", f"{end}_pontual", PUNCTUAL_MINUTES)
     return legs.withColumns(
         {
-            "escopo_voo": rules.classified(F.col("codigo_tipo_linha"), SCOPES, None),
-            "rota": text.joined(F.col("icao_origem"), F.col("icao_destino")),
-            "hora_partida_prevista": F.hour(planned),
-            "dia_semana": clock.weekday(planned, locale),
-            "mes_referencia": F.date_trunc("month", planned),
-            "partida_pontual": rules.on_time(F.col("atraso_partida_min"), PUNCTUAL_MINUTES),
-            "chegada_pontual": rules.on_time(F.col("atraso_chegada_min"), PUNCTUAL_MINUTES),
             "voo_realizado": F.col("situacao_voo") == FLOWN,
             "voo_cancelado": F.col("situacao_voo") == CANCELLED,
         }
     )
 
 
-def decode_codes(
-    legs: DataFrame, codes: DataFrame, fixed: bool = False, label: str | None = None
-) -> DataFrame:
+def decode_codes(legs: DataFrame, codes: DataFrame, label: str | None = None) -> DataFrame:
     """Describe both operation codes from the one code list."""
     for column, out in (("codigo_di", "descricao_di"), ("codigo_tipo_linha", "descricao_tipo_linha")):
         legs = join_lookup(
@@ -170,7 +165,6 @@ def decode_codes(
             take={"descricao": out},
             domain=("dominio", column),
             fallback={out: label} if label else None,
-            fixed=fixed,
         )
     return legs
 
@@ -179,7 +173,6 @@ def fact_legs(
     legs: DataFrame,
     airlines: DataFrame,
     codes: DataFrame,
-    fixed_codes: bool = False,
     quarantine: bool = False,
     dedupe: bool = False,
     on_duplicate: str = "keep",
@@ -204,7 +197,7 @@ def fact_legs(
         salts=salts,
         salt_by=SALT_BY,
     )
-    ruled = leg_rules(decode_codes(named, codes, fixed_codes), quarantine=quarantine)
+    ruled = leg_rules(decode_codes(named, codes), quarantine=quarantine)
     return ruled.select(*passed, *FACT_COLUMNS)
 
 
@@ -228,7 +221,7 @@ def role_play_registry(legs: DataFrame, registry: DataFrame, salts: int = 1) ->
 
     The dimension holds every code the legs use, so joining it back adds nothing the registry and the
     rules do not give. This needs no pass over the legs to collect their codes, and the registry's
-    size is known from its files, while that of a dimension still to be computed is not.
+    size is measured from its files, while that of a dimension still to be computed is not known.
     """
     for role in AIRPORT_ROLES:
         code = F.col(f"icao_{role}")
@@ -256,7 +249,6 @@ def obt_enriched(
     airlines: DataFrame,
     codes: DataFrame,
     airports: DataFrame,
-    fixed_codes: bool = False,
     on_duplicate: str = "keep",
     salts: int = 1,
 ) -> DataFrame:
@@ -280,6 +272,6 @@ def obt_enriched(
     wide = play(wide, airports, salts)
     ends = [F.coalesce(f"municipio_{role}", f"icao_{role}") for role in AIRPORT_ROLES]
     wide = wide.withColumn("rota_municipios", text.joined(*ends))
-    wide = decode_codes(wide, codes, fixed_codes, UNLISTED_CODE)
+    wide = decode_codes(wide, codes, UNLISTED_CODE)
     ruled = leg_rules(wide, locale="pt", quarantine=True).withColumnRenamed("rota", "rota_icao")
     return ruled.select(*passed, *WIDE_COLUMNS)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from aerolake.functions import measures, text
 from aerolake.operators import conform, governance, lookups, quality
 from aerolake.plans import consumption, gold, silver
-from aerolake.session import input_bytes, pin, size_shuffles
+from aerolake.session import input_bytes, keep_small, pin, size_shuffles
 from aerolake.sources import views
 from aerolake.sources.delimited import parse_delimited
 
@@ -233,7 +233,7 @@ def dim_airport(spark, sf_dir):
 @query
 def decode_codes(spark, sf_dir):
     coded = views.silver_vra(spark, sf_dir).select("event_id", *CODE_COLUMNS)
-    return gold.decode_codes(coded, views.silver_codigos(spark, sf_dir), fixed=True)
+    return gold.decode_codes(coded, views.silver_codigos(spark, sf_dir))
 
 
 @query
@@ -242,7 +242,6 @@ def fact_legs(spark, sf_dir):
         views.silver_vra(spark, sf_dir),
         views.silver_empresas(spark, sf_dir),
         views.silver_codigos(spark, sf_dir),
-        fixed_codes=True,
     )
 
 
@@ -253,7 +252,6 @@ def obt_enriched(spark, sf_dir):
         views.silver_empresas(spark, sf_dir),
         views.silver_codigos(spark, sf_dir),
         views.silver_aerodromos(spark, sf_dir),
-        fixed_codes=True,
     )
 
 
@@ -261,7 +259,8 @@ def obt_enriched(spark, sf_dir):
 def airport_roles(spark, sf_dir):
     """The computed dimension joined for the origin and for the destination."""
     legs = views.silver_vra(spark, sf_dir).select("event_id", *AIRPORT_SIDES)
-    dim = gold.dim_airport(legs, views.silver_aerodromos(spark, sf_dir))
+    # Stored first, as the build does: only then is its size known before the legs move.
+    dim = keep_small(gold.dim_airport(legs, views.silver_aerodromos(spark, sf_dir)))
     return gold.role_play(legs, dim)
 
 
@@ -344,7 +343,6 @@ def uncatalogued_codes(spark, sf_dir):
         views.silver_codigos(spark, sf_dir),
         "codigo",
         domain="dominio",
-        fixed=True,
     )
 
 

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.functions import clock
 from aerolake.operators import conform
 from aerolake.operators.lookups import union_with_provenance
 
@@ -35,12 +34,11 @@ def legs(raw: DataFrame, formats: Sequence[str] | None = None, guess: bool = Fal
     """
     sentinels = {**dict.fromkeys(TIMES, NO_TIME), "codigo_justificativa": NO_REASON}
     typed = conform.parse_timestamps(conform.nullify(raw, sentinels), TIMES, formats, guess)
-    departure = clock.minutes_between(F.col("partida_prevista"), F.col("partida_real"))
-    arrival = clock.minutes_between(F.col("chegada_prevista"), F.col("chegada_real"))
-    metrics = (departure, arrival, departure - arrival)
-    typed = conform.split_time(typed, TIMES).withColumns(
-        {name: minutes.try_cast("int") for name, minutes in zip(DELAYS, metrics)}
-    )
+    typed = conform.split_time(typed, TIMES)
+    ends = (TIMES[:2], TIMES[2:])
+    for pair, delay in zip(ends, DELAYS):
+        typed = conform.elapsed_minutes(typed, *pair, delay)
+    typed = conform.regained_minutes(typed, *ends, DELAYS[-1])
 
     timed = [f"{t}{part}" for t in TIMES for part in ("", "_data", "_hora")]
     ordered = [*KEYS, *timed, "situacao_voo", "codigo_justificativa", *DELAYS]

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import tempfile
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Times are wall-clock readings, so UTC keeps daylight-saving gaps from shifting them.
@@ -72,7 +74,59 @@ def input_bytes(df: DataFrame) -> int:
     """Bytes of the files below a query, as its optimised plan knows them; no job, no content."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
-    return sum(int(size.toString()) for size in sizes)
+    return sum(int(str(size)) for size in sizes)
+
+
+def broadcastable(df: DataFrame) -> bool:
+    """Whether a side is small by measure: a literal list, or files below Catalyst's own threshold.
+
+    Catalyst multiplies the sizes of joined tables, so a small registry that is itself a join looks
+    large to it. A registry joined to smaller lists stays near the size of its files.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    if all(leaves.apply(i).nodeName() == "LocalRelation" for i in range(leaves.size())):
+        return True
+    return input_bytes(df) * DECODED_WIDTH <= _broadcast_bytes(df.sparkSession)
+
+
+def _broadcast_bytes(spark: SparkSession) -> int:
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
+def small(df: DataFrame) -> DataFrame:
+    """The frame, hinted for a broadcast if it is small by measure."""
+    return F.broadcast(df) if broadcastable(df) else df
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
+
+    Where it is unset a local session gets a folder of its own; on a cluster that is an error, since
+    executors do not see one another's disks.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="shared-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    return named
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """The rows, computed once and stored in the shared folder; a lost executor loses none of them."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def keep_small(df: DataFrame) -> DataFrame:
+    """The rows stored, and hinted for a broadcast if what was stored is below Catalyst's threshold."""
+    stored = keep(df)
+    width = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
+    held = stored.agg(F.sum(reduce(Column.__add__, width))).first()[0] or 0
+    return F.broadcast(stored) if held <= _broadcast_bytes(df.sparkSession) else stored
 
 
 def partitions_for(stored: int, at_least: int, partition_bytes: int = SHUFFLE_PARTITION_BYTES) -> int:

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from aerolake.operators import lookups, quality
 from aerolake.plans import consumption, gold
 from aerolake.plans.register import QUERIES
+from aerolake.session import broadcastable
 from aerolake.sources import views
 from tests import compare
+from tests.conftest import DATA
 
 SHUFFLE_FREE = (
     "bronze_vra",
@@ -69,11 +71,30 @@ def test_fact_broadcasts_its_lookups(spark, sf_dir):
     assert "hashpartitioning" not in text
 
 
+@pytest.mark.parametrize("name", ["fact_legs", "obt_enriched", "airport_roles"])
+def test_small_registries_leave_the_legs_where_they_are(spark, name):
+    """The plan that ran, not the first one: no exchange of the legs at the bench's size."""
+    result = QUERIES[name](spark, str(DATA / "sf0.1"))
+    result.write.format("noop").mode("overwrite").save()
+    result.count()
+    ran = plan(result)
+    assert not re.search(r"(?<!Broadcast)Exchange", ran)
+    assert "SortMergeJoin" not in ran
+
+
+def test_size_decides_on_a_broadcast(spark, sf_dir):
+    registry = views.silver_aerodromos(spark, sf_dir)
+    assert broadcastable(registry) and broadcastable(views.silver_codigos(spark, sf_dir))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="1k"):
+        assert not broadcastable(registry)
+        assert broadcastable(views.silver_codigos(spark, sf_dir))
+        assert "BroadcastHashJoin" not in plan(gold.role_play_registry(views.silver_vra(spark, sf_dir), registry))
+
+
 def test_only_named_columns_are_read(spark, sf_dir):
     text = plan(QUERIES["status_profile"](spark, sf_dir))
     assert "props" not in text and "user_id" not in text
     assert re.search(r"ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string>", text)
-    assert "ReadSchema: struct<>" in plan(QUERIES["row_parity"](spark, sf_dir))
 
 
 @pytest.mark.parametrize("name", ["delay_by_hour", "monthly_summary", "weekday_pattern", "route_ranking"])
@@ -135,6 +156,11 @@ SMALL_SKEW = {
     "spark__sql__adaptive__advisoryPartitionSizeInBytes": "256k",
     "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "512k",
 }
+TINY_SKEW = {
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "32k",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "64k",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
+}
 
 
 def build_fact(spark, sf_dir, legs, salts=1):
@@ -142,7 +168,6 @@ def build_fact(spark, sf_dir, legs, salts=1):
         legs,
         views.silver_empresas(spark, sf_dir),
         views.silver_codigos(spark, sf_dir),
-        fixed_codes=True,
         salts=salts,
     )
 
@@ -159,6 +184,17 @@ def test_hot_airline_is_split_when_the_registry_outgrows_a_broadcast(spark, sf_d
     assert "AQEShuffleRead coalesced and skewed" in final or "AQEShuffleRead skewed" in final
 
 
+def test_hot_airport_is_split_when_the_registry_outgrows_a_broadcast(spark, sf_dir, hot_legs):
+    registry = views.silver_aerodromos(spark, sf_dir)
+    expected = checksum(gold.role_play_registry(hot_legs, registry))
+    with settings(spark, **NO_BROADCAST, **TINY_SKEW):
+        wide = gold.role_play_registry(hot_legs, registry)
+        assert checksum(wide) == expected
+        executed = wide.groupBy("pais_origem").agg(F.count("nome_aeroporto_destino"), F.max("partida_real_hora"), F.max("icao_empresa"))
+        executed.collect()
+        assert "SortMergeJoin(skew=true)" in plan(executed)
+
+
 def test_salting_spreads_a_hot_airline(spark, sf_dir, hot_legs):
     expected = checksum(build_fact(spark, sf_dir, hot_legs))
     with settings(spark, **NO_BROADCAST, spark__sql__adaptive__enabled="false"):
