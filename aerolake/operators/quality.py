@@ -53,16 +53,28 @@ def row_parity(
     actual: DataFrame,
     expected: str | None = None,
     difference: str | None = "diferenca",
+    key: str | None = None,
+    same_keys: str = "mesmas_chaves",
 ) -> DataFrame:
-    """One row: the count of each part, their sum, the target's count, and what is missing."""
+    """One row: the count of each part, their sum, the target's count, and what is missing.
+
+    With a whole-number ``key`` also whether both sides hold the same keys equally often, by their sum
+    and exclusive or. That makes the rows themselves be read; a bare count of a row-by-row result is
+    answered from file footers and cannot show a row that was lost on the way.
+    """
     tables = {**parts, target: actual}
-    counted = [
-        df.agg(measures.rows().alias("n")).select(F.lit(name).alias("t"), "n")
-        for name, df in tables.items()
-    ]
-    one_row = reduce(DataFrame.unionByName, counted).agg(
-        *[F.sum(F.when(F.col("t") == name, F.col("n"))).alias(name) for name in tables]
-    )
+    checks = [measures.rows().alias("n")]
+    if key is not None:
+        long_key = F.coalesce(F.col(key).cast("long"), F.lit(0))
+        checks += [F.sum(long_key.cast("decimal(38,0)")).alias("s"), F.bit_xor(long_key).alias("x")]
+    counted = [df.agg(*checks).withColumn("t", F.lit(name)) for name, df in tables.items()]
+    on_target = F.col("t") == target
+    both = reduce(DataFrame.unionByName, counted)
+    sides = [F.sum(F.when(F.col("t") == name, F.col("n"))).alias(name) for name in tables]
+    if key is not None:
+        sums = F.sum(F.when(on_target, -F.col("s")).otherwise(F.col("s")))
+        sides.append(((sums == 0) & (F.bit_xor("x") == 0)).alias(same_keys))
+    one_row = both.agg(*sides)
     total = reduce(Column.__add__, [F.col(name) for name in parts])
     columns = [F.col(name) for name in parts]
     if expected is not None:
@@ -70,6 +82,8 @@ def row_parity(
     columns.append(F.col(target))
     if difference is not None:
         columns.append((total - F.col(target)).alias(difference))
+    if key is not None:
+        columns.append(F.coalesce(F.col(same_keys), total == F.col(target)).alias(same_keys))
     return one_row.select(*columns)
 
 

@@ -92,6 +92,7 @@ def sentinel_profile(spark, sf_dir):
             "partida_real_texto_null": measures.hits_or_null(departed == silver.NO_TIME),
             "partida_prevista_texto_null": measures.hits_or_null(planned == silver.NO_TIME),
             "com_fracao_de_segundo": measures.hits_or_null(departed.contains(".")),
+            "prevista_com_fracao_de_segundo": measures.hits_or_null(planned.contains(".")),
         },
     )
 
@@ -157,19 +158,24 @@ def read_times(spark, sf_dir):
 
 @query
 def row_parity(spark, sf_dir):
-    return quality.row_parity(
-        {"bronze_vra": views.bronze_vra(spark, sf_dir)}, "silver_vra", views.silver_vra(spark, sf_dir)
-    )
+    """Raw legs against the fact, whose lookups repeat the legs of an airline code registered twice."""
+    raw, fact = views.bronze_vra(spark, sf_dir), fact_legs(spark, sf_dir)
+    return quality.row_parity({"bronze_vra": raw}, "fato_voos", fact, key="event_id")
 
 
 @query
 def union_parity(spark, sf_dir):
+    """Airline codes of both registries against the different codes of their union."""
+
+    def coded(df: DataFrame) -> DataFrame:
+        return df.where(text.has_text(F.col("icao"))).select("icao")
+
     parts = {
-        "bronze_nacionais": views.bronze_national(spark, sf_dir),
-        "bronze_estrangeiras": views.bronze_foreign(spark, sf_dir),
+        "bronze_nacionais": coded(views.bronze_national(spark, sf_dir)),
+        "bronze_estrangeiras": coded(views.bronze_foreign(spark, sf_dir)),
     }
-    actual = views.silver_empresas(spark, sf_dir)
-    return quality.row_parity(parts, "silver_empresas", actual, "soma_esperada", difference=None)
+    actual = coded(views.silver_empresas(spark, sf_dir)).distinct()
+    return quality.row_parity(parts, "silver_empresas", actual, "soma_esperada")
 
 
 @query
@@ -304,6 +310,14 @@ def dim_coverage(spark, sf_dir):
 
 @query
 def lookup_duplicates(spark, sf_dir):
+    """Airline codes that stand in both registries, and the legs that a lookup by them repeats."""
+    airlines, legs = views.silver_empresas(spark, sf_dir), views.silver_vra(spark, sf_dir)
+    named = airlines.where(text.has_text(F.col("icao")))
+    return lookups.duplicate_keys(named, "icao", legs, "icao_empresa")
+
+
+@query
+def nation_duplicates(spark, sf_dir):
     """Nation codes more than one supplier has, and the customers a lookup by them would repeat."""
     return lookups.duplicate_keys(
         views.table(spark, sf_dir, "supplier"),
@@ -313,6 +327,33 @@ def lookup_duplicates(spark, sf_dir):
     )
 
 
+@query
+def fact_merged(spark, sf_dir):
+    """The fact with one registry row, the least, for an airline code that is registered twice."""
+    return gold.fact_legs(
+        views.silver_vra(spark, sf_dir),
+        views.silver_empresas(spark, sf_dir),
+        views.silver_codigos(spark, sf_dir),
+        on_duplicate="merge",
+    )
+
+
+@query
+def dictionary_gaps(spark, sf_dir):
+    """Documents as columns and labelled documents as their descriptions: columns without one, and
+    descriptions of no column. A document without a quality label is undescribed; long ones are no column."""
+    documents = views.table(spark, sf_dir, "documents")
+    where = [
+        F.lit("corpus").alias("camada"),
+        F.lit("documents").alias("tabela"),
+        F.col("doc_id").cast("string").alias("coluna"),
+    ]
+    described = views.table(spark, sf_dir, "labels").select(
+        *where, F.when(F.col("quality") == 1, "boa").otherwise("").alias("comentario")
+    )
+    return governance.dictionary_gaps(described, documents.where("n_chars < 3000").select(*where))
+
+
 @query
 def plausible_range(spark, sf_dir):
     flagged = quality.quarantine_range(

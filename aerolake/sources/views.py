@@ -44,9 +44,14 @@ def bronze_vra(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat(CASE WHEN user_id % 3 = 0 THEN 'KJ' ELSE 'SB' END, user_id) AS icao_origem",
         "CASE WHEN event_id % 97 = 0 THEN ''"
         " ELSE concat(CASE WHEN event_id % 4 = 0 THEN 'KJ' ELSE 'SB' END, user_id + hour(ts)) END AS icao_destino",
-        f"CASE WHEN event_id % 50 = 0 THEN 'null' ELSE {time_text('date_trunc(\'hour\', ts)', SECONDS)} END"
-        " AS partida_prevista",
-        f"CASE WHEN {flown} THEN {time_text('ts', MICROS)} ELSE 'null' END AS partida_real",
+        f"CASE WHEN event_id % 50 = 0 THEN 'null'"
+        f" WHEN event_id % 30 = 7 THEN concat({time_text('date_trunc(\'hour\', ts)', SECONDS)}, '.5')"
+        f" ELSE {time_text('date_trunc(\'hour\', ts)', SECONDS)} END AS partida_prevista",
+        # Some legs leave days late or hours early, beyond what is plausible.
+        f"CASE WHEN NOT {flown} THEN 'null'"
+        f" WHEN event_id % 211 = 0 THEN {time_text(later('ts', '1500'), MICROS)}"
+        f" WHEN event_id % 223 = 0 THEN {time_text(later('ts', '-300'), MICROS)}"
+        f" ELSE {time_text('ts', MICROS)} END AS partida_real",
         f"{time_text(later('date_trunc(\'hour\', ts)', '60'), SECONDS)} AS chegada_prevista",
         f"CASE WHEN {flown} THEN"
         f" {time_text(later('ts', '(event_id * 7) % 120'), MICROS)}"
@@ -76,7 +81,8 @@ def bronze_national(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").selectExpr(
-        "concat('X', s_suppkey) AS icao",
+        # Every fortieth is also in the other registry, under the same code.
+        "concat(CASE WHEN s_suppkey % 40 = 5 THEN '' ELSE 'X' END, s_suppkey) AS icao",
         "concat('S', s_nationkey) AS sigla_iata",
         "s_name AS razao_social",
         "'REGULAR' AS servico",

@@ -16,8 +16,11 @@ raw_legs AS (
     CASE WHEN event_id % 97 = 0 THEN ''
          ELSE (CASE WHEN event_id % 4 = 0 THEN 'KJ' ELSE 'SB' END) || (user_id + hour(ts)) END AS icao_destino,
     CASE WHEN event_id % 50 = 0 THEN 'null'
-         ELSE strftime(CAST(date_trunc('hour', ts) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') END AS partida_prevista,
-    CASE WHEN event_type = 'error' THEN 'null' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS partida_real,
+         ELSE strftime(CAST(date_trunc('hour', ts) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S')
+           || IF(event_id % 30 = 7, '.5', '') END AS partida_prevista,
+    CASE WHEN event_type = 'error' THEN 'null'
+         ELSE strftime(ts + to_minutes(CASE WHEN event_id % 211 = 0 THEN 1500 WHEN event_id % 223 = 0 THEN -300
+           ELSE 0 END), '%Y-%m-%d %H:%M:%S.%f') END AS partida_real,
     strftime(date_trunc('hour', ts) + INTERVAL 60 MINUTE, '%Y-%m-%d %H:%M:%S') AS chegada_prevista,
     CASE WHEN event_type = 'error' THEN 'null'
          ELSE strftime(ts + to_minutes(CAST((event_id * 7) % 120 AS INT)), '%Y-%m-%d %H:%M:%S.%f') END AS chegada_real,
@@ -71,7 +74,7 @@ airlines AS (
     'nacional' AS origem_cadastro, 'nacionais.csv' AS _arquivo_origem
   FROM customer
   UNION ALL
-  SELECT 'X' || s_suppkey, 'S' || s_nationkey, s_name, 'REGULAR', 'Cidade ' || s_nationkey,
+  SELECT IF(s_suppkey % 40 = 5, '', 'X') || s_suppkey, 'S' || s_nationkey, s_name, 'REGULAR', 'Cidade ' || s_nationkey,
     CAST(s_nationkey AS VARCHAR), CASE WHEN s_acctbal >= 0 THEN 'ATIVA' ELSE 'INATIVA' END,
     'estrangeira', 'estrangeiras.csv'
   FROM supplier
@@ -218,7 +221,8 @@ STATEMENTS: dict[str, str] = {
           CAST(SUM(IF(partida_real IS NULL, 1, 0)) AS BIGINT) AS partida_real_nula,
           CAST(SUM(IF(partida_real = 'null', 1, 0)) AS BIGINT) AS partida_real_texto_null,
           CAST(SUM(IF(partida_prevista = 'null', 1, 0)) AS BIGINT) AS partida_prevista_texto_null,
-          CAST(SUM(IF(contains(partida_real, '.'), 1, 0)) AS BIGINT) AS com_fracao_de_segundo
+          CAST(SUM(IF(contains(partida_real, '.'), 1, 0)) AS BIGINT) AS com_fracao_de_segundo,
+          CAST(SUM(IF(contains(partida_prevista, '.'), 1, 0)) AS BIGINT) AS prevista_com_fracao_de_segundo
           FROM raw_legs""",
     ),
     "file_manifest": """
@@ -249,15 +253,19 @@ STATEMENTS: dict[str, str] = {
     ),
     "row_parity": _with(
         LEGS,
-        body="""SELECT b.n AS bronze_vra, s.n AS silver_vra, b.n - s.n AS diferenca
-          FROM (SELECT COUNT(*) AS n FROM raw_legs) b, (SELECT COUNT(*) AS n FROM legs) s""",
+        AIRLINES,
+        body="""SELECT b.n AS bronze_vra, f.n AS fato_voos, b.n - f.n AS diferenca, b.keys = f.keys AS mesmas_chaves
+          FROM (SELECT COUNT(*) AS n, list(event_id ORDER BY event_id) AS keys FROM raw_legs) b,
+            (SELECT COUNT(*) AS n, list(event_id ORDER BY event_id) AS keys
+             FROM legs LEFT JOIN airlines ON icao_empresa = icao) f""",
     ),
     "union_parity": _with(
         AIRLINES,
         body="""SELECT c.n AS bronze_nacionais, s.n AS bronze_estrangeiras, c.n + s.n AS soma_esperada,
-            a.n AS silver_empresas
-          FROM (SELECT COUNT(*) AS n FROM customer) c, (SELECT COUNT(*) AS n FROM supplier) s,
-            (SELECT COUNT(*) AS n FROM airlines) a""",
+            a.n AS silver_empresas, c.n + s.n - a.n AS diferenca
+          FROM (SELECT COUNT(*) AS n FROM customer WHERE c_acctbal >= -900) c,
+            (SELECT COUNT(*) AS n FROM supplier) s,
+            (SELECT COUNT(DISTINCT icao) AS n FROM airlines WHERE icao <> '') a""",
     ),
     "key_coverage": """
         SELECT 'empresas_nacionais' AS tabela, COUNT(*) AS linhas,
@@ -382,7 +390,33 @@ STATEMENTS: dict[str, str] = {
           UNION ALL
           SELECT coluna, chave, linhas, 'cadastro' FROM used WHERE chave NOT IN (SELECT icao FROM airports)""",
     ),
-    "lookup_duplicates": """
+    "lookup_duplicates": _with(
+        RAW_LEGS,
+        AIRLINES,
+        body="""SELECT icao AS chave, COUNT(*) AS linhas_cadastro,
+            (SELECT COUNT(*) FROM raw_legs WHERE icao_empresa = icao) AS linhas_fato
+          FROM airlines WHERE icao <> '' GROUP BY icao HAVING COUNT(*) > 1""",
+    ),
+    "fact_merged": _with(
+        LEGS,
+        RULED,
+        AIRLINES,
+        CODES,
+        """registered AS (
+          SELECT icao, MIN({'razao_social': razao_social, 'origem_cadastro': origem_cadastro}) AS least
+          FROM airlines WHERE icao <> '' GROUP BY icao)""",
+        """single AS (SELECT icao, least.razao_social AS razao_social, least.origem_cadastro AS origem_cadastro
+          FROM registered)""",
+        body=f"SELECT {FACT_LIST} FROM ruled LEFT JOIN single ON icao_empresa = icao",
+    ),
+    "dictionary_gaps": """
+        WITH described AS (SELECT CAST(doc_id AS VARCHAR) AS coluna FROM labels WHERE quality = 1),
+        columns AS (SELECT CAST(doc_id AS VARCHAR) AS coluna FROM documents WHERE n_chars < 3000)
+        SELECT 'corpus' AS camada, 'documents' AS tabela, coluna, 'sem_coluna' AS falta
+        FROM described WHERE coluna NOT IN (SELECT coluna FROM columns)
+        UNION ALL SELECT 'corpus', 'documents', coluna, 'sem_comentario'
+        FROM columns WHERE coluna NOT IN (SELECT coluna FROM described)""",
+    "nation_duplicates": """
         SELECT s_nationkey AS chave, COUNT(*) AS linhas_cadastro,
           (SELECT COUNT(*) FROM customer WHERE c_nationkey = s_nationkey) AS linhas_fato
         FROM supplier GROUP BY s_nationkey HAVING COUNT(*) > 1""",
