@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -10,6 +9,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolake.session import keep, shared_folder
+
+__all__ = ["by_block", "in_order", "keep", "read", "shared_folder", "slices", "text_or_empty"]
+
 # Texts handed to a Python step at a time; keeps a step's memory flat whatever an Arrow batch holds.
 BLOCK_BYTES = 8 << 20
 
@@ -18,29 +21,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
-
-    Where it is unset a local session gets a folder of its own; on a cluster that is an error, since
-    executors do not see one another's disks.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named is None:
-        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="shared-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
-    return named
-
-
-def keep(df: DataFrame) -> DataFrame:
-    """The rows, computed once and stored in the shared folder; a lost executor loses none of them."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
