@@ -18,13 +18,21 @@ LOADS = "tabela string, versao int, operacao string, linhas long"
 EDGES = "origem string, destino string, data_evento date"
 
 
-def data_dictionary(spark: SparkSession, schemas: Mapping[tuple[str, str], StructType]) -> DataFrame:
-    """One row per column of the given tables, with the comment the schema carries."""
+def data_dictionary(
+    spark: SparkSession,
+    schemas: Mapping[tuple[str, str], StructType],
+    tables: Mapping[tuple[str, str], str] | None = None,
+) -> DataFrame:
+    """One row per column of the given tables, with the comment the schema carries.
+
+    Descriptions of whole tables come as rows with a blank column name.
+    """
     rows = [
         (layer, table, field.name, (field.metadata or {}).get("comment"))
         for (layer, table), schema in schemas.items()
         for field in schema.fields
     ]
+    rows += [(*place, "", text) for place, text in (tables or {}).items()]
     return seed_table(spark, rows, DICTIONARY)
 
 

@@ -106,7 +106,18 @@ SPECIAL = {
     },
 }
 
-# The tag sets of the published tables.
+TABLES = {
+    ("silver", "vra"): "Typed flight legs, one for each raw row, with delays and regained minutes.",
+    ("silver", "empresas"): "Airlines of both registries, each row marked with its registry.",
+    ("silver", "aerodromos"): "Registered aerodromes; altitude in metres.",
+    ("silver", "codigos_operacao"): "Authorisation and line-type codes in words.",
+    ("gold", "obt_voos"): "Wide legs with punctuality by the clock, without tolerance.",
+    ("gold", "obt_voos_enriquecida"): "Wide legs with airline, both airports and codes in words; implausible delays withheld.",
+    ("gold", "dim_aeroporto"): "Every airport that a leg uses, registered or not.",
+    ("gold", "fato_voos"): "Legs with airline, codes in words, punctuality at 15 minutes and calendar columns.",
+}
+
+# Tag sets of the published tables unless the build is given others.
 TAGS = {
     ("silver", "vra"): {
         "camada": "silver",
@@ -135,7 +146,14 @@ TAGS = {
     ("gold", "obt_voos"): {
         "camada": "gold",
         "dominio": "aviacao",
-        "consumo": "genie",
+        "consumo": "perguntas",
+        "grao": "etapa_de_voo",
+        "padrao": "obt",
+    },
+    ("gold", "obt_voos_enriquecida"): {
+        "camada": "gold",
+        "dominio": "aviacao",
+        "consumo": "perguntas",
         "grao": "etapa_de_voo",
         "padrao": "obt",
     },

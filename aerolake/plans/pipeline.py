@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.operators import governance
+from aerolake.functions import measures
+from aerolake.operators import governance, lookups
 from aerolake.operators.conform import stamp
 from aerolake.operators.publish import VERSION, log_edges, publish
 from aerolake.plans import gold, silver
-from aerolake.plans.dictionary import TAGS, comments_for
-from aerolake.session import pin, size_shuffles, stored_bytes
+from aerolake.plans.dictionary import TABLES, TAGS, comments_for
+from aerolake.session import broadcastable, pin, size_shuffles, stored_bytes
 from aerolake.sources import layouts
 from aerolake.sources.delimited import read_delimited
 from aerolake.sources.seed import operation_codes
@@ -24,6 +26,7 @@ EDGE_LOG = "governanca.linhagem"
 LOAD_LOG = "governanca.cargas"
 DICTIONARY = "governanca.dicionario"
 TAG_TABLE = "governanca.etiquetas"
+CHECK_TABLE = "governanca.verificacoes"
 
 PUBLISHED = (
     "silver.vra",
@@ -51,11 +54,16 @@ class Inputs:
         return [p for f in fields for p in ([f] if isinstance(f, str) else f)]
 
 
+class Breach(ValueError):
+    """A check of the stored tables found a difference."""
+
+
 @dataclass(frozen=True)
 class Options:
     """``partitioned`` stores legs by day and the fact by month, whose column then comes last in the
     table; ``version`` keeps each load of the raw legs. Times in any form that Spark's cast reads are taken, or only
-    those of ``time_formats``; ``guess_times`` also completes a bare time of day or year."""
+    those of ``time_formats``; ``guess_times`` also completes a bare time of day or year. Checks of
+    the stored tables are always published; with ``strict`` a breach is an error as well."""
 
     run_date: dt.date
     partitioned: bool = True
@@ -66,6 +74,8 @@ class Options:
     quarantine_fact: bool = False
     on_duplicate: str = "keep"
     salts: int = 1
+    strict: bool = False
+    tags: Mapping[tuple[str, str], Mapping[str, str]] = field(default_factory=lambda: TAGS)
 
 
 def run(spark: SparkSession, inputs: Inputs, options: Options) -> Mapping[str, int]:
@@ -76,7 +86,8 @@ def run(spark: SparkSession, inputs: Inputs, options: Options) -> Mapping[str, i
         **build_bronze(spark, inputs, options),
         **build_silver(spark, options),
         **build_gold(spark, options),
-        **build_governance(spark),
+        **build_governance(spark, options),
+        **build_checks(spark, options),
     }
 
 
@@ -145,7 +156,9 @@ def build_gold(spark: SparkSession, options: Options) -> dict[str, int]:
     dim = stamp(gold.dim_airport(legs, airports), PROCESSED)
     written |= _store(dim, "gold.dim_aeroporto", ["silver.vra", "silver.aerodromos"], options)
 
-    lookups = ["silver.vra", "silver.empresas", "silver.codigos_operacao"]
+    sources = ["silver.vra", "silver.empresas", "silver.codigos_operacao"]
+    # Stored by day, and nothing moves the rows: each task already holds few months.
+    in_place = broadcastable(airlines) and options.salts == 1
     fact = gold.fact_legs(
         legs,
         airlines,
@@ -155,26 +168,89 @@ def build_gold(spark: SparkSession, options: Options) -> dict[str, int]:
         on_duplicate=options.on_duplicate,
         salts=options.salts,
     )
-    written |= _store(stamp(fact, PROCESSED), "gold.fato_voos", lookups, options, month)
+    kept = in_place and not options.dedupe_fact
+    written |= _store(stamp(fact, PROCESSED), "gold.fato_voos", sources, options, month, clustered=kept)
 
+    stored_dim = spark.table("gold.dim_aeroporto")
     wide = gold.obt_enriched(
         legs,
         airlines,
         codes,
-        spark.table("gold.dim_aeroporto"),
+        stored_dim,
         on_duplicate=options.on_duplicate,
         salts=options.salts,
     )
-    sources = [*lookups, "gold.dim_aeroporto"]
+    sources = [*sources, "gold.dim_aeroporto"]
     target = "gold.obt_voos_enriquecida"
-    return written | _store(stamp(wide, PROCESSED), target, sources, options, month)
+    kept = in_place and broadcastable(stored_dim)
+    return written | _store(stamp(wide, PROCESSED), target, sources, options, month, clustered=kept)
 
 
-def build_governance(spark: SparkSession) -> dict[str, int]:
+def build_governance(spark: SparkSession, options: Options) -> dict[str, int]:
     """The dictionary as the tables carry it, and their tags."""
     schemas = {tuple(name.split(".")): spark.table(name).schema for name in PUBLISHED}
-    dictionary = governance.data_dictionary(spark, schemas)
+    dictionary = governance.data_dictionary(spark, schemas, TABLES)
     return {
         DICTIONARY: publish(dictionary, DICTIONARY),
-        TAG_TABLE: publish(governance.tag_rows(spark, TAGS), TAG_TABLE),
+        TAG_TABLE: publish(governance.tag_rows(spark, options.tags), TAG_TABLE),
     }
+
+
+# --- checks of what was stored ---------------------------------------------------------------
+
+
+def stored_checks(spark: SparkSession, options: Options) -> DataFrame:
+    """(verificacao, alvo, esperado, encontrado) of the tables as they lie there now.
+
+    Rows that were lost or repeated on the way, times that hold text but were not read, airline codes
+    registered twice, and airports of the legs that the dimension lacks.
+    """
+    raw = spark.table("bronze.vra")
+    if options.version is not None:
+        raw = raw.where(F.col(VERSION) == options.version)
+    legs, airlines = spark.table("silver.vra"), spark.table("silver.empresas")
+
+    def rows(*tables: DataFrame) -> DataFrame:
+        counted = [t.agg(measures.rows().alias("n")) for t in tables]
+        return reduce(DataFrame.unionByName, counted).agg(F.sum("n").alias("n"))
+
+    def times(df: DataFrame, name: str) -> DataFrame:
+        written = F.col(name).isNotNull() & (F.col(name).cast("string") != silver.NO_TIME)
+        return df.agg(F.count(F.when(written, 1)).alias("n"))
+
+    none = spark.range(1).select(F.lit(0).cast("long").alias("n"))
+    registries = [spark.table(f"bronze.empresas_{kind}") for kind in ("nacionais", "estrangeiras")]
+    named = airlines.where(F.col("icao") != "")
+    airports = lookups.uncovered_keys(legs, ("icao_origem", "icao_destino"), spark.table("gold.dim_aeroporto"), "icao_aeroporto")
+    checks = [
+        ("linhas", "silver.vra", rows(raw), rows(legs)),
+        ("linhas", "silver.empresas", rows(*registries), rows(airlines)),
+        ("linhas", "silver.aerodromos", rows(spark.table("bronze.aerodromos")), rows(spark.table("silver.aerodromos"))),
+        ("linhas", "gold.obt_voos", rows(legs), rows(spark.table("gold.obt_voos"))),
+        ("linhas", "gold.obt_voos_enriquecida", rows(legs), rows(spark.table("gold.obt_voos_enriquecida"))),
+        ("chave_unica", "silver.empresas", none, rows(lookups.duplicate_keys(named, "icao"))),
+        ("cobertura", "gold.dim_aeroporto", none, rows(airports)),
+        *[("tempo_lido", f"silver.vra.{t}", times(raw, t), times(legs, t)) for t in silver.TIMES],
+    ]
+    if not options.dedupe_fact:
+        checks.append(("linhas", "gold.fato_voos", rows(legs), rows(spark.table("gold.fato_voos"))))
+    sides = [
+        side.select(F.lit(check).alias("verificacao"), F.lit(place).alias("alvo"), F.lit(end).alias("lado"), "n")
+        for check, place, expected, found in checks
+        for end, side in (("esperado", expected), ("encontrado", found))
+    ]
+    lined_up = reduce(DataFrame.unionByName, sides).groupBy("verificacao", "alvo")
+    return lined_up.agg(
+        *[F.coalesce(F.sum(F.when(F.col("lado") == x, F.col("n"))), F.lit(0)).alias(x) for x in ("esperado", "encontrado")]
+    ).withColumn("diferenca", F.col("esperado") - F.col("encontrado"))
+
+
+def build_checks(spark: SparkSession, options: Options) -> dict[str, int]:
+    """Publish the checks; with ``strict`` a difference is an error, after it has been published."""
+    written = publish(stored_checks(spark, options), CHECK_TABLE)
+    if options.strict:
+        breaches = spark.table(CHECK_TABLE).where("diferenca <> 0").orderBy("verificacao", "alvo").collect()
+        if breaches:
+            told = "; ".join(f"{r['verificacao']} {r['alvo']}: {r['esperado']} expected, {r['encontrado']} found" for r in breaches)
+            raise Breach(told)
+    return {CHECK_TABLE: written}

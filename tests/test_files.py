@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from aerolake.operators import governance, quality
 from aerolake.operators.publish import KeptLoads, publish, stored
-from aerolake.plans import pipeline
+from aerolake.plans import gold, pipeline
 from aerolake.plans.dictionary import GLOSSARY
 from aerolake.sources import layouts
 from aerolake.sources.delimited import MissingColumns, read_delimited
+from tests.test_plans import plan
 
 PREAMBLE = "Atualizado em: 01/02/2026"
 COLUMNS = {"Código": "codigo", "Nome": "nome", "Nota": "nota"}
@@ -401,12 +402,20 @@ def test_pipeline(spark, sources):
     # every published column is described
     covered = governance.doc_coverage(spark.table("governanca.dicionario"), ("camada", "tabela"))
     assert {r["pct_documentado"] for r in covered.collect()} == {100.0}
+    told = spark.table("governanca.dicionario").where("coluna = ''")
+    assert told.count() == len(pipeline.PUBLISHED)
+    checks = {(r["verificacao"], r["alvo"]): r["diferenca"] for r in spark.table("governanca.verificacoes").collect()}
+    assert len(checks) == 12 and set(checks.values()) == {0}
     tags = governance.tag_listing(spark.table("governanca.etiquetas"), "gold").collect()
-    assert len(tags) == 15
+    assert len(tags) == 20
 
     edges = governance.lineage_edges(spark.table("governanca.linhagem"), "gold.", dt.date(2026, 2, 5))
     assert ("silver.vra", "gold.fato_voos") in {tuple(r) for r in edges.collect()}
 
+    # the fact is a row-by-row result of the stored legs, so its write needs no exchange
+    silver = [spark.table(f"silver.{t}") for t in ("vra", "empresas", "codigos_operacao")]
+    assert "Exchange hashpartitioning" not in plan(gold.fact_legs(*silver))
+
     # every write is on record
     log = spark.table("governanca.cargas").where("tabela = 'gold.fato_voos'")
     assert log.select("operacao", "linhas").collect()[0]["linhas"] == 5
@@ -426,6 +435,32 @@ def test_pipeline_options(spark, sources):
     assert spark.table("gold.fato_voos").columns[-1] == "_processado_em"
 
 
+def test_checks_show_what_went_wrong(spark, sources):
+    """A lost row, an unread time and a code registered twice each show up, and can stop the build."""
+    options = pipeline.Options(run_date=dt.date(2026, 2, 1), strict=True)
+    spark.sql("DROP TABLE IF EXISTS bronze.vra")
+    pipeline.run(spark, sources, options)
+    legs = spark.table("silver.vra")
+    publish(legs.where("icao_empresa <> 'XXX'").withColumn("chegada_real", F.lit(None).cast("timestamp")), "silver.vra")
+    airlines = spark.table("silver.empresas")
+    publish(airlines.unionByName(airlines.where("icao = 'TAP'")), "silver.empresas")
+    with pytest.raises(pipeline.Breach, match="chave_unica silver.empresas: 0 expected, 1 found"):
+        pipeline.build_checks(spark, options)
+    found = spark.table("governanca.verificacoes").where("diferenca <> 0").collect()
+    assert {(r["verificacao"], r["alvo"]): r["diferenca"] for r in found} == {
+        ("linhas", "silver.vra"): 1,
+        ("linhas", "silver.empresas"): -1,
+        ("linhas", "gold.obt_voos"): -1,
+        ("linhas", "gold.obt_voos_enriquecida"): -1,
+        ("linhas", "gold.fato_voos"): -1,
+        ("chave_unica", "silver.empresas"): -1,
+        ("tempo_lido", "silver.vra.partida_prevista"): 1,
+        ("tempo_lido", "silver.vra.partida_real"): 1,
+        ("tempo_lido", "silver.vra.chegada_prevista"): 1,
+        ("tempo_lido", "silver.vra.chegada_real"): 4,
+    }
+
+
 def test_glossary_has_no_column_of_its_own(spark):
     """A stale description or an undescribed column shows up as a gap."""
     schema = governance.seed_table(
