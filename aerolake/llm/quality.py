@@ -184,12 +184,14 @@ def fit(
     )
     # Both samples are bounded, so their ids go to every task and the texts stay where they are.
     ids = F.broadcast(chosen.unionByName(others))
-    texts = docs.select(doc_id.cast("long").alias("doc_id"), "text", *[c for c in METADATA if c in docs.columns])
+    read = ["text", *[c for c in METADATA if c in docs.columns]]
+    texts = docs.select(doc_id.cast("long").alias("doc_id"), F.struct(*read).alias("row"))
     part = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION_PART))
+    # A doc_id that stands on many rows counts once, by its least row, so the samples stay bounded.
+    single = texts.join(ids, "doc_id").groupBy("doc_id", "label").agg(F.min("row").alias("row"))
+    single = single.select("label", part.alias("part"), "row.*")
     views = (content(F.col("text")), metadata(docs))
-    rows = common.keep(
-        texts.join(ids, "doc_id").select(*[v.alias(n) for v, n in zip(views, VIEWS)], "label", part.alias("part"))
-    )
+    rows = common.keep(single.select(*[v.alias(n) for v, n in zip(views, VIEWS)], "label", "part"))
     rows = rows.coalesce(2)  # two small tasks for each of the many short passes
     known = rows.where("label is not null").withColumn("weight", F.lit(1.0))
     counts = {(r["label"], r["held"]): r["count"] for r in known.groupBy("label", (F.col("part") == 0).alias("held")).count().collect()}

@@ -233,9 +233,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         .limit(sample_rows)
     )
     texts = docs.select(doc_id.cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
-    sample = common.keep(
-        texts.join(F.broadcast(marked), "doc_id").withColumn("fold", fold_of(doc_id)).select("text", "label", "fold")
-    )
+    # A doc_id that stands on many rows counts once, by its least text, so the sample stays bounded.
+    single = texts.join(F.broadcast(marked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    sample = common.keep(single.withColumn("fold", fold_of(doc_id)).select("text", "label", "fold"))
     learning = sample.where(F.col("fold") != CALIBRATION_FOLD)
     counts = {r["label"]: r["count"] for r in learning.groupBy("label").count().collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
