@@ -7,7 +7,7 @@ has been met; the search ends once the k-th verified distance is covered by that
 result is exact whatever the data.
 
 Codes are sign bits of vectors. Vectors that are null or hold null or non-finite components have no code
-and take no part; codes are compared with those of the same length only. Rows with the query's id are its
+and take no part, nor do rows without an id; codes are compared with those of the same length only. Rows with the query's id are its
 own row and no candidates; equal (id, code) rows count once. Fewer candidates than ``k`` give fewer rows,
 an empty table none. Further columns are ignored.
 """
@@ -48,7 +48,7 @@ def sign_codes(vectors: DataFrame) -> DataFrame:
 
     finite = F.forall("vector", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("vector").cast("array<double>").alias("vector"))
-    usable = rows.where(F.col("vector").isNotNull() & (F.size("vector") > 0) & finite)
+    usable = rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & (F.size("vector") > 0) & finite)
     return usable.mapInArrow(run, "vec_id long, bits int, code binary").distinct()
 
 
