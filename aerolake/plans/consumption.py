@@ -36,14 +36,15 @@ def rate_by(
 
 
 def with_airline_name(report: DataFrame, airlines: DataFrame) -> DataFrame:
-    return join_lookup(
-        report,
-        airlines,
-        key="icao_empresa",
-        lookup_key="icao",
-        take={"razao_social": "nome_companhia"},
-        on_duplicate="merge",
+    """The report's airlines by name, the least one of a code registered twice.
+
+    The choice comes after the join, so only rows of reported airlines are grouped, not the registry.
+    """
+    named = join_lookup(
+        report, airlines, key="icao_empresa", lookup_key="icao", take={"razao_social": "nome_companhia"}
     )
+    least = F.min(F.struct("nome_companhia")).alias("least")
+    return named.groupBy(*report.columns).agg(least).select(*report.columns, "least.nome_companhia")
 
 
 def delay_by_hour(fact: DataFrame) -> DataFrame:
