@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from aerolake.session import keep, shared_folder
 
-__all__ = ["by_block", "in_order", "keep", "read", "shared_folder", "slices", "text_or_empty"]
+__all__ = ["by_block", "in_order", "keep", "per_text", "read", "shared_folder", "slices", "text_or_empty"]
 
 # Texts handed to a Python step at a time; keeps a step's memory flat whatever an Arrow batch holds.
 BLOCK_BYTES = 8 << 20
+TEXTS = 256
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -42,6 +43,24 @@ def slices(batch: pa.RecordBatch, sizes: Iterable[int], most: int) -> Iterator[p
         yield batch.slice(start)
 
 
+def per_text(make: Callable[[], Callable[[str], list[float]]], text: Column) -> Column:
+    """An array of doubles for each text, by a reader that every task makes for itself.
+
+    Texts become Python strings a few at a time, whatever an Arrow batch holds.
+    """
+
+    @F.arrow_udf("array<double>")
+    def read(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        reader = make()
+        for part in parts:
+            rows = []
+            for at in range(0, len(part), TEXTS):
+                rows += map(reader, part.slice(at, TEXTS).to_pylist())
+            yield pa.array(rows, pa.list_(pa.float64()))
+
+    return read(F.coalesce(text, F.lit("")))
+
+
 def by_block(
     column: str, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], size: int = BLOCK_BYTES
 ) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

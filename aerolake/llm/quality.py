@@ -17,11 +17,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -66,7 +64,7 @@ def read_content(text: str) -> list[float]:
     lengths = np.fromiter(map(len, words), np.float64, n)
     return [
         1.0,
-        np.log1p(n) / 10,
+        float(np.log1p(n)) / 10,
         repeats / n,
         counts.most_common(1)[0][1] / n,
         1.0 - len(counts) / n,
@@ -78,18 +76,13 @@ def read_content(text: str) -> list[float]:
         max(marks.values(), default=0) / n,
         letters / chars,
         digits / chars,
-        min(lengths.mean(), 40.0) / 10,
+        min(float(lengths.mean()), 40.0) / 10,
         min(n / max(1, len(sentences)), 200.0) / 100,
     ]
 
 
 def content(text: Column) -> Column:
-    @F.pandas_udf("array<double>")
-    def read(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            yield pd.Series([read_content(t) for t in part], index=part.index)
-
-    return array_to_vector(read(F.coalesce(text, F.lit(""))))
+    return array_to_vector(common.per_text(lambda: read_content, text))
 
 
 def metadata(docs: DataFrame) -> Column:

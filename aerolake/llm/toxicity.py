@@ -20,7 +20,6 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -194,14 +193,7 @@ class Reader:
 
 def features(weights: dict[str, float], text: Column) -> Column:
     """The features of a text column, as an array of doubles."""
-
-    @F.pandas_udf("array<double>")
-    def read(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        reader = Reader(weights)
-        for part in parts:
-            yield pd.Series([reader.read(t) for t in part], index=part.index)
-
-    return read(F.coalesce(text, F.lit("")))
+    return common.per_text(lambda: Reader(weights).read, text)
 
 
 # --- model -----------------------------------------------------------------------------------
