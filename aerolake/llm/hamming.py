@@ -7,9 +7,9 @@ has been met; the search ends once the k-th verified distance is covered by that
 result is exact whatever the data.
 
 Codes are sign bits of vectors. Vectors that are null or hold null or non-finite components have no code
-and take no part, nor do rows without an id; codes are compared with those of the same length only. Rows with the query's id are its
-own row and no candidates; equal (id, code) rows count once. Fewer candidates than ``k`` give fewer rows,
-an empty table none. Further columns are ignored.
+and take no part, nor do rows without an id; codes are compared with those of the same length only. Rows
+with the query's id are its own row and no candidates; equal (id, code) rows count once. Fewer candidates
+than ``k`` give fewer rows, an empty table none. Further columns are ignored.
 """
 
 from __future__ import annotations

@@ -7,9 +7,9 @@ the error. Rows are reranked by exact cosine as long as their upper bound reache
 k-th best so far, so the bound (``sigmas``), not a fixed count, chooses them.
 
 Vectors that are null, zero, or hold null or non-finite components take no part; vectors are compared
-with those of the same length only. Rows without an id take no part either. Rows with the query's id are its own row and no candidates; equal
-(id, vector) rows count once. Fewer candidates than ``k`` give fewer rows, an empty table none. Further
-columns are ignored.
+with those of the same length only. Rows without an id take no part either. Rows with the query's id are
+its own row and no candidates; equal (id, vector) rows count once. Fewer candidates than ``k`` give fewer
+rows, an empty table none. Further columns are ignored.
 """
 
 from __future__ import annotations

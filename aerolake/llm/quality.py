@@ -187,7 +187,8 @@ def fit(
     rows = common.keep(single.select(*[v.alias(n) for v, n in zip(views, VIEWS)], "label", "part"))
     rows = rows.coalesce(2)  # two small tasks for each of the many short passes
     known = rows.where("label is not null").withColumn("weight", F.lit(1.0))
-    counts = {(r["label"], r["held"]): r["count"] for r in known.groupBy("label", (F.col("part") == 0).alias("held")).count().collect()}
+    by_part = known.groupBy("label", (F.col("part") == 0).alias("held")).count().collect()
+    counts = {(r["label"], r["held"]): r["count"] for r in by_part}
     good, bad = (sum(n for (label, _), n in counts.items() if label == x) for x in (1.0, 0.0))
     if not all(counts.get((x, False)) for x in (0.0, 1.0)):
         return Model(None, good / (good + bad) if good + bad else 1.0)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from aerolake.llm import common, packing, simhash
-from tests.llm.test_packing import hold, ids_of, library  # noqa: F401
+from tests.llm.test_packing import hold, library  # noqa: F401
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 
 SF = "/root/testdata/sf0.01"
