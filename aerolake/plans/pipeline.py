@@ -251,6 +251,9 @@ def build_checks(spark: SparkSession, options: Options) -> dict[str, int]:
     if options.strict:
         breaches = spark.table(CHECK_TABLE).where("diferenca <> 0").orderBy("verificacao", "alvo").collect()
         if breaches:
-            told = "; ".join(f"{r['verificacao']} {r['alvo']}: {r['esperado']} expected, {r['encontrado']} found" for r in breaches)
-            raise Breach(told)
+            told = [
+                f"{r['verificacao']} {r['alvo']}: {r['esperado']} expected, {r['encontrado']} found"
+                for r in breaches
+            ]
+            raise Breach("; ".join(told))
     return {CHECK_TABLE: written}

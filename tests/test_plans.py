@@ -190,7 +190,9 @@ def test_hot_airport_is_split_when_the_registry_outgrows_a_broadcast(spark, sf_d
     with settings(spark, **NO_BROADCAST, **TINY_SKEW):
         wide = gold.role_play_registry(hot_legs, registry)
         assert checksum(wide) == expected
-        executed = wide.groupBy("pais_origem").agg(F.count("nome_aeroporto_destino"), F.max("partida_real_hora"), F.max("icao_empresa"))
+        executed = wide.groupBy("pais_origem").agg(
+            F.count("nome_aeroporto_destino"), F.max("partida_real_hora"), F.max("icao_empresa")
+        )
         executed.collect()
         assert "SortMergeJoin(skew=true)" in plan(executed)
 
