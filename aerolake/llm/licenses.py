@@ -1,10 +1,12 @@
 """Licence scan by sentence rules, in built-in functions only.
 
-A text is cut into sentences at line ends and after full stops, each is normalised to lower-case words,
-and a known sentence gives its identifier. The identifiers in text order are then matched against ordered
-rules: a rule is a run of identifiers and the licence it stands for. Rules are tried in their order, the
-more specific ones first, and what a rule has matched is used up, so a sentence counts once. Known
-sentences that no rule takes are returned as leftovers.
+A text is lower-cased and cut into words with marks between them. Full stops, blank lines and list items
+end a sentence for good; a line end, a colon or a semicolon may end one or lie inside one, so a sentence is
+known whether it is hard-wrapped, commented out line by line or on one line. A known sentence gives its
+identifier, the longest one where several begin at a place. The identifiers in text order are then matched
+against ordered rules: a rule is a run of identifiers and the licence it stands for. Rules are tried in
+their order, the more specific ones first, and what a rule has matched is used up, so a sentence counts
+once. Known sentences that no rule takes are returned as leftovers.
 
 Everything is computed inside a row: nothing is shuffled, and a row's work follows its own text. Null
 texts count as empty: no sentences, no licences. Null doc_ids and repeated rows are scanned as rows of
@@ -104,6 +106,17 @@ SENTENCES: dict[str, tuple[str, ...]] = {
     ),
     "all_reserved": ("all rights reserved",),
 }
+# Further published wordings, which the SQL does not state.
+PUBLISHED: dict[str, tuple[str, ...]] = {
+    # MIT-0 sets no conditions.
+    "mit_grant": (SENTENCES["mit_grant"][0].removesuffix(" subject to the following conditions"),),
+}
+# Wordings that end inside their published sentence; any words may follow.
+OPENINGS = (
+    SENTENCES["gpl_redistribute"][0],
+    "you may obtain a copy of the license at",
+    "to the extent possible under law the author has waived all copyright",
+)
 
 # Ordered rules; the run of identifiers on the left is the licence on the right.
 RULES: tuple[tuple[tuple[str, ...], str], ...] = (
@@ -132,10 +145,20 @@ RULES: tuple[tuple[tuple[str, ...], str], ...] = (
 )
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# A sentence ends at a line end or after a full stop, question or exclamation mark before white space.
-STOP = r"([.!?;:])[ \t]+"
-LINE = r"[\r\n]+"
-NOT_WORD = "[^a-z0-9]+"
+# Texts are in lower case when they are marked, so capitals are free for marks.
+END = r"(?>\r\n?|\n)"
+# Words that begin a comment line; other comment markers are no words.
+COMMENT = rf"(^|{END})[ \t]*(?:dnl|rem)(?![^ \t\r\n])"
+VERSION = r"(?<![a-z0-9])v\.[^a-z0-9]++(?=[0-9])"
+# An address, after which a sentence may end or go on (S).
+ADDRESS = r"(https?://\S+)[ \t]+"
+# The marker of a list item, which ends a sentence for good (H), as do a stop before white space, a line without
+# words and a dash that begins a line.
+ITEM = rf"((?:^|{END})[^a-z0-9\r\n]*(?:[0-9]{{1,2}}|[a-z]|[ivx]{{2,4}})\))[ \t]+"
+HARD = rf"[.!?](?:[ \t]+|[^a-z0-9\r\n]*{END})|{END}[^a-z0-9\r\n]*{END}|(?:^|{END})[ \t]*[-•][ \t]+"
+# May end a sentence or lie inside one (S): a line end, a colon, a semicolon.
+SOFT = rf"[:;][ \t]+|{END}"
+NOT_WORD = "[^a-z0-9HS]+"
 
 
 def known() -> dict[str, str]:
@@ -143,17 +166,31 @@ def known() -> dict[str, str]:
     return {wording: name for name, wordings in SENTENCES.items() for wording in wordings}
 
 
-def sentences(text: Column) -> Column:
-    """All sentences of a text in order, normalised, empty ones left out."""
-    plain = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    cut = F.split(F.regexp_replace(plain, STOP, "$1\n"), LINE)
-    return F.filter(F.transform(cut, lambda s: F.trim(F.regexp_replace(s, NOT_WORD, " "))), lambda s: s != "")
+def wordings() -> dict[str, str]:
+    """All normalised wordings, longest first -> identifier."""
+    more = {wording: name for name, listed in PUBLISHED.items() for wording in listed}
+    return dict(sorted((known() | more).items(), key=lambda x: (-len(x[0]), x[0])))
+
+
+def marked(text: Column) -> Column:
+    """Lower-case words and marks, a blank between each two, a mark at both ends."""
+    made = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    marks = (
+        (COMMENT, "$1"), (VERSION, "v "), (ADDRESS, "$1 S "), (ITEM, "$1 H "), (HARD, " H "), (SOFT, " S "),
+        (NOT_WORD, " "),
+    )
+    for pattern, put in marks:
+        made = F.regexp_replace(made, pattern, put)
+    return F.concat(F.lit("H "), F.trim(made), F.lit(" H"))
 
 
 def identifiers(text: Column) -> Column:
     """The known sentences' identifiers, in text order."""
-    names = F.create_map(*[F.lit(x) for pair in known().items() for x in pair])
-    return F.filter(F.transform(sentences(text), lambda s: F.element_at(names, s)), lambda x: x.isNotNull())
+    names = wordings()
+    each = [w.replace(" ", "[ S]++") + ("(?= )" if w in OPENINGS else "(?= [HS])") for w in names]
+    found = F.regexp_extract_all(marked(text), F.lit(f"[HS] ({'|'.join(each)})"), F.lit(1))
+    listed = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.transform(found, lambda s: F.element_at(listed, F.replace(s, F.lit(" S"), F.lit(""))))
 
 
 def resolve(found: Column) -> Column:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import textwrap
+
 from aerolake.llm import licenses
 
 
@@ -57,3 +59,116 @@ def test_known_wordings_are_normalised_and_used():
 def test_runs_without_python_workers(odd_docs):
     plan = licenses.scan(odd_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+    "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+    "to permit persons to whom the Software is furnished to do so"
+)
+AS_IS = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO '
+    "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+    "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM."
+)
+NOTICE = (
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+    "the Software."
+)
+APACHE = (
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
+    "with the License. You may obtain a copy of the License at",
+    "    http://www.apache.org/licenses/LICENSE-2.0",
+    'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed '
+    'on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for '
+    "the specific language governing permissions and limitations under the License.",
+)
+BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:",
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer.",
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+    "following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission.",
+)
+GPL = (
+    "This program is free software{0} you can redistribute it and/or modify it under the terms of the GNU General "
+    "Public License as published by the Free Software Foundation{1} either version {2} of the License, or (at your "
+    "option) any later version."
+)
+HOPE = (
+    "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."
+)
+CC = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+# Published notices: paragraphs, licence, identifiers.
+NOTICES = (
+    (APACHE, "Apache-2.0", "apache2_under apache2_comply apache2_copy apache2_asis"),
+    (APACHE[:2], "Apache-2.0", "apache2_under apache2_comply apache2_copy"),
+    ((APACHE[0].split(" You")[0],), "Apache-2.0", "apache2_under apache2_comply"),
+    (("Licensed under the Apache License, Version 2.0.",), "Apache-2.0", "apache2_under"),
+    (("Released under the MIT License.", GRANT + ", subject to the following conditions:", NOTICE, AS_IS), "MIT",
+     "mit_under mit_grant mit_notice asis_short"),
+    ((GRANT + ", subject to the following conditions:", NOTICE, AS_IS), "MIT", "mit_grant mit_notice asis_short"),
+    ((GRANT + ", subject to the following conditions:", NOTICE), "MIT", "mit_grant mit_notice"),
+    (("This project is licensed under the MIT License.",), "MIT", "mit_under"),
+    ((GRANT + ".", AS_IS), "MIT-0", "mit_grant asis_short"),
+    (BSD, "BSD-3-Clause", "bsd_permit bsd_source bsd_binary bsd_endorse"),
+    (BSD[:3], "BSD-2-Clause", "bsd_permit bsd_source bsd_binary"),
+    (BSD[:2], "BSD-1-Clause", "bsd_permit bsd_source"),
+    ((GPL.format(":", ",", 3), HOPE), "GPL-3.0-or-later", "gpl3_later gpl_hope"),
+    ((GPL.format(";", ";", 2), HOPE), "GPL-2.0-or-later", "gpl2_later gpl_hope"),
+    ((GPL.format(":", ",", 3),), "GPL-3.0-or-later", "gpl3_later"),
+    ((GPL.format(";", ";", 2),), "GPL-2.0-or-later", "gpl2_later"),
+    (("This work is licensed under the GNU General Public License, version 3.",), "GPL-3.0-only", "gpl3_under"),
+    ((CC.format("-NonCommercial"),), "CC-BY-NC-4.0", "ccbync4_under"),
+    ((CC.format(""),), "CC-BY-4.0", "ccby4_under"),
+    ((CC.format("-ShareAlike"),), "CC-BY-SA-4.0", "ccbysa4_under"),
+    (("To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+      "this work.",), "CC0-1.0", "cc0_under"),
+    (("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+      "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",), "MPL-2.0", "mpl2_terms"),
+)
+
+
+def test_published_notices_wrapped_and_not(spark):
+    """Every rule, on one line, by paragraphs, hard-wrapped and in comments."""
+    assert {tuple(n.split()) for _, _, n in NOTICES} == {parts for parts, _ in licenses.RULES}
+    texts, expected = [], []
+    for paragraphs, licence, names in NOTICES:
+        forms = [" ".join(paragraphs), "\n\n".join(paragraphs)]
+        for width in (40, 60, 70, 76, 80):
+            wrapped = [textwrap.wrap(p, width, break_on_hyphens=False, break_long_words=False) for p in paragraphs]
+            lines = [line for p in wrapped for line in [*p, ""]]
+            forms += ["\n".join(lines), "\r\n".join(lines), "some words\n\n" + "\n".join(lines) + "\nmore words"]
+            forms += [f"/*\n{''.join(f' * {x}'.rstrip() + chr(10) for x in lines)} */", "\n".join(f"# {x}" for x in lines)]
+            forms += ["\n".join(f"// {x}" for x in lines), "\n".join(f"dnl {x}" for x in lines)]
+        texts += forms
+        expected += [(licence, names)] * len(forms)
+    made = scanned(spark, texts)
+    for i, (licence, names) in enumerate(expected):
+        assert (made[i].licences, made[i].identifiers) == ([licence], names.split()), texts[i]
+
+
+def test_sentences_end_where_they_end(spark):
+    """No wording reaches over a full stop, a blank line or a list item; an opening is known by its start."""
+    made = scanned(
+        spark,
+        [
+            "This work is licensed under the GNU General Public License. Version 3.",
+            "Released under the\n\nMIT License.",
+            "Released under the\n- MIT License.",
+            "Not released under the MIT License.",
+            "Released under the MIT License or another.",
+            GPL.format(":", ",", 3).replace("GNU", "GNU Affero"),
+            "(a) Released under the MIT License; (b) see\n(ii) Licensed under CC BY 4.0",
+            "HS Released under the MIT License S H",
+        ],
+    )
+    assert [made[i].identifiers for i in range(5)] == [[]] * 5
+    assert made[5].identifiers == made[5].leftovers == ["gpl_redistribute"]
+    assert made[6].licences == ["CC-BY-4.0", "MIT"]
+    assert made[7].identifiers == []
