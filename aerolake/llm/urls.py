@@ -2,8 +2,10 @@
 
 Trust is personalised PageRank from hosts that rules allow, along host edges; distrust is the same from
 hosts that rules block, against the edges, since a page that links to bad hosts is suspect. Edges are
-absolute links of the pages and, as pages of one site rarely link each other absolutely, a host and the
-host directly above it are joined both ways where both have pages. Scores are whole numbers (shares of
+absolute links of the pages, to hosts with and without pages of their own, and, as pages of one site rarely
+link each other absolutely, a host and the host directly above it are joined both ways where both have
+pages. A host counts as a seed once for each of its pages under a rule, and once for each linked address
+(host and path) under a rule that has no page. Scores are whole numbers (shares of
 ``UNIT``), so they do not depend on the order of additions. A host is blocked where its distrust exceeds
 its trust; a host that neither reaches is allowed.
 
@@ -29,6 +31,8 @@ ROUNDS = 10
 CUT_EVERY = 5
 # Fixed: links with a host in markup.
 LINK = r"""(?:href|src)=["']?(?:https?:)?//([^/?#"'> ]+)"""
+# The same with the path.
+TARGET = LINK + r"""([^?#"'> ]*)"""
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -52,29 +56,39 @@ def fits(host: Column, path: Column, rule: str) -> Column:
     return ((host == own) | host.endswith("." + own)) & path.startswith(slash + start)
 
 
+def decide(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tuple[Column, Column]:
+    """The longest fitting rule and its verdict, null where none fits."""
+    rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for word, text in reversed(by_length(rules)):
+        fit = fits(host, path, text)
+        rule, verdict = F.when(fit, text).otherwise(rule), F.when(fit, word).otherwise(verdict)
+    return rule, verdict
+
+
 def apply_rules(pages: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
     """page_id, host, path, the longest fitting rule and its verdict, null where none fits."""
     host, path = split_url(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
-    rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for word, text in reversed(by_length(rules)):
-        fit = fits(F.col("host"), F.col("path"), text)
-        rule, verdict = F.when(fit, text).otherwise(rule), F.when(fit, word).otherwise(verdict)
+    rule, verdict = decide(F.col("host"), F.col("path"), rules)
     return rows.withColumns({"rule": rule, "verdict": verdict})
 
 
-def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
-    """Distinct (source, target) of links between different hosts that have pages, and of site ties."""
+def linked(pages: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """Distinct (source, target, path, verdict) of absolute links; the path is null where no rule fits."""
     host, _ = split_url(F.col("url"))
-    found = F.regexp_extract_all("html", F.lit(LINK), F.lit(1))
-    targets = F.array_distinct(F.transform(found, lambda x: F.translate(x, UPPER, LOWER)))
-    links = (
-        pages.select(host.alias("source"), F.explode(targets).alias("target"))
-        .where("source <> '' and source <> target")
-        .distinct()
-        .join(hosts.select(F.col("host").alias("target")), "target", "left_semi")
-        .select("source", "target")
-    )
+    found = F.array_distinct(F.regexp_extract_all("html", F.lit(TARGET), F.lit(0)))
+    rows = pages.select(host.alias("source"), F.explode(found).alias("link")).where("source <> ''")
+    target = F.translate(F.regexp_extract("link", TARGET, 1), UPPER, LOWER)
+    rows = rows.select("source", target.alias("target"), F.regexp_extract("link", TARGET, 2).alias("path"))
+    _, verdict = decide(F.col("target"), F.col("path"), rules)
+    rows = rows.withColumn("verdict", verdict)
+    path = F.when(F.col("verdict").isNotNull(), F.col("path"))
+    return rows.select("source", "target", path.alias("path"), "verdict").distinct()
+
+
+def host_edges(links: DataFrame, hosts: DataFrame) -> DataFrame:
+    """Distinct (source, target) of links between different hosts, and of ties between hosts that have pages."""
+    links = links.where("source <> target").select("source", "target").distinct()
     above = F.regexp_extract("host", r"^[^.]+\.(.+)$", 1)
     ties = hosts.select(F.col("host").alias("source"), above.alias("target")).join(
         hosts.select(F.col("host").alias("target")), "target", "left_semi"
@@ -83,6 +97,20 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     return links.unionByName(ties).unionByName(back).distinct()
 
 
+def seed_hosts(ruled: DataFrame, links: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(host, allowed, blocked): pages and linked addresses without pages under a rule of each kind."""
+    addresses = links.where("verdict is not null").select(F.col("target").alias("host"), "path", "verdict").distinct()
+    paged = ruled.where("verdict is not null").select("host", "path").distinct()
+    unseen = addresses.join(paged, ["host", "path"], "left_anti")
+    counts = [F.count(F.when(F.col("verdict") == w, 1)).alias(n) for w, n in (("allow", "allowed"), ("block", "blocked"))]
+    return (
+        hosts.select("host", "allowed", "blocked")
+        .unionByName(unseen.groupBy("host").agg(*counts))
+        .groupBy("host")
+        .agg(F.sum("allowed").alias("allowed"), F.sum("blocked").alias("blocked"))
+    )
+
+
 def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: int = DAMPING) -> DataFrame:
     """(kind, host, score) after ``rounds`` steps of personalised PageRank from (kind, host, seed) over
     (kind, source, target); kinds do not mix. What reaches a host without edges ends there."""
@@ -114,15 +142,17 @@ def judge(
             F.count(F.when(F.col("verdict") == "block", 1)).alias("blocked"),
         )
     )
-    total = hosts.agg(F.sum("allowed").alias("allow"), F.sum("blocked").alias("block")).first()
-    links = host_edges(pages, hosts)
-    edges = links.withColumn("kind", F.lit("allow")).unionByName(
-        links.select(F.col("target").alias("source"), F.col("source").alias("target"), F.lit("block").alias("kind"))
+    links = common.keep(linked(pages, rules))
+    starts = common.keep(seed_hosts(ruled, links, hosts))
+    total = starts.agg(F.sum("allowed").alias("allow"), F.sum("blocked").alias("block")).first()
+    pairs = host_edges(links, hosts)
+    edges = pairs.withColumn("kind", F.lit("allow")).unionByName(
+        pairs.select(F.col("target").alias("source"), F.col("source").alias("target"), F.lit("block").alias("kind"))
     )
     seeds = None
     for kind, count in (("allow", "allowed"), ("block", "blocked")):
         part = UNIT // max(1, total[kind] or 0)
-        made = hosts.where(F.col(count) > 0).select(
+        made = starts.where(F.col(count) > 0).select(
             F.lit(kind).alias("kind"), "host", (F.col(count) * F.lit(part)).cast("long").alias("seed")
         )
         seeds = made if seeds is None else seeds.unionByName(made)

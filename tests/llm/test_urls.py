@@ -65,3 +65,34 @@ def test_links_carry_trust_and_distrust(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     made = {r.page_id: r.verdict for r in urls.judge(pages).collect()}
     assert made == {1: "allow", 2: "allow", 3: "block", 4: "block", 5: "allow", 6: "block"}
+
+
+def test_targets_without_pages(spark):
+    """A rule on a linked address works where the address, or its whole host, has no page."""
+    rows = [
+        (1, "http://shady.com/", '<a href="//Bad.net/x">'),
+        (2, "http://sly.com/", "<a href='https://a.example.com/de/x?q'>"),
+        (3, "http://fair.com/", "<a href=//a.example.com/it/x>"),
+        (4, "http://good.org/fr/", '<a href="http://friend.com/"> <a href="http://far.away/"> <a href="//bad.net/y">'),
+        (5, "http://friend.com/", ""),
+        (6, "nowhere", '<a href="//bad.net/z">'),
+        (7, "http://a.example.com/en", None),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    made = {r.page_id: r for r in urls.judge(pages, rounds=1).collect()}
+    assert [made[i].verdict for i in (1, 2, 4, 5, 6)] == ["block", "block", "allow", "allow", "allow"]
+    share = urls.UNIT // 3  # bad.net/x, bad.net/y and a.example.com/de/x are the blocked addresses
+    assert made[1].distrust == 2 * share * 85 // 200 and made[4].distrust == made[1].distrust
+    assert made[2].distrust == share * 85 // 200 and made[3].distrust == made[2].distrust
+    assert made[7].distrust == share * 15 // 100
+    assert made[5].trust == urls.UNIT * 85 // 300  # one of three linked hosts
+
+
+def test_an_address_counts_once(spark):
+    """Links to an address that has a page, and repeated links, add no seeds."""
+    link = '<a href="http://bad.net/x"> <a href="http://bad.net/x#a"> <a href="//bad.net/x?b">'
+    rows = [(1, "http://a.com/", link), (2, "http://b.com/", link), (3, "http://bad.net/x", None), (4, "http://c.net/", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    made = {r.page_id: r for r in urls.judge(pages, rounds=1).collect()}
+    assert made[3].distrust == made[4].distrust == urls.UNIT // 2 * 15 // 100
+    assert made[1].distrust == made[2].distrust == urls.UNIT // 2 * 85 // 200
