@@ -3,7 +3,8 @@
 A ``tokenizers`` vocabulary that lower-cases, drops white space and splits by a fixed pattern gives every
 word its ids without regard to its neighbours, and no word reaches over white space. So a block of texts
 is cut at white space, the words of each distinct cut are encoded by the library once, and texts are put
-together from the cuts' ids. Texts with characters that are not plain are encoded by the library whole.
+together from the cuts' ids. Texts with characters that are not plain, or with one of the vocabulary's added
+tokens, are encoded by the library whole.
 """
 
 from __future__ import annotations
@@ -35,14 +36,17 @@ _WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_class('L')}]+|[{_class('N')}]|[^
 
 
 class Encoder:
-    """Ids of texts; remembers the cuts and words it has met."""
+    """Ids of texts; remembers the cuts and words it has met. ``added``: added tokens in a text get their own ids,
+    as by the library's default; else they are encoded as words."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core already
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = not added
+        # The vocabulary's added tokens are looked for in the text as it stands.
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()] if added else []
         self.words: dict[str, bytes] = {}
         self.cuts: dict[str, bytes] = {}
 
@@ -70,7 +74,7 @@ class Encoder:
         return [known[c] for c in distinct]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [not _ODD.search(t) for t in texts]
+        plain = [not (_ODD.search(t) or any(a in t for a in self.added)) for t in texts]
         lower = pc.utf8_lower(pa.array([t for t, p in zip(texts, plain) if p], pa.string()))
         made = cuts.assemble(pc.utf8_split_whitespace(lower), self._ids_of)
         whole = self.library.encode_batch_fast([t for t, p in zip(texts, plain) if not p], add_special_tokens=False)
@@ -80,7 +84,7 @@ class Encoder:
 @functools.cache
 def encoder(path: str) -> Encoder:
     """One encoder for each worker process and vocabulary."""
-    return Encoder(path)
+    return Encoder(path, added=True)
 
 
 def encode(texts: pa.Array, path: str) -> list[np.ndarray]:

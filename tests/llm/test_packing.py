@@ -90,3 +90,16 @@ def test_odd_rows(odd_docs, no_docs, library):
     assert {r.length for r in rows if r.doc_id == 2} == {1}
     assert sum(r.length for r in rows if r.doc_id == 4) == 60_003
     assert packing.pack_documents(no_docs, WORD_VOCABULARY).count() == 0
+
+
+def test_added_tokens_have_their_own_ids(spark):
+    """As an unmodified library gives them."""
+    library = Tokenizer.from_file(WORD_VOCABULARY)
+    texts = ["a <|endoftext|> b", "x<|startoftext|>y", "<|ENDOFTEXT|> <|endof text|>", "日本 <|endoftext|>", "plain text"]
+    made = words.encoder(WORD_VOCABULARY).encode(texts)
+    assert [np.frombuffer(m, "<u4").tolist() for m in made] == [
+        library.encode(t, add_special_tokens=False).ids for t in texts
+    ]
+    assert made[0].tolist() == [320, 49407, 321]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    hold(packing.pack_documents(docs, WORD_VOCABULARY).collect(), dict(enumerate(texts)), library)
