@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from aerolake.llm import common
 
@@ -67,14 +68,21 @@ def fingerprint(text: bytes, words: int = SHINGLE, seed: int = SEED) -> int:
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """doc_id and the fingerprint of its whole text, as a signed long."""
+    return coded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), words, seed)
+
+
+def coded(docs: DataFrame, words: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """The rows with the fingerprint of their text in place of the text."""
+    others = [c for c in docs.columns if c != "text"]
 
     def step(block: pa.RecordBatch) -> pa.RecordBatch:
         texts = block.column("text").cast(pa.binary()).to_pylist()
         codes = np.array([fingerprint(t, words, seed) for t in texts], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(codes)], names=["doc_id", "code"])
+        return pa.RecordBatch.from_arrays([*(block.column(c) for c in others), pa.array(codes)], names=[*others, "code"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
-    return rows.mapInArrow(common.by_block("text", step), "doc_id long, code long")
+    rows = docs.select(*others, common.text_or_empty().alias("text"))
+    schema = StructType([*(rows.schema[c] for c in others), StructField("code", LongType())])
+    return rows.mapInArrow(common.by_block("text", step), schema)
 
 
 # --- bit-sliced comparison -------------------------------------------------------------------
@@ -282,16 +290,16 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, words: int = SHINGLE, radius: int = RADIUS, seed: int = SEED, bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
-    """doc_id, code and component_id (the smallest doc_id reachable over links) of every row."""
-    coded = common.keep(fingerprints(docs, words, seed))
-    classes = common.keep(coded.groupBy("code").agg(F.min("doc_id").alias("least")))
+    """doc_id, code, component_id (the smallest doc_id reachable over links) and root (the smallest such code) of every row."""
+    rows = common.keep(fingerprints(docs, words, seed))
+    classes = common.keep(rows.groupBy("code").agg(F.min("doc_id").alias("least")))
     roots = components(compare(buckets(classes.select("code"), radius, bucket_rows), radius))
     rooted = classes.join(roots, classes["code"] == roots["node"], "left").select(
         "code", "least", F.coalesce("root", "code").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_code = rooted.join(named, "root").select("code", "component_id")
-    return coded.join(of_code, "code").select("doc_id", "code", "component_id")
+    of_code = rooted.join(named, "root").select("code", "component_id", "root")
+    return rows.join(of_code, "code").select("doc_id", "code", "component_id", "root")
 
 
 def as_hex(code: Column) -> Column:
@@ -299,18 +307,26 @@ def as_hex(code: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that head their component, one for each; rows without doc_id all stay.
-
-    A doc_id that stands on several rows keeps the least of them.
+    """One row of ``docs`` for each component of ``groups`` (of the same rows, by ``near_duplicates``): the one with
+    the least doc_id, then code, then row. Rows without doc_id are a side of their own: one stays for each component.
     """
-    heads = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("copies"))
-    once = heads.where("copies = 1").select("doc_id")
-    often = heads.where("copies > 1").select("doc_id")
-    whole = F.min(F.struct(*docs.columns)).alias("row")
-    repeated = docs.join(often, "doc_id", "left_semi").groupBy("doc_id").agg(whole).select("row.*")
-    return (
-        docs.join(once, "doc_id", "left_semi")
-        .select(*docs.columns)
-        .unionByName(repeated.select(*docs.columns))
-        .unionByName(docs.where("doc_id is null"))
-    )
+    doc_id = F.col("doc_id").cast("long")
+    rows_of = groups.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("copies"))
+    least = groups.where("doc_id = component_id").groupBy("root").agg(F.min(F.struct("doc_id", "code")).alias("x"))
+    heads = common.keep(least.select("x.*").join(rows_of, "doc_id"))
+    single = heads.where("copies = 1").select(F.col("doc_id").alias("_head"))
+    kept = docs.join(single, doc_id == F.col("_head"), "left_semi")
+    whole = F.struct(*docs.columns).alias("row")
+    often = heads.where("copies > 1").select("doc_id", "code")
+    if not often.isEmpty():
+        # The id alone does not tell which of its rows heads the component; their codes do.
+        ids = often.select(F.col("doc_id").alias("_head")).distinct()
+        met = docs.join(ids, doc_id == F.col("_head"), "left_semi").select(doc_id.alias("doc_id"), "text", whole)
+        one = coded(met).join(often, ["doc_id", "code"], "left_semi").groupBy("doc_id", "code").agg(F.min("row").alias("row"))
+        kept = kept.unionByName(one.select("row.*"))
+    unnamed = common.keep(groups.where("doc_id is null").select("code", "root").distinct())
+    if not unnamed.isEmpty():
+        met = coded(docs.where("doc_id is null").select("text", whole)).groupBy("code").agg(F.min("row").alias("row"))
+        one = met.join(unnamed, "code").groupBy("root").agg(F.min("row").alias("row"))
+        kept = kept.unionByName(one.select("row.*"))
+    return kept

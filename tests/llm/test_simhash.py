@@ -91,3 +91,18 @@ def test_keep_one(spark, odd_docs, no_docs):
     ids = [r.doc_id for r in kept.collect()]
     assert ids.count(1) == 1 and ids.count(2) == 1 and 3 not in ids and ids.count(None) == 2
     assert simhash.keep_one(no_docs, simhash.near_duplicates(no_docs)).count() == 0
+
+
+def test_keep_one_by_text_and_id(spark):
+    """One doc_id on rows of several texts: each group of texts keeps one row, whatever else the id heads."""
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in ("alpha", "beta", "gamma"))
+    near = a + " end"
+    rows = [(1, a, 1), (1, b, 2), (1, b, 2), (2, near, 3), (2, c, 4), (3, c, 5), (4, b, 6)]
+    rows += [(None, "some text without an id", 7)] * 5 + [(None, "другой " * 9, 8), (None, c.upper(), 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    groups = simhash.near_duplicates(docs)
+    texts = {r.text: simhash.fingerprint(r.text.encode()) for r in docs.collect()}
+    assert (texts[a] ^ texts[near]).bit_count() <= simhash.RADIUS
+    kept = simhash.keep_one(docs, groups)
+    assert kept.columns == docs.columns
+    assert sorted(r.n for r in kept.collect()) == [1, 2, 4, 7, 8, 9]
