@@ -8,7 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import bpe, common, hamming, licenses, onebit, packing, quality, simhash, statements, toxicity, urls, warc
+from aerolake.llm import (
+    bpe,
+    common,
+    hamming,
+    jaccard,
+    licenses,
+    negatives,
+    onebit,
+    packing,
+    quality,
+    ranked,
+    simhash,
+    statements,
+    toxicity,
+    urls,
+    warc,
+)
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -139,8 +155,34 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns(joined).select("doc_id", "identifiers", "licences", "leftovers", "matches")
 
 
+@query
+def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return ranked.search(common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's shingle set and its component of near-equal sets."""
+    return jaccard.near_sets(common.read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh row carries the next label."""
+    vectors = common.read(spark, sf_dir, "embeddings").select(
+        "vec_id",
+        F.col("embedding").alias("vector"),
+        F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+    )
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 STATEMENTS["op1_urls"] = statements.url_sql()
 STATEMENTS["op2_onebit"] = statements.ONEBIT
 STATEMENTS["op5_merkle"] = statements.merkle_sql()
 STATEMENTS["op7_hamming"] = statements.HAMMING
 STATEMENTS["op10_licenses"] = statements.license_sql()
+STATEMENTS["op11_ranked"] = statements.RANKED
+STATEMENTS["op12_jaccard"] = statements.JACCARD
+STATEMENTS["op13_negatives"] = statements.NEGATIVES

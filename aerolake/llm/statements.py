@@ -164,3 +164,78 @@ SELECT CAST(s.level AS INTEGER) AS level, s.node, CAST(s.node * {fan} ** s.level
     WHEN s.length_a <> s.length_b THEN 'resized' ELSE 'altered' END AS damage, p.page_id
 FROM placed_sides s LEFT JOIN placed p ON s.level = 0 AND s.node = p.position
 WHERE s.digest_a IS DISTINCT FROM s.digest_b"""
+
+
+RANKED = """
+WITH read AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents
+), totals AS (
+  SELECT count(*) FILTER (len(terms) > 0) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM read
+), items AS (
+  SELECT row_number() OVER () AS item, item_id, list_distinct(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS terms
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), asked AS (
+  SELECT item, item_id, unnest(terms) AS term FROM items
+), held AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM read)
+  WHERE term IN (SELECT term FROM asked) GROUP BY r, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, totals GROUP BY term, n_docs
+), sizes AS (
+  SELECT r, doc_id, 50 + (50 * len(terms) * n_docs) // n_terms AS m FROM read, totals WHERE doc_id IS NOT NULL AND len(terms) > 0
+), scored AS (
+  SELECT item, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN sizes USING (r) GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50"""
+
+JACCARD = """
+WITH RECURSIVE read AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+), sets AS MATERIALIZED (
+  SELECT r, doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]))
+    END AS s
+  FROM read
+), held AS MATERIALIZED (
+  SELECT r, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM held a JOIN held b USING (shingle) WHERE a.r <> b.r
+  GROUP BY a.r, a.n, b.r, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT a, b FROM links UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+)
+SELECT x.doc_id, CAST(len(x.s) AS BIGINT) AS n_shingles, least(x.doc_id, min(y.doc_id)) AS component_id
+FROM sets x LEFT JOIN reached ON reached.a = x.r LEFT JOIN sets y ON y.r = reached.b GROUP BY x.r, x.doc_id, x.s"""
+
+NEGATIVES = """
+WITH usable AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id,
+    CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""

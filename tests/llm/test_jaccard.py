@@ -1,0 +1,143 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from aerolake.llm import common, jaccard
+
+
+def plain_set(text: str | None, words: int = 3) -> frozenset:
+    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return frozenset(" ".join(found[i : i + words]) for i in range(max(1, len(found) - words + 1))) if found else frozenset()
+
+
+def plain_join(rows: list[tuple], percent: int = 90) -> Counter:
+    """(doc_id, n, component) of each row by comparing every pair of rows."""
+    sets = [plain_set(text) for _, text in rows]
+    parent = list(range(len(rows)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                parent[top(i)] = top(j)
+    least: dict = {}
+    for i, (doc, _) in enumerate(rows):
+        if doc is not None:
+            least[top(i)] = min(doc, least.get(top(i), doc))
+    return Counter((doc, len(sets[i]), least.get(top(i)) if sets[i] else doc) for i, (doc, _) in enumerate(rows))
+
+
+def joined(docs) -> Counter:
+    return Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_sets(docs).collect())
+
+
+def edited(words: list[str], rng: random.Random, edits: int) -> str:
+    words = list(words)
+    for _ in range(edits):
+        at = rng.randrange(len(words))
+        words[at : at + 1] = rng.choice([[], [f"new{rng.randrange(10**6)}"], [words[at], "more"]])
+    return " ".join(words)
+
+
+@settings(deadline=None)
+@given(st.text(alphabet="abAB \t\x0b\x1c\xa0é.", max_size=60))
+def test_sets_have_the_plain_size(text):
+    assert len(jaccard.shingles(text.encode(), jaccard.Words())) == len(plain_set(text))
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.integers(1, 120), st.integers(0, 8), st.integers(0, 10**6), st.sampled_from([80, 90, 95]))
+def test_sets_that_reach_the_threshold_share_a_prefix_token_under_every_order(size, other, seed, percent):
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 2**63, size + other, dtype=np.uint64)
+    left, right = np.unique(base[:size]), np.unique(base[rng.random(len(base)) < 0.95])
+    both = len(np.intersect1d(left, right))
+    sketch = rng.integers(0, 3, (jaccard.ORDERS, 1 << jaccard.SKETCH_BITS))
+    if len(right) and 100 * both >= percent * (len(left) + len(right) - both):
+        for order in range(jaccard.ORDERS):
+            one, two = (jaccard.prefix(s, order, sketch, percent) for s in (left, right))
+            assert np.intersect1d(one, two).size
+
+
+def test_groups_of_copies_links_between_them_and_shared_passages(spark):
+    """A source with copies, chains that only neighbours link, copies without a source, a passage in many texts."""
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows, doc = [], 0
+    passage = rng.choices(vocabulary, k=60)
+
+    def add(text):
+        nonlocal doc
+        rows.append((doc, text))
+        doc += 7
+
+    source = rng.choices(vocabulary, k=150)
+    for _ in range(60):
+        add(edited(source, rng, rng.randrange(0, 5)))
+    hidden = rng.choices(vocabulary, k=200)
+    for _ in range(40):
+        add(edited(hidden, rng, 6))
+    chain = rng.choices(vocabulary, k=120)
+    for _ in range(12):
+        add(" ".join(chain))
+        chain = edited(chain, rng, 1).split()
+    for _ in range(40):
+        add(" ".join(rng.choices(vocabulary, k=20) + passage + rng.choices(vocabulary, k=5)))
+    for _ in range(30):
+        add(" ".join(passage + rng.choices(vocabulary, k=rng.randrange(3))))
+    rng.shuffle(rows)
+    expected = plain_join(rows)
+    assert len({c for _, _, c in expected}) < len(rows) - 60
+    assert joined(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)) == expected
+
+
+def test_given_documents(spark):
+    docs = common.read(spark, "/root/testdata/sf0.001", "documents")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert joined(docs) == plain_join(rows)
+
+
+def test_exactly_at_the_threshold(spark):
+    """19 shingles against 21, of which 19 are shared, are above nine tenths; 18 of 20 and 22 are below."""
+    words = [f"t{i}" for i in range(23)]
+    rows = [(1, " ".join(words[:21])), (2, " ".join(words)), (3, " ".join(["x", "y", *words[2:]]))]
+    rows += [(10, " ".join(f"u{i}" for i in range(11))), (11, " ".join(f"u{i}" for i in range(12)))]
+    assert plain_join(rows)[(2, 21, 1)] == 1 and plain_join(rows)[(11, 10, 10)] == 1
+    assert joined(spark.createDataFrame(rows, "doc_id long, text string")) == plain_join(rows)
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    rows = [(r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect()]
+    assert joined(odd_docs) == plain_join(rows)
+    assert jaccard.near_sets(no_docs).collect() == []
+
+
+def test_sets_without_an_id_link_others(spark):
+    words = [f"a{i}" for i in range(100)]
+    rows = [(5, " ".join(words)), (None, " ".join(words[3:])), (9, " ".join(words[8:])), (9, "alone here"), (None, "alone there")]
+    assert joined(spark.createDataFrame(rows, "doc_id long, text string")) == plain_join(rows)
+    assert plain_join(rows)[(9, 90, 5)] == 1
+
+
+def test_no_pairs_within_a_group(spark):
+    """A posting gives each set to a few pivots, however many sets it has."""
+    rows = [(7, bytes([i % 256, i // 256]), 100, float(i == 3), bytes([i % 256, i // 256])) for i in range(2000)]
+    live = spark.createDataFrame(rows, "token long, key binary, n long, share double, root binary")
+    placed = live.selectExpr("*", "row_number() over (partition by token order by share desc, key) as place")
+    assert jaccard.pivot_pairs(placed, 1).count() == 1999
+
+
+@pytest.mark.parametrize("size,length", [(1, 1), (9, 1), (10, 2), (11, 2), (100, 11), (0, 1)])
+def test_prefix_length(size, length):
+    assert jaccard.prefix_length(size) == length

@@ -17,13 +17,19 @@ COLUMNS = {
         "doc_id": "bigint", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "doc_tokens": "bigint",
         "sequence_id": "bigint", "offset": "bigint",
     },
+    "op11_ranked": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
+    "op12_jaccard": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
+    "op13_negatives": {
+        "anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint",
+        "positive_score": "bigint", "negative_score": "bigint",
+    },
     "op9_simhash": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
 }
 
 
-def test_all_ten_and_the_pipeline_are_offered():
+def test_all_operators_and_the_pipeline_are_offered():
     names = set(contract.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names}
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names}
     assert "pipeline" in names
 
 
