@@ -2,15 +2,19 @@
 
 A text's tokens are its distinct word shingles. Under any one order of all tokens, two sets whose Jaccard
 similarity reaches the threshold share a token among the first few of each (the prefix). So a candidate
-pair must share one under every one of ``ORDERS`` orders; only pairs that pass all of them are verified by
-their whole sets. Each order puts rare tokens first: it ranks them by the counts of all documents in its own
-row of a count sketch of fixed size, then by its own hash. Tokens that meet in the sketch cost selectivity,
-never a link, since every order is the same for all sets.
+pair must share one under every one of several orders; only pairs that pass all of them are verified by
+their whole sets. Every order puts rare tokens first, by exact counts:
 
-Postings of the first order give the candidates. A posting never gives all its pairs: in each round a few
-pivots, first the sets with the largest share of tokens met elsewhere (the common source of a group of
-copies), are compared with the rest; verified links are contracted; a posting whose sets are all of one
-component is done. The number of pivots doubles each round, so no posting needs more than a few.
+* the first ranks a fifth of all tokens, chosen by hash, by the number of sets that hold them, and the rest
+  after these by hash. A prefix is a tenth of a set, so hardly more than that fifth is counted and moved;
+* the second ranks all tokens of the sets that passed the first, by their counts among these;
+* the third does so among the sets that passed the second, with ties the other way round.
+
+A set whose tokens of its own fill its prefix has no partner and is dropped, which leaves little beside
+families of copies. Postings of the first order then give the candidates. A posting never gives all its
+pairs: in each round a few pivots, first the sets with the largest share of tokens met elsewhere (the common
+source of a group of copies), are compared with the rest; verified links are contracted; a posting whose
+sets are all of one component is done. The number of pivots doubles each round.
 
 Shingles are told apart by 64 bits and sets by 128. Null texts count as empty: no shingles, linked with
 nothing. A row without a doc_id takes part and gets the component of its set; a component with no doc_id at
@@ -29,17 +33,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolake.llm import common
+from aerolake.llm import cells, common
 from aerolake.llm.simhash import components
 from aerolake.session import keep_small
 
 SHINGLE = 3
 PERCENT = 90
 SEED = 42
-ORDERS = 3
-# Counters of an order: fixed, so what tasks send and what is broadcast does not grow with the input.
-SKETCH_BITS = 16
-CHUNK = 4096
+# The first order counts one token in so many.
+COUNTED = 5
+# Rows of the table of bits that finds the texts of sets again.
+MARKS = 1 << 16
 # Word hashes and sets already sent that a task remembers.
 REMEMBERED = 200_000
 
@@ -83,162 +87,137 @@ def shingles(text: bytes, memory: Words, words: int = SHINGLE) -> np.ndarray:
     return np.unique(mixed(total))
 
 
-def key_of(tokens: np.ndarray) -> bytes:
-    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+def key_of(tokens: np.ndarray) -> tuple[int, int]:
+    digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+    return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
 
 
 # --- orders ----------------------------------------------------------------------------------
 
 
-def slots(tokens: np.ndarray, order: int, bits: int = SKETCH_BITS) -> np.ndarray:
-    """Counters of the tokens in an order's row of the sketch."""
-    return ((tokens * factors(order + 1)[order]) >> np.uint64(64 - bits)).astype(np.int64)
-
-
 def prefix_length(size: int, percent: int = PERCENT) -> int:
     return size - (percent * size + 99) // 100 + 1
 
 
-def prefix(tokens: np.ndarray, order: int, sketch: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The first tokens of a set under an order: seldom counted ones, then by the order's own hash."""
-    turn = mixed(tokens ^ factors(order + 1)[order])
-    return tokens[np.lexsort((turn, sketch[order][slots(tokens, order)]))[: prefix_length(len(tokens), percent)]]
+def prefix_size(size: Column, percent: int = PERCENT) -> Column:
+    return size - F.floor((size * percent + 99) / 100).cast("long") + 1
+
 
+def is_counted(token: Column) -> Column:
+    """As ``leading`` has it."""
+    return F.shiftrightunsigned(token, 32) % COUNTED == 0
 
-def _texts(block: pa.RecordBatch) -> list[bytes]:
-    return block.column("text").cast(pa.binary()).to_pylist()
 
+def leading(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The tokens of a set that its prefix under the first order is taken from: the counted ones and, where
+    these are too few, the first of the others."""
+    counted = (tokens >> np.uint64(32)) % np.uint64(COUNTED) == 0
+    missing = prefix_length(len(tokens), percent) - int(counted.sum())
+    return np.concatenate([tokens[counted], tokens[~counted][: max(0, missing)]])
 
-def profiles(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """A row for each document (doc_id, n, key) and, from every task, its counts for the sketch (slot, counts)."""
+
+def profiles(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n, (hi, lo) that names the set, sent (number of leading tokens) and these tokens, once a task for each set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = Words()
-        counts = np.zeros((ORDERS, 1 << SKETCH_BITS), np.int64)
+        memory, known = Words(), set()
 
         def step(block: pa.RecordBatch) -> pa.RecordBatch:
-            sets = [shingles(t, memory, words) for t in _texts(block)]
-            tokens = np.concatenate(sets)
-            for order in range(ORDERS):
-                counts[order] += np.bincount(slots(tokens, order), minlength=counts.shape[1])
-            rows = len(sets)
+            sizes, keys, sent, first = [], [], [], []
+            for text in block.column("text").cast(pa.binary()).to_pylist():
+                found = shingles(text, memory, words)
+                key = key_of(found)
+                part = leading(found, percent) if len(found) else found
+                sizes.append(len(found))
+                keys.append(key)
+                sent.append(len(part))
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                first.append(None if key in known or not len(found) else part.view(np.int64))
+                known.add(key)
+            hi, lo = zip(*keys)
             return pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([key_of(s) for s in sets], pa.binary()),
-                    pa.nulls(rows, pa.int32()),
-                    pa.nulls(rows, pa.binary()),
+                    *(pa.array(x, pa.int64()) for x in (sizes, hi, lo, sent)),
+                    pa.array(first, pa.list_(pa.int64())),
                 ],
-                names=names,
+                names=["doc_id", "n", "hi", "lo", "sent", "tokens"],
             )
 
         yield from common.by_block("text", step)(batches)
-        if counts.any():
-            parts = counts.reshape(-1, CHUNK)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.nulls(len(parts), pa.int64()),
-                    pa.nulls(len(parts), pa.int64()),
-                    pa.nulls(len(parts), pa.binary()),
-                    pa.array(range(len(parts)), pa.int32()),
-                    pa.array([p.tobytes() for p in parts], pa.binary()),
-                ],
-                names=names,
-            )
 
-    names = ["doc_id", "n", "key", "slot", "counts"]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, key binary, slot int, counts binary")
-
-
-def summed(counts: DataFrame) -> np.ndarray:
-    """The sketch of all tasks: a few hundred thousand numbers, however many documents there are."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for slot, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held[slot] = held.get(slot, 0) + np.frombuffer(part, np.int64)
-        if held:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(held, pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())],
-                names=["slot", "counts"],
-            )
-
-    total = np.zeros((ORDERS << SKETCH_BITS) // CHUNK * CHUNK, np.int64).reshape(-1, CHUNK)
-    for row in counts.repartition("slot").mapInArrow(run, "slot int, counts binary").collect():
-        total[row["slot"]] += np.frombuffer(row["counts"], np.int64)
-    return total.reshape(ORDERS, -1)
+    return rows.mapInArrow(run, "doc_id long, n long, hi long, lo long, sent long, tokens array<long>")
 
 
-def postings(docs: DataFrame, sketch: np.ndarray, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(token, key, n): the sets by each token of their prefix under the first order. A task sends a set once."""
-    held = docs.sparkSession.sparkContext.broadcast(sketch)
+def whole_sets(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """(hi, lo, n, tokens) of the distinct sets."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, sent, sketch = Words(), set(), held.value
-
-        def step(block: pa.RecordBatch) -> pa.RecordBatch | None:
-            tokens, keys, sizes = [], [], []
-            for text in _texts(block):
-                found = shingles(text, memory, words)
-                if len(found) and (key := key_of(found)) not in sent:
-                    if len(sent) >= REMEMBERED:
-                        sent.clear()
-                    sent.add(key)
-                    first = prefix(found, 0, sketch, percent)
-                    tokens.append(first)
-                    keys += [key] * len(first)
-                    sizes += [len(found)] * len(first)
-            if tokens:
-                return pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(tokens).view(np.int64)),
-                        pa.array(keys, pa.binary()),
-                        pa.array(sizes, pa.int64()),
-                    ],
-                    names=["token", "key", "n"],
-                )
-
-        yield from common.by_block("text", step)(batches)
-
-    rows = docs.select(common.text_or_empty().alias("text"))
-    # Sets of one token already lie together, so neither the grouping nor the window moves them again.
-    sent = rows.mapInArrow(run, "token long, key binary, n long").repartition("token")
-    by_key = Window.partitionBy("token").orderBy("key")
-    met = F.lag("key").over(by_key).isNotNull() | F.lead("key").over(by_key).isNotNull()
-    distinct = sent.groupBy("token", "key").agg(F.max("n").alias("n"))
-    return distinct.withColumn("met", met).where("met").drop("met")
-
-
-def whole_sets(docs: DataFrame, sketch: np.ndarray, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(key, n, tokens, others): the sets with their prefixes under the other orders."""
-    held = docs.sparkSession.sparkContext.broadcast(sketch)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, sketch = Words(), held.value
+        memory = Words()
 
-        def step(block: pa.RecordBatch) -> pa.RecordBatch | None:
-            sets = {key_of(s): s for s in (shingles(t, memory, words) for t in _texts(block))}
-            others = [
-                [prefix(s, order, sketch, percent).view(np.int64) for order in range(1, ORDERS)] for s in sets.values()
-            ]
+        def step(block: pa.RecordBatch) -> pa.RecordBatch:
+            texts = block.column("text").cast(pa.binary()).to_pylist()
+            sets = {key_of(s): s for s in (shingles(t, memory, words) for t in texts)}
+            hi, lo = zip(*sets)
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(sets, pa.binary()),
-                    pa.array([len(s) for s in sets.values()], pa.int64()),
+                    *(pa.array(x, pa.int64()) for x in (hi, lo, [len(s) for s in sets.values()])),
                     pa.array([s.view(np.int64) for s in sets.values()], pa.list_(pa.int64())),
-                    pa.array(others, pa.list_(pa.list_(pa.int64()))),
                 ],
-                names=["key", "n", "tokens", "others"],
+                names=["hi", "lo", "n", "tokens"],
             )
 
         yield from common.by_block("text", step)(batches)
 
     rows = docs.select(common.text_or_empty().alias("text"))
-    made = rows.mapInArrow(run, "key binary, n long, tokens array<long>, others array<array<long>>")
-    return made.dropDuplicates(["key"])
+    return rows.mapInArrow(run, "hi long, lo long, n long, tokens array<long>").dropDuplicates(["hi", "lo"])
+
+
+def prefixes(
+    tokens: DataFrame, sets: DataFrame, names: list[str], late: Column, percent: int = PERCENT, backwards: bool = False
+) -> DataFrame:
+    """Of each set that shares any: its prefix tokens held by other sets too, fewest holders first.
+
+    Ties go by the token, or ``backwards``; tokens that are ``late`` come after all others. ``tokens`` has a row
+    for each set and token, the sets named by the columns ``names``; ``sets`` has their size ``n`` and the number
+    ``sent`` of their tokens. Tokens of one set alone come first in every order, so their number says how many
+    others still belong to the prefix.
+    """
+    # One exchange: the grouping, which drops what several tasks sent, and the window keep its partitions.
+    distinct = tokens.select("token", *names).repartition("token").dropDuplicates(["token", *names])
+    shared = distinct.withColumn("held", F.count("*").over(Window.partitionBy("token"))).where("held > 1")
+    turn = F.bitwise_not if backwards else lambda x: x
+    rank = F.col("held") + F.when(late, F.lit(1 << 62)).otherwise(F.lit(0))
+    pair = F.struct(rank.alias("rank"), turn(F.col("token")).alias("token"))
+    lists = shared.groupBy(*names).agg(F.collect_list(pair).alias("listed"))
+    own = F.col("sent") - F.size("listed")
+    left = (prefix_size(F.col("n"), percent) - own).cast("int")
+    cut = lists.join(sets.select(*names, "n", "sent"), names).withColumn("left", left).where("left > 0")
+    first = F.slice(F.array_sort("listed"), 1, F.col("left"))
+    return cut.select(*names, F.transform(first, lambda x: turn(x["token"])).alias("prefix"))
+
+
+def near_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is among ``ids`` (distinct, not null).
+
+    Bits of the ids, a table of at most ``MARKS`` rows, first leave out most others before texts move.
+    """
+    def place(name: str) -> tuple[Column, Column]:
+        spread = F.xxhash64(name)
+        return F.pmod(spread, F.lit(MARKS)), F.pmod(F.shiftrightunsigned(spread, 32), F.lit(63)).cast("int")
+
+    slot, bit = place("doc_id")
+    marks = ids.groupBy(slot.alias("slot")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("marks"))
+    likely = docs.withColumn("slot", slot).join(F.broadcast(marks), "slot")
+    marked = F.call_function("shiftright", F.col("marks"), bit).bitwiseAND(F.lit(1).cast("long")) == 1
+    return likely.where(marked).select("doc_id", "text").join(ids, "doc_id", "left_semi")
+
+
+def met(postings: DataFrame) -> DataFrame:
+    """Postings (token, id, …) of tokens that at least two sets still hold."""
+    return postings.withColumn("sets", F.count("*").over(Window.partitionBy("token"))).where("sets > 1").drop("sets")
 
 
 # --- the join --------------------------------------------------------------------------------
@@ -250,83 +229,90 @@ def reaches(both: Column, left: Column, right: Column, percent: int = PERCENT) -
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) that share a prefix token under every other order and whose sets reach the threshold."""
-    left = sets.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("t_a"), F.col("others").alias("o_a"))
-    right = sets.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("t_b"), F.col("others").alias("o_b"))
-    met = pairs.join(left, "a").join(right, "b")
-    for order in range(ORDERS - 1):
-        met = met.where(F.arrays_overlap(F.col("o_a")[order], F.col("o_b")[order]))
-    both = F.size(F.array_intersect("t_a", "t_b")).cast("long")
-    return met.where(reaches(both, F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+    """Pairs (a, b) that share a prefix token under the second and the third order and whose sets reach the threshold."""
+    of_side = ("n", "tokens", "second", "third")
+    left, right = (sets.withColumnsRenamed({"id": side, **{c: f"{c}_{side}" for c in of_side}}) for side in "ab")
+    filtered = pairs.join(left, "a").join(right, "b")
+    for order in ("second", "third"):
+        filtered = filtered.where(F.arrays_overlap(f"{order}_a", f"{order}_b"))
+    both = F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long")
+    return filtered.where(reaches(both, F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
 def pivot_pairs(live: DataFrame, pivots: int, percent: int = PERCENT) -> DataFrame:
     """Distinct pairs (a, b), of different components and like size, of a posting's first sets with its later ones."""
     first = live.where(F.col("place") <= pivots).select(
-        "token",
-        F.col("key").alias("pivot"),
-        F.col("root").alias("pivot_root"),
-        F.col("n").alias("pivot_n"),
-        F.col("place").alias("pivot_place"),
+        "token", *(F.col(c).alias(f"pivot_{c}") for c in ("id", "root", "n", "place"))
     )
     fit = F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent
-    met = live.join(first, "token").where((F.col("place") > F.col("pivot_place")) & (F.col("root") != F.col("pivot_root")) & fit)
-    return met.select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
-
-
-def linked(live: DataFrame, sets: DataFrame, percent: int = PERCENT, most_rounds: int = 40) -> DataFrame:
-    """(key, root) of all sets that stand in a posting, by rounds of pivots."""
-    size = F.col("n")
-    shared = live.groupBy("key").agg(F.count("*").alias("met"), F.max("n").alias("n"))
-    share = shared.select("key", (F.col("met") / (size - F.floor((size * percent + 99) / 100) + 1)).alias("share"))
-    roots = common.keep(shared.select("key", F.col("key").alias("root")))
-    live = common.keep(live.join(share, "key").withColumn("root", F.col("key")))
-    by_share = Window.partitionBy("token").orderBy(F.desc("share"), "key")
+    later = (F.col("place") > F.col("pivot_place")) & (F.col("root") != F.col("pivot_root"))
+    pairs = live.join(first, "token").where(later & fit)
+    return pairs.select(F.least("id", "pivot_id").alias("a"), F.greatest("id", "pivot_id").alias("b")).distinct()
+
+
+def linked(live: DataFrame, sets: DataFrame, percent: int = PERCENT, most_rounds: int = 60) -> DataFrame:
+    """(id, root) of all sets that stand in a posting (token, id, n), by rounds of pivots."""
+    counts = live.groupBy("id").agg(F.count("*").alias("met"), F.max("n").alias("n"))
+    share = counts.select("id", (F.col("met") / prefix_size(F.col("n"), percent)).alias("share"))
+    roots = common.keep(counts.select("id", F.col("id").alias("root")))
+    live = common.keep(live.join(share, "id").withColumn("root", F.col("id")))
+    by_share = Window.partitionBy("token").orderBy(F.desc("share"), "id")
     whole = Window.partitionBy("token")
     for turn in range(most_rounds):
         if live.isEmpty():
             return roots
         placed = common.keep(live.withColumn("place", F.row_number().over(by_share)))
         pivots = 1 << turn
-        pairs = keep_small(pivot_pairs(placed, pivots, percent))
-        links = common.keep(verified(pairs, sets, percent))
+        links = common.keep(verified(keep_small(pivot_pairs(placed, pivots, percent)), sets, percent))
         rest = placed.where(F.col("place") > pivots).drop("place")
         if not links.isEmpty():
-            root_of = roots.select(F.col("key"), F.col("root"))
-            edges = (
-                links.join(root_of.toDF("a", "root_a"), "a")
-                .join(root_of.toDF("b", "root_b"), "b")
-                .select("root_a", "root_b")
-            )
+            ends = (roots.withColumnsRenamed({"id": side, "root": f"root_{side}"}) for side in "ab")
+            edges = links.join(next(ends), "a").join(next(ends), "b").select("root_a", "root_b")
             moved = keep_small(components(edges).toDF("root", "top"))
             renamed = F.coalesce("top", "root").alias("root")
-            roots = common.keep(roots.join(moved, "root", "left").select("key", renamed))
-            rest = rest.join(moved, "root", "left").select("token", "key", "n", "share", renamed)
+            roots = common.keep(roots.join(moved, "root", "left").select("id", renamed))
+            rest = rest.join(moved, "root", "left").select("token", "id", "n", "share", renamed)
         spread = rest.withColumns({"low": F.min("root").over(whole), "high": F.max("root").over(whole)})
-        live = common.keep(spread.where("low <> high").select("token", "key", "n", "share", "root"))
+        live = common.keep(spread.where("low <> high").select("token", "id", "n", "share", "root"))
     raise RuntimeError("postings did not settle")
 
 
 def near_sets(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable over links) of every row."""
-    made = common.keep(profiles(docs, words))
-    rows = made.where("slot is null").select("doc_id", "n", "key")
-    sketch = summed(made.where("slot is not null").select("slot", "counts"))
-    classes = common.keep(rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least")))
-    live = common.keep(postings(docs, sketch, words, percent))
+    made = common.keep(profiles(docs, words, percent))
+    key = ["hi", "lo"]
+    rows = made.select("doc_id", "n", *key)
+    classes = common.keep(
+        made.where("n > 0").groupBy(*key).agg(F.max("n").alias("n"), F.max("sent").alias("sent"), F.min("doc_id").alias("least"))
+    )
 
-    met = keep_small(live.select("key").distinct().join(classes, "key"))
+    # First order, over all sets.
+    sent = made.where("tokens is not null").select(*key, F.explode("tokens").alias("token"))
+    passed = common.keep(prefixes(sent, classes, key, ~is_counted(F.col("token")), percent))
+    kept = cells.numbered(common.keep(passed.join(classes, key))).withColumnRenamed("row", "id")
+    live = common.keep(met(kept.select("id", "n", F.explode("prefix").alias("token"))))
+    kept = common.keep(kept.drop("prefix").join(live.select("id").distinct(), "id", "left_semi"))
+
+    # Second and third order, over the sets that passed.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ids = keep_small(met.select(F.col("least").alias("doc_id")).where("doc_id is not null"))
-    wanted = texts.join(ids, "doc_id", "left_semi")
-    if not met.where("least is null").isEmpty():
+    ids = keep_small(kept.select(F.col("least").alias("doc_id")).where("doc_id is not null").distinct())
+    wanted = near_rows(texts, ids)
+    if not kept.where("least is null").isEmpty():
         wanted = wanted.unionByName(texts.where("doc_id is null"))
-    sets = common.keep(whole_sets(wanted, sketch, words, percent).join(met.select("key"), "key", "left_semi"))
-
-    roots = linked(live, sets, percent)
-    rooted = classes.join(roots, "key", "left").select("key", "least", F.coalesce("root", "key").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_key = rooted.join(named, "root").select("key", "component_id")
+    sets = common.keep(whole_sets(wanted, words).join(kept.select(*key, "id"), key).select("id", "n", "tokens"))
+    for order in ("second", "third"):
+        named = sets.select("id", "n", F.col("n").alias("sent"))
+        exploded = sets.select("id", F.explode("tokens").alias("token"))
+        found = prefixes(exploded, named, ["id"], F.lit(False), percent, order == "third")
+        sets = common.keep(sets.join(found.withColumnRenamed("prefix", order), "id"))
+    live = met(live.join(sets.select("id"), "id", "left_semi"))
+
+    roots = linked(live, sets, percent).join(kept.select("id", *key), "id")
+    rooted = classes.join(roots, key, "left").select(*key, "least", "root")
+    joined = rooted.where("root is not null")
+    named = joined.groupBy("root").agg(F.min("least").alias("component_id"))
+    of_key = joined.join(named, "root").select(*key, "component_id")
+    alone = rooted.where("root is null").select(*key, F.col("least").alias("component_id"))
     columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
-    found = rows.where("n > 0").join(of_key, "key").select(*columns)
+    found = rows.where("n > 0").join(of_key.unionByName(alone), key).select(*columns)
     return found.unionByName(rows.where("n = 0").withColumn("component_id", F.col("doc_id")).select(*columns))

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from aerolake.llm import common, jaccard
 
@@ -56,18 +57,36 @@ def test_sets_have_the_plain_size(text):
     assert len(jaccard.shingles(text.encode(), jaccard.Words())) == len(plain_set(text))
 
 
-@settings(deadline=None, max_examples=60)
-@given(st.integers(1, 120), st.integers(0, 8), st.integers(0, 10**6), st.sampled_from([80, 90, 95]))
-def test_sets_that_reach_the_threshold_share_a_prefix_token_under_every_order(size, other, seed, percent):
-    rng = np.random.default_rng(seed)
-    base = rng.integers(0, 2**63, size + other, dtype=np.uint64)
-    left, right = np.unique(base[:size]), np.unique(base[rng.random(len(base)) < 0.95])
-    both = len(np.intersect1d(left, right))
-    sketch = rng.integers(0, 3, (jaccard.ORDERS, 1 << jaccard.SKETCH_BITS))
-    if len(right) and 100 * both >= percent * (len(left) + len(right) - both):
-        for order in range(jaccard.ORDERS):
-            one, two = (jaccard.prefix(s, order, sketch, percent) for s in (left, right))
-            assert np.intersect1d(one, two).size
+def test_sets_that_reach_the_threshold_share_a_prefix_token(spark):
+    """Under the first order's candidates and under counts, for pairs above the threshold of sets of any size."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for pair in range(120):
+        size = int(rng.integers(1, 150))
+        base = rng.integers(0, 2**63, size, dtype=np.uint64)
+        other = base[rng.random(size) < 0.96]
+        rows += [(2 * pair, np.unique(base)), (2 * pair + 1, np.unique(other if len(other) else base))]
+    sets = spark.createDataFrame([(i, len(s), len(s), s.view(np.int64).tolist()) for i, s in rows], "id long, n long, sent long, tokens array<long>")
+    tokens = sets.selectExpr("id", "explode(tokens) as token")
+    orders = [
+        {r.id: set(r.prefix) for r in jaccard.prefixes(tokens, sets, ["id"], F.lit(False), backwards=b).collect()} for b in (False, True)
+    ]
+    linked = 0
+    for (i, one), (j, two) in zip(rows[::2], rows[1::2]):
+        both = len(np.intersect1d(one, two))
+        if 100 * both >= 90 * (len(one) + len(two) - both):
+            linked += 1
+            assert all(found[i] & found[j] for found in orders)
+            first, second = (set(jaccard.leading(s).tolist()) for s in (one, two))
+            assert first & second
+    assert linked > 60
+
+
+def test_a_set_whose_own_tokens_fill_its_prefix_is_dropped(spark):
+    rows = [(i, 100, 100, [*range(40), *range(1000 * (i + 1), 1000 * (i + 1) + 60)]) for i in range(50)]
+    sets = spark.createDataFrame(rows, "id long, n long, sent long, tokens array<long>")
+    tokens = sets.selectExpr("id", "explode(tokens) as token")
+    assert jaccard.prefixes(tokens, sets, ["id"], F.lit(False)).count() == 0
 
 
 def test_groups_of_copies_links_between_them_and_shared_passages(spark):
@@ -132,12 +151,18 @@ def test_sets_without_an_id_link_others(spark):
 
 def test_no_pairs_within_a_group(spark):
     """A posting gives each set to a few pivots, however many sets it has."""
-    rows = [(7, bytes([i % 256, i // 256]), 100, float(i == 3), bytes([i % 256, i // 256])) for i in range(2000)]
-    live = spark.createDataFrame(rows, "token long, key binary, n long, share double, root binary")
-    placed = live.selectExpr("*", "row_number() over (partition by token order by share desc, key) as place")
+    rows = [(7, i, 100, float(i == 3), i) for i in range(2000)]
+    live = spark.createDataFrame(rows, "token long, id long, n long, share double, root long")
+    placed = live.selectExpr("*", "row_number() over (partition by token order by share desc, id) as place")
     assert jaccard.pivot_pairs(placed, 1).count() == 1999
 
 
 @pytest.mark.parametrize("size,length", [(1, 1), (9, 1), (10, 2), (11, 2), (100, 11), (0, 1)])
 def test_prefix_length(size, length):
     assert jaccard.prefix_length(size) == length
+
+
+def test_near_rows(spark):
+    docs = spark.range(20_000).selectExpr("id as doc_id", "'x' as text", "1 as slot").select("doc_id", "text")
+    ids = spark.range(0, 20_000, 70).withColumnRenamed("id", "doc_id")
+    assert jaccard.near_rows(docs, ids).count() == ids.count()
