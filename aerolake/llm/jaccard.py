@@ -11,10 +11,11 @@ their whole sets. Every order puts rare tokens first, by exact counts:
 * the third does so among the sets that passed the second, with ties the other way round.
 
 A set whose tokens of its own fill its prefix has no partner and is dropped, which leaves little beside
-families of copies. Postings of the first order then give the candidates. A posting never gives all its
-pairs: in each round a few pivots, first the sets with the largest share of tokens met elsewhere (the common
-source of a group of copies), are compared with the rest; verified links are contracted; a posting whose
-sets are all of one component is done. The number of pivots doubles each round.
+families of copies: sets that postings of the third order connect. Each family meets in one task, or is
+dealt out in cells, each pair of whose slices meets once; its sets move there once for each slice. There
+candidates are compared, those with the largest share of tokens met elsewhere (the common source of copies)
+first, and sets that verified links already connect are compared no more. A cell gives back a spanning
+forest of its links, never its pairs.
 
 Shingles are told apart by 64 bits and sets by 128. Null texts count as empty: no shingles, linked with
 nothing. A row without a doc_id takes part and gets the component of its set; a component with no doc_id at
@@ -42,10 +43,14 @@ PERCENT = 90
 SEED = 42
 # The first order counts one token in so many.
 COUNTED = 5
+ORDERS = ("first", "second", "third")
 # Rows of the table of bits that finds the texts of sets again.
 MARKS = 1 << 16
 # Word hashes and sets already sent that a task remembers.
 REMEMBERED = 200_000
+# Sets of a family that one task compares with as many others.
+CELL_ROWS = 2048
+CELL_BYTES = 16 << 20
 
 
 # --- sets ------------------------------------------------------------------------------------
@@ -215,66 +220,104 @@ def near_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return likely.where(marked).select("doc_id", "text").join(ids, "doc_id", "left_semi")
 
 
-def met(postings: DataFrame) -> DataFrame:
-    """Postings (token, id, …) of tokens that at least two sets still hold."""
-    return postings.withColumn("sets", F.count("*").over(Window.partitionBy("token"))).where("sets > 1").drop("sets")
+def postings(sets: DataFrame, order: str) -> DataFrame:
+    """(token, id) of the prefix tokens under an order that at least two of the sets hold in their prefix."""
+    rows = sets.select("id", F.explode(order).alias("token"))
+    return rows.withColumn("sets", F.count("*").over(Window.partitionBy("token"))).where("sets > 1").select("token", "id")
 
 
-# --- the join --------------------------------------------------------------------------------
-
+def partners(sets: DataFrame, order: str) -> DataFrame:
+    """Ids of the sets that share a prefix token with another."""
+    return postings(sets, order).select("id").distinct()
 
-def reaches(both: Column, left: Column, right: Column, percent: int = PERCENT) -> Column:
-    """Whether the intersection reaches the share of the union."""
-    return both * 100 >= (left + right - both) * percent
 
+# --- the join --------------------------------------------------------------------------------
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) that share a prefix token under the second and the third order and whose sets reach the threshold."""
-    of_side = ("n", "tokens", "second", "third")
-    left, right = (sets.withColumnsRenamed({"id": side, **{c: f"{c}_{side}" for c in of_side}}) for side in "ab")
-    filtered = pairs.join(left, "a").join(right, "b")
-    for order in ("second", "third"):
-        filtered = filtered.where(F.arrays_overlap(f"{order}_a", f"{order}_b"))
-    both = F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long")
-    return filtered.where(reaches(both, F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
+class Ragged:
+    """Lists of tokens, one after the other, as small numbers."""
+
+    def __init__(self, lists: pa.ListArray):
+        self.ends = np.cumsum([0, *lists.value_lengths().to_pylist()])
+        found, self.codes = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        self.flags = np.zeros(len(found), bool)
+
+    def common(self, row: int, others: np.ndarray) -> np.ndarray:
+        """How many tokens of ``row`` each of the other rows holds."""
+        own = self.codes[self.ends[row] : self.ends[row + 1]]
+        sizes = self.ends[others + 1] - self.ends[others]
+        starts = np.cumsum(sizes) - sizes
+        at = np.repeat(self.ends[others] - starts, sizes) + np.arange(sizes.sum())
+        self.flags[own] = True
+        sums = np.append(0, np.cumsum(self.flags[self.codes[at]]))
+        self.flags[own] = False
+        return sums[starts + sizes] - sums[starts]
+
+
+def forest(cell: pa.Table, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of a cell's links: each linked id and the root of its tree."""
+    ids, sizes = cell.column("id").to_numpy(), cell.column("n").to_numpy()
+    lists = {name: Ragged(cell.column(name).combine_chunks()) for name in (*ORDERS, "tokens")}
+    share = np.diff(lists[ORDERS[0]].ends) / (sizes - (percent * sizes + 99) // 100 + 1)
+    order = np.lexsort((ids, -share))
+    tops = np.arange(len(ids))
+    for at, row in enumerate(order):
+        later = order[at + 1 :]
+        small, large = np.minimum(sizes[row], sizes[later]), np.maximum(sizes[row], sizes[later])
+        others = later[(tops[later] != tops[row]) & (small * 100 >= large * percent)]
+        for name in ORDERS:
+            if len(others):
+                others = others[lists[name].common(row, others) > 0]
+        if len(others):
+            both = lists["tokens"].common(row, others)
+            others = others[both * 100 >= (sizes[row] + sizes[others] - both) * percent]
+            if len(others):
+                joined = np.append(tops[others], tops[row])
+                tops[np.isin(tops, joined)] = joined.min()
+    linked = np.flatnonzero(tops != np.arange(len(ids)))
+    return ids[linked], ids[tops[linked]]
+
+
+def families(postings: DataFrame) -> DataFrame:
+    """(id, family): sets that postings (token, id) connect."""
+    first = F.min("id").over(Window.partitionBy("token"))
+    stars = postings.select("id", first.alias("first")).where("id <> first")
+    return components(stars).toDF("id", "family")
+
+
+def compared(sets: DataFrame, percent: int = PERCENT, cell_rows: int = CELL_ROWS, cell_bytes: int = CELL_BYTES) -> DataFrame:
+    """Spanning links (id, root) of all families (sets with the column ``family``)."""
 
-def pivot_pairs(live: DataFrame, pivots: int, percent: int = PERCENT) -> DataFrame:
-    """Distinct pairs (a, b), of different components and like size, of a posting's first sets with its later ones."""
-    first = live.where(F.col("place") <= pivots).select(
-        "token", *(F.col(c).alias(f"pivot_{c}") for c in ("id", "root", "n", "place"))
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def cell(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            if sum(p.num_rows for p in parts) > 1:
+                made = forest(pa.Table.from_batches(parts), percent)
+                if len(made[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], names=["id", "root"])
+
+        parts: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            names = np.stack([batch.column(c).to_numpy() for c in place], axis=1)
+            cuts = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                if a < b:
+                    if (name := tuple(names[a].tolist())) != last:
+                        yield from cell(parts)
+                        parts, last = [], name
+                    parts.append(batch.slice(a, b - a))
+        yield from cell(parts)
+
+    place = ["family", "low", "high"]
+    slices = F.greatest(F.ceil(F.count("*") / cell_rows), F.ceil(F.sum("n") * 8 / cell_bytes))
+    sizes = sets.groupBy("family").agg(slices.alias("slices"))
+    own = F.pmod(F.xxhash64("id"), F.col("slices"))
+    met = sets.join(sizes, "family").withColumn("own", own)
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
+    dealt = met.select(
+        "family", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "n", "tokens", *ORDERS
     )
-    fit = F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent
-    later = (F.col("place") > F.col("pivot_place")) & (F.col("root") != F.col("pivot_root"))
-    pairs = live.join(first, "token").where(later & fit)
-    return pairs.select(F.least("id", "pivot_id").alias("a"), F.greatest("id", "pivot_id").alias("b")).distinct()
-
-
-def linked(live: DataFrame, sets: DataFrame, percent: int = PERCENT, most_rounds: int = 60) -> DataFrame:
-    """(id, root) of all sets that stand in a posting (token, id, n), by rounds of pivots."""
-    counts = live.groupBy("id").agg(F.count("*").alias("met"), F.max("n").alias("n"))
-    share = counts.select("id", (F.col("met") / prefix_size(F.col("n"), percent)).alias("share"))
-    roots = common.keep(counts.select("id", F.col("id").alias("root")))
-    live = common.keep(live.join(share, "id").withColumn("root", F.col("id")))
-    by_share = Window.partitionBy("token").orderBy(F.desc("share"), "id")
-    whole = Window.partitionBy("token")
-    for turn in range(most_rounds):
-        if live.isEmpty():
-            return roots
-        placed = common.keep(live.withColumn("place", F.row_number().over(by_share)))
-        pivots = 1 << turn
-        links = common.keep(verified(keep_small(pivot_pairs(placed, pivots, percent)), sets, percent))
-        rest = placed.where(F.col("place") > pivots).drop("place")
-        if not links.isEmpty():
-            ends = (roots.withColumnsRenamed({"id": side, "root": f"root_{side}"}) for side in "ab")
-            edges = links.join(next(ends), "a").join(next(ends), "b").select("root_a", "root_b")
-            moved = keep_small(components(edges).toDF("root", "top"))
-            renamed = F.coalesce("top", "root").alias("root")
-            roots = common.keep(roots.join(moved, "root", "left").select("id", renamed))
-            rest = rest.join(moved, "root", "left").select("token", "id", "n", "share", renamed)
-        spread = rest.withColumns({"low": F.min("root").over(whole), "high": F.max("root").over(whole)})
-        live = common.keep(spread.where("low <> high").select("token", "id", "n", "share", "root"))
-    raise RuntimeError("postings did not settle")
+    return dealt.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, "id long, root long")
 
 
 def near_sets(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -289,9 +332,8 @@ def near_sets(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) ->
     # First order, over all sets.
     sent = made.where("tokens is not null").select(*key, F.explode("tokens").alias("token"))
     passed = common.keep(prefixes(sent, classes, key, ~is_counted(F.col("token")), percent))
-    kept = cells.numbered(common.keep(passed.join(classes, key))).withColumnRenamed("row", "id")
-    live = common.keep(met(kept.select("id", "n", F.explode("prefix").alias("token"))))
-    kept = common.keep(kept.drop("prefix").join(live.select("id").distinct(), "id", "left_semi"))
+    kept = cells.numbered(common.keep(passed.join(classes, key))).withColumnsRenamed({"row": "id", "prefix": ORDERS[0]})
+    kept = common.keep(kept.join(partners(kept, ORDERS[0]), "id"))
 
     # Second and third order, over the sets that passed.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -299,15 +341,16 @@ def near_sets(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) ->
     wanted = near_rows(texts, ids)
     if not kept.where("least is null").isEmpty():
         wanted = wanted.unionByName(texts.where("doc_id is null"))
-    sets = common.keep(whole_sets(wanted, words).join(kept.select(*key, "id"), key).select("id", "n", "tokens"))
-    for order in ("second", "third"):
+    sets = common.keep(whole_sets(wanted, words).join(kept.select(*key, "id", ORDERS[0]), key).select("id", "n", "tokens", ORDERS[0]))
+    for order in ORDERS[1:]:
         named = sets.select("id", "n", F.col("n").alias("sent"))
         exploded = sets.select("id", F.explode("tokens").alias("token"))
         found = prefixes(exploded, named, ["id"], F.lit(False), percent, order == "third")
         sets = common.keep(sets.join(found.withColumnRenamed("prefix", order), "id"))
-    live = met(live.join(sets.select("id"), "id", "left_semi"))
 
-    roots = linked(live, sets, percent).join(kept.select("id", *key), "id")
+    family = families(common.keep(postings(sets, ORDERS[-1])))
+    links = compared(sets.join(family, "id"), percent)
+    roots = components(links).toDF("id", "root").join(kept.select("id", *key), "id")
     rooted = classes.join(roots, key, "left").select(*key, "least", "root")
     joined = rooted.where("root is not null")
     named = joined.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -149,12 +149,29 @@ def test_sets_without_an_id_link_others(spark):
     assert plain_join(rows)[(9, 90, 5)] == 1
 
 
-def test_no_pairs_within_a_group(spark):
-    """A posting gives each set to a few pivots, however many sets it has."""
-    rows = [(7, i, 100, float(i == 3), i) for i in range(2000)]
-    live = spark.createDataFrame(rows, "token long, id long, n long, share double, root long")
-    placed = live.selectExpr("*", "row_number() over (partition by token order by share desc, id) as place")
-    assert jaccard.pivot_pairs(placed, 1).count() == 1999
+@pytest.mark.parametrize("cell_rows,cell_bytes", [(2048, 16 << 20), (5, 16 << 20), (2048, 4000)])
+def test_cells_give_a_forest_of_all_links(spark, cell_rows, cell_bytes):
+    """Every pair of slices of a family meets, and no cell gives more than one link for each of its sets."""
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 2**40, 100)
+    rows = []
+    for i in range(60):
+        tokens = np.unique(np.where(rng.random(100) < rng.choice([0.0, 0.04, 0.08]), rng.integers(0, 2**40, 100), base)).tolist()
+        rows.append((i, len(tokens), tokens, *[tokens] * 3, i % 2))
+    schema = "id long, n long, tokens array<long>, first array<long>, second array<long>, third array<long>, family long"
+    sets = spark.createDataFrame(rows, schema)
+    links = jaccard.compared(sets, cell_rows=cell_rows, cell_bytes=cell_bytes)
+    top = {r.node: r.root for r in jaccard.components(links).collect()}
+    expected = {i: i for i in range(60)}
+    for i in range(60):
+        for j in range(i):
+            both = len(set(rows[i][2]) & set(rows[j][2]))
+            if i % 2 == j % 2 and 100 * both >= 90 * (rows[i][1] + rows[j][1] - both):
+                old, new = expected[i], expected[j]
+                expected = {k: min(old, new) if v in (old, new) else v for k, v in expected.items()}
+    assert {i: top.get(i, i) for i in range(60)} == expected and len(set(expected.values())) < 50
+    if cell_rows == 2048 and cell_bytes > 4000:
+        assert links.count() < 60
 
 
 @pytest.mark.parametrize("size,length", [(1, 1), (9, 1), (10, 2), (11, 2), (100, 11), (0, 1)])
