@@ -8,7 +8,7 @@ their whole sets. Every order puts rare tokens first, by exact counts:
 * the first ranks a fifth of all tokens, chosen by hash, by the number of sets that hold them, and the rest
   after these by hash. A prefix is a tenth of a set, so hardly more than that fifth is counted and moved;
 * the second ranks all tokens of the sets that passed the first, by their counts among these;
-* the third does so among the sets that passed the second, with ties the other way round.
+* the third does so with ties, of which there are many, the other way round.
 
 A set whose tokens of its own fill its prefix has no partner and is dropped, which leaves little beside
 families of copies: sets that postings of the third order connect. Each family meets in one task, or is
@@ -44,6 +44,8 @@ SEED = 42
 # The first order counts one token in so many.
 COUNTED = 5
 ORDERS = ("first", "second", "third")
+# Of the number of sets that hold a token, and of a token, in a rank; tokens that meet there are further candidates.
+HELD_BITS, TOKEN_BITS = 15, 47
 # Rows of the table of bits that finds the texts of sets again.
 MARKS = 1 << 16
 # Word hashes and sets already sent that a task remembers.
@@ -180,28 +182,39 @@ def whole_sets(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     return rows.mapInArrow(run, "hi long, lo long, n long, tokens array<long>").dropDuplicates(["hi", "lo"])
 
 
-def prefixes(
-    tokens: DataFrame, sets: DataFrame, names: list[str], late: Column, percent: int = PERCENT, backwards: bool = False
-) -> DataFrame:
-    """Of each set that shares any: its prefix tokens held by other sets too, fewest holders first.
+def ranked_tokens(tokens: DataFrame, sets: DataFrame, names: list[str], late: Column, percent: int = PERCENT) -> DataFrame:
+    """(names, ranks, left) of the sets that have a partner under some order: their tokens that other sets hold too, and
+    how many of them belong to a prefix.
 
-    Ties go by the token, or ``backwards``; tokens that are ``late`` come after all others. ``tokens`` has a row
-    for each set and token, the sets named by the columns ``names``; ``sets`` has their size ``n`` and the number
-    ``sent`` of their tokens. Tokens of one set alone come first in every order, so their number says how many
-    others still belong to the prefix.
+    ``tokens`` has a row for each set and token, the sets named by the columns ``names``; ``sets`` has their size
+    ``n`` and the number ``sent`` of their tokens. Tokens of one set alone come first in every order, so their
+    number says how many others still belong to the prefix. A rank is one long: whether the token is ``late``,
+    the number of sets that hold it (as far as ``HELD_BITS`` tell), and the token's last ``TOKEN_BITS`` bits.
     """
     # One exchange: the grouping, which drops what several tasks sent, and the window keep its partitions.
     distinct = tokens.select("token", *names).repartition("token").dropDuplicates(["token", *names])
     shared = distinct.withColumn("held", F.count("*").over(Window.partitionBy("token"))).where("held > 1")
-    turn = F.bitwise_not if backwards else lambda x: x
-    rank = F.col("held") + F.when(late, F.lit(1 << 62)).otherwise(F.lit(0))
-    pair = F.struct(rank.alias("rank"), turn(F.col("token")).alias("token"))
-    lists = shared.groupBy(*names).agg(F.collect_list(pair).alias("listed"))
-    own = F.col("sent") - F.size("listed")
+    held = F.shiftleft(F.least(F.col("held"), F.lit((1 << HELD_BITS) - 1)), TOKEN_BITS)
+    rank = F.when(late, F.lit(1 << 62)).otherwise(F.lit(0)) + held + _token(F.col("token"))
+    lists = shared.groupBy(*names).agg(F.collect_list(rank).alias("ranks"))
+    own = F.col("sent") - F.size("ranks")
     left = (prefix_size(F.col("n"), percent) - own).cast("int")
-    cut = lists.join(sets.select(*names, "n", "sent"), names).withColumn("left", left).where("left > 0")
-    first = F.slice(F.array_sort("listed"), 1, F.col("left"))
-    return cut.select(*names, F.transform(first, lambda x: turn(x["token"])).alias("prefix"))
+    cut = lists.join(sets.select(*names, "n", "sent"), names).withColumn("left", left)
+    return cut.where("left > 0").select(*names, "ranks", "left")
+
+
+def _token(rank: Column) -> Column:
+    return rank.bitwiseAND(F.lit((1 << TOKEN_BITS) - 1))
+
+
+def prefix(backwards: bool = False) -> Column:
+    """The first ``left`` of the ``ranks``, as tokens; ``backwards`` turns ties round."""
+
+    def turned(rank: Column) -> Column:
+        return rank.bitwiseXOR(F.lit((1 << TOKEN_BITS) - 1)) if backwards else rank
+
+    first = F.slice(F.array_sort(F.transform("ranks", turned)), 1, F.col("left"))
+    return F.transform(first, lambda rank: _token(turned(rank)))
 
 
 def near_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -278,15 +291,17 @@ def forest(cell: pa.Table, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarr
     return ids[linked], ids[tops[linked]]
 
 
-def families(postings: DataFrame) -> DataFrame:
+def connected(postings: DataFrame) -> DataFrame:
     """(id, family): sets that postings (token, id) connect."""
     first = F.min("id").over(Window.partitionBy("token"))
-    stars = postings.select("id", first.alias("first")).where("id <> first")
+    stars = common.keep(postings).select("id", first.alias("first")).where("id <> first")
     return components(stars).toDF("id", "family")
 
 
-def compared(sets: DataFrame, percent: int = PERCENT, cell_rows: int = CELL_ROWS, cell_bytes: int = CELL_BYTES) -> DataFrame:
-    """Spanning links (id, root) of all families (sets with the column ``family``)."""
+def compared(
+    sets: DataFrame, families: DataFrame, percent: int = PERCENT, cell_rows: int = CELL_ROWS, cell_bytes: int = CELL_BYTES
+) -> DataFrame:
+    """Spanning links (id, root) of all families: the sets (id, tokens), and id, family, n and the prefixes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def cell(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,14 +325,14 @@ def compared(sets: DataFrame, percent: int = PERCENT, cell_rows: int = CELL_ROWS
 
     place = ["family", "low", "high"]
     slices = F.greatest(F.ceil(F.count("*") / cell_rows), F.ceil(F.sum("n") * 8 / cell_bytes))
-    sizes = sets.groupBy("family").agg(slices.alias("slices"))
+    sizes = families.groupBy("family").agg(slices.alias("slices"))
     own = F.pmod(F.xxhash64("id"), F.col("slices"))
-    met = sets.join(sizes, "family").withColumn("own", own)
-    met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
-    dealt = met.select(
-        "family", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "n", "tokens", *ORDERS
-    )
-    return dealt.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, "id long, root long")
+    # Places are found before the sets themselves join, which so move to them once.
+    placed = families.join(sizes, "family").withColumn("own", own)
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
+    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    rows = sets.join(dealt.select("family", low, high, "id", "n", *ORDERS), "id").select(*place, "id", "n", "tokens", *ORDERS)
+    return rows.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, "id long, root long")
 
 
 def near_sets(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -331,8 +346,9 @@ def near_sets(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) ->
 
     # First order, over all sets.
     sent = made.where("tokens is not null").select(*key, F.explode("tokens").alias("token"))
-    passed = common.keep(prefixes(sent, classes, key, ~is_counted(F.col("token")), percent))
-    kept = cells.numbered(common.keep(passed.join(classes, key))).withColumnsRenamed({"row": "id", "prefix": ORDERS[0]})
+    ranks = ranked_tokens(sent, classes, key, ~is_counted(F.col("token")), percent)
+    passed = common.keep(ranks.select(*key, prefix().alias(ORDERS[0])).join(classes, key))
+    kept = cells.numbered(passed).withColumnRenamed("row", "id")
     kept = common.keep(kept.join(partners(kept, ORDERS[0]), "id"))
 
     # Second and third order, over the sets that passed.
@@ -341,15 +357,14 @@ def near_sets(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) ->
     wanted = near_rows(texts, ids)
     if not kept.where("least is null").isEmpty():
         wanted = wanted.unionByName(texts.where("doc_id is null"))
-    sets = common.keep(whole_sets(wanted, words).join(kept.select(*key, "id", ORDERS[0]), key).select("id", "n", "tokens", ORDERS[0]))
-    for order in ORDERS[1:]:
-        named = sets.select("id", "n", F.col("n").alias("sent"))
-        exploded = sets.select("id", F.explode("tokens").alias("token"))
-        found = prefixes(exploded, named, ["id"], F.lit(False), percent, order == "third")
-        sets = common.keep(sets.join(found.withColumnRenamed("prefix", order), "id"))
-
-    family = families(common.keep(postings(sets, ORDERS[-1])))
-    links = compared(sets.join(family, "id"), percent)
+    sets = common.keep(whole_sets(wanted, words).join(kept.select(*key, "id"), key).select("id", "n", "tokens"))
+    exploded = sets.select("id", F.explode("tokens").alias("token"))
+    sizes = kept.select("id", "n", F.col("n").alias("sent"))
+    ranks = ranked_tokens(exploded, sizes, ["id"], F.lit(False), percent)
+    others = common.keep(ranks.select("id", prefix().alias(ORDERS[1]), prefix(backwards=True).alias(ORDERS[2])))
+
+    families = common.keep(connected(postings(others, ORDERS[2])).join(kept.select("id", "n", ORDERS[0]), "id").join(others, "id"))
+    links = compared(sets.select("id", "tokens"), families, percent)
     roots = components(links).toDF("id", "root").join(kept.select("id", *key), "id")
     rooted = classes.join(roots, key, "left").select(*key, "least", "root")
     joined = rooted.where("root is not null")

@@ -68,9 +68,10 @@ def test_sets_that_reach_the_threshold_share_a_prefix_token(spark):
         rows += [(2 * pair, np.unique(base)), (2 * pair + 1, np.unique(other if len(other) else base))]
     sets = spark.createDataFrame([(i, len(s), len(s), s.view(np.int64).tolist()) for i, s in rows], "id long, n long, sent long, tokens array<long>")
     tokens = sets.selectExpr("id", "explode(tokens) as token")
-    orders = [
-        {r.id: set(r.prefix) for r in jaccard.prefixes(tokens, sets, ["id"], F.lit(False), backwards=b).collect()} for b in (False, True)
-    ]
+    ranks = jaccard.ranked_tokens(tokens, sets, ["id"], F.lit(False)).select("id", jaccard.prefix(), jaccard.prefix(backwards=True))
+    made = [tuple(r) for r in ranks.collect()]
+    orders = [{r[0]: set(r[place]) for r in made} for place in (1, 2)]
+    assert orders[0] != orders[1]
     linked = 0
     for (i, one), (j, two) in zip(rows[::2], rows[1::2]):
         both = len(np.intersect1d(one, two))
@@ -86,7 +87,7 @@ def test_a_set_whose_own_tokens_fill_its_prefix_is_dropped(spark):
     rows = [(i, 100, 100, [*range(40), *range(1000 * (i + 1), 1000 * (i + 1) + 60)]) for i in range(50)]
     sets = spark.createDataFrame(rows, "id long, n long, sent long, tokens array<long>")
     tokens = sets.selectExpr("id", "explode(tokens) as token")
-    assert jaccard.prefixes(tokens, sets, ["id"], F.lit(False)).count() == 0
+    assert jaccard.ranked_tokens(tokens, sets, ["id"], F.lit(False)).count() == 0
 
 
 def test_groups_of_copies_links_between_them_and_shared_passages(spark):
@@ -160,7 +161,7 @@ def test_cells_give_a_forest_of_all_links(spark, cell_rows, cell_bytes):
         rows.append((i, len(tokens), tokens, *[tokens] * 3, i % 2))
     schema = "id long, n long, tokens array<long>, first array<long>, second array<long>, third array<long>, family long"
     sets = spark.createDataFrame(rows, schema)
-    links = jaccard.compared(sets, cell_rows=cell_rows, cell_bytes=cell_bytes)
+    links = jaccard.compared(sets.select("id", "tokens"), sets.drop("tokens"), cell_rows=cell_rows, cell_bytes=cell_bytes)
     top = {r.node: r.root for r in jaccard.components(links).collect()}
     expected = {i: i for i in range(60)}
     for i in range(60):
