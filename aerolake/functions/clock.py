@@ -24,8 +24,17 @@ WEEKDAYS = {
 }
 
 
-# A time of day without a date, and a year without a month: the cast would have to guess the rest.
-GUESSED = r"^\s*(T?\d{1,2}(:.*)?|T.*|[+-]?\d{4,})\s*$"
+# What Spark's cast to a time trims, and the signs of a year.
+LEADING = " \t\n\x0b\x0c\r+-"
+
+
+def has_date(value: Column) -> Column:
+    """Whether a text that reads as a time names more of its date than a year.
+
+    A date has a hyphen after its year, ahead of any colon; a bare time of day and a bare year, of which the
+    cast would have to guess the rest, have none there. Plain searches, so no pattern runs per row.
+    """
+    return F.contains(F.ltrim(F.substring_index(value, ":", 1), F.lit(LEADING)), F.lit("-"))
 
 
 def read_time(value: Column, formats: Sequence[str] = (), guess: bool = True) -> Column:
@@ -37,7 +46,7 @@ def read_time(value: Column, formats: Sequence[str] = (), guess: bool = True) ->
     """
     if not formats:
         read = value.try_cast("timestamp")
-        return read if guess else F.when(~value.rlike(GUESSED), read)
+        return read if guess else F.when(has_date(value), read)
     return F.coalesce(*[F.try_to_timestamp(value, F.lit(layout)) for layout in formats])
 
 

@@ -20,9 +20,10 @@ def hits(predicate: Column) -> Column:
     return F.count_if(predicate)
 
 
-def hits_or_null(predicate: Column) -> Column:
-    """Rows for which the predicate is true; NULL on empty input, as a plain SUM answers."""
-    return F.sum(F.when(predicate, 1).otherwise(0))
+def hits_or_null(predicate: Column, among: Column | None = None) -> Column:
+    """Rows (``among`` some) for which the predicate is true; NULL if there are none, as a plain SUM answers."""
+    hit = F.when(predicate, 1).otherwise(0)
+    return F.sum(hit if among is None else F.when(among, hit))
 
 
 def share(part: Column, whole: Column) -> Column:

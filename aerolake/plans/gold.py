@@ -237,8 +237,9 @@ def role_play_registry(legs: DataFrame, registry: DataFrame, salts: int = 1) ->
         )
         legs = legs.withColumns(
             {
-                name: F.when(text.has_text(code), text.labelled(F.col(name), UNLISTED_AIRPORT, code)),
-                country: F.when(text.has_text(code), rules.classified(code, HOME, ABROAD, True)),
+                # A missing code is a missing answer without a test of its own.
+                name: F.when(code != "", text.labelled(F.col(name), UNLISTED_AIRPORT, code)),
+                country: F.when(code != "", rules.classified(code, HOME, ABROAD, True)),
             }
         )
     return legs

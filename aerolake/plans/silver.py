@@ -32,8 +32,9 @@ def legs(raw: DataFrame, formats: Sequence[str] | None = None, guess: bool = Fal
     Without ``formats`` times are read by the lenient cast; only a bare time of day or year, of which
     it would have to ``guess`` the rest, becomes NULL.
     """
-    sentinels = {**dict.fromkeys(TIMES, NO_TIME), "codigo_justificativa": NO_REASON}
-    typed = conform.parse_timestamps(conform.nullify(raw, sentinels), TIMES, formats, guess)
+    # NO_TIME is no time in any layout, so reading it gives NULL without a test of its own.
+    typed = conform.nullify(raw, {"codigo_justificativa": NO_REASON})
+    typed = conform.parse_timestamps(typed, TIMES, formats, guess)
     typed = conform.split_time(typed, TIMES)
     ends = (TIMES[:2], TIMES[2:])
     for pair, delay in zip(ends, DELAYS):

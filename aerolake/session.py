@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 # Times are wall-clock readings, so UTC keeps daylight-saving gaps from shifting them.
 # Lookup joins beyond the broadcast threshold lean on adaptive execution: a partition that one hot
 # airline or airport fills is split at run time, also where the split costs a further exchange.
+# HotSpot leaves methods above 8,000 bytes uncompiled; a stage that would need one runs operator by operator.
+HUGE_METHOD = 8000
 SETTINGS = {
+    "spark.sql.codegen.hugeMethodLimit": str(HUGE_METHOD),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",

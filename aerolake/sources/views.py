@@ -41,18 +41,16 @@ def bronze_vra(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lpad(CAST(event_id % 1000 AS STRING), 4, '0') AS numero_voo",
         "substring('0234679DE1', CAST(event_id % 10 AS INT) + 1, 1) AS codigo_di",
         "substring('NCIGZ', CAST(event_id % 5 AS INT) + 1, 1) AS codigo_tipo_linha",
-        "concat(CASE WHEN user_id % 3 = 0 THEN 'KJ' ELSE 'SB' END, user_id) AS icao_origem",
+        "concat(if(user_id % 3 = 0, 'KJ', 'SB'), user_id) AS icao_origem",
         "CASE WHEN event_id % 97 = 0 THEN ''"
-        " ELSE concat(CASE WHEN event_id % 4 = 0 THEN 'KJ' ELSE 'SB' END, user_id + hour(ts)) END AS icao_destino",
-        f"CASE WHEN event_id % 50 = 0 THEN 'null'"
-        f" WHEN event_id % 30 = 7 THEN concat({time_text('date_trunc(\'hour\', ts)', SECONDS)}, '.5')"
-        f" ELSE {time_text('date_trunc(\'hour\', ts)', SECONDS)} END AS partida_prevista",
+        " ELSE concat(if(event_id % 4 = 0, 'KJ', 'SB'), user_id + hour(ts)) END AS icao_destino",
+        f"CASE WHEN event_id % 50 = 0 THEN 'null' ELSE concat({time_text('date_trunc(\'hour\', ts)', SECONDS)},"
+        " if(event_id % 30 = 7, '.5', '')) END AS partida_prevista",
         # Some legs leave days late or hours early, beyond what is plausible.
-        f"CASE WHEN NOT {flown} THEN 'null'"
-        f" WHEN event_id % 211 = 0 THEN {time_text(later('ts', '1500'), MICROS)}"
-        f" WHEN event_id % 223 = 0 THEN {time_text(later('ts', '-300'), MICROS)}"
-        f" ELSE {time_text('ts', MICROS)} END AS partida_real",
-        f"{time_text(later('date_trunc(\'hour\', ts)', '60'), SECONDS)} AS chegada_prevista",
+        f"CASE WHEN {flown} THEN"
+        f" {time_text(later('ts', 'CASE WHEN event_id % 211 = 0 THEN 1500 WHEN event_id % 223 = 0 THEN -300 ELSE 0 END'), MICROS)}"
+        " ELSE 'null' END AS partida_real",
+        f"{time_text('date_trunc(\'hour\', ts) + INTERVAL 1 HOUR', SECONDS)} AS chegada_prevista",
         f"CASE WHEN {flown} THEN"
         f" {time_text(later('ts', '(event_id * 7) % 120'), MICROS)}"
         " ELSE 'null' END AS chegada_real",
