@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,8 +15,10 @@ from aerolake.operators.governance import LOADS, edge_rows
 from aerolake.sources.seed import seed_table
 
 VERSION = "_versao"
-# Beside the target: rows being written, and the old rows until the new ones are in place.
-COMING, LEAVING = "__novo", "__antigo"
+# Between a table's name and the mark of one refresh, in names of folders and of tables in transit.
+REFRESH = "__carga_"
+# Whether the catalog keeps a list of a table's partitions; without one they are read off its folder.
+LISTS_PARTITIONS = "spark.sql.hive.manageFilesourcePartitions"
 
 
 class KeptLoads(ValueError):
@@ -42,8 +46,12 @@ def publish(
 ) -> int:
     """Replace ``target`` (a ``schema.table`` name, or a path) and return the rows it then holds.
 
-    The rows are written beside the target and take its place only when all of them are there, so a
-    refresh that fails leaves the old ones as they were.
+    The rows are written to a folder of their own and the target is pointed there only when all of them
+    are there, so a refresh that fails leaves the old ones as they were. Where columns and partitions stay
+    the same that is one change in the catalog: a reader sees the old rows or the new ones. Where they
+    change, a table made beside it takes over its name. The folder before the last is kept for queries
+    that still read it, until the next refresh. Tables hold their files by location, so dropping one leaves
+    them to its next refresh. Rows are counted by the write itself.
 
     partition_by  writes directories a later filter prunes. The rows are rebalanced by these columns
                   first: adaptive execution merges small partitions into one file and splits the one
@@ -58,7 +66,6 @@ def publish(
     """
     spark = df.sparkSession
     described = with_comments(df, comments or {})
-    _recover(spark, target)
     existed = _exists(spark, target)
     held = existed and VERSION in stored(spark, target).columns
     if held and version is None:
@@ -69,11 +76,16 @@ def publish(
         directories = [VERSION, *directories]
     if partition_by and not clustered:
         described = described.hint("rebalance", *partition_by)
+    # Above the shuffle, in the stage that writes: a task done again there is counted once.
+    written = Observation()
+    described = described.observe(written, F.count(F.lit(1)).alias("rows"))
     if held:
         _add_load(described, target, directories)
-        rows = stored(spark, target).where(F.col(VERSION) == version).count()
+    elif _is_path(target):
+        _refresh_path(described, target, directories)
     else:
-        rows = _replace(described, target, directories)
+        _refresh_table(described, target, directories)
+    rows = written.get["rows"]
     if log is not None:
         operation = "load" if version is not None else "refresh" if existed else "create"
         log_load(spark, log, target, version, operation, rows)
@@ -102,85 +114,98 @@ def _exists(spark: SparkSession, target: str) -> bool:
     return store.exists(where)
 
 
-def _move(spark: SparkSession, source: str, target: str) -> None:
-    (store, old), (_, new) = _hadoop(spark, source), _hadoop(spark, target)
-    if not store.rename(old, new):
-        raise OSError(f"could not move {source} to {target}")
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    store, where = _hadoop(spark, path)
-    store.delete(where, True)
-
-
 def _location(spark: SparkSession, what: str) -> str:
     rows = spark.sql(f"DESCRIBE {what}").collect()
     return next(row[1] for row in rows if row[0] == "Location")
 
 
-def _beside(spark: SparkSession, target: str, mark: str) -> str:
-    """A folder beside the path, or in the folder of the table's schema."""
-    if _is_path(target):
-        return target.rstrip("/") + mark
+def _refresh_table(df: DataFrame, target: str, directories: Sequence[str]) -> None:
+    """Write a new folder, then point the table there; only the catalog changes, no file moves."""
+    spark = df.sparkSession
     schema, _, name = target.rpartition(".")
-    if schema:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    folder = _location(spark, f"SCHEMA {schema or spark.catalog.currentDatabase()}")
-    return f"{folder.rstrip('/')}/{name}{mark}"
+    schema = schema or spark.catalog.currentDatabase()
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    beside, mark = _location(spark, f"SCHEMA {schema}").rstrip("/"), uuid.uuid4().hex
+    folder = f"{beside}/{name}{REFRESH}{mark}"
+    df.write.partitionBy(*directories).parquet(folder)
+
+    before = None
+    if spark.catalog.tableExists(target):
+        before = _location(spark, f"TABLE EXTENDED {target}")
+    if before is not None and _same_shape(df, target, directories):
+        spark.sql(f"ALTER TABLE {target} SET LOCATION '{folder}'")
+    else:
+        _create(spark, coming := f"{schema}.{name}{REFRESH}{mark}", df.schema, directories, folder)
+        if before is not None:
+            spark.sql(f"ALTER TABLE {target} RENAME TO {schema}.{name}{REFRESH}{mark}_antes")
+        spark.sql(f"ALTER TABLE {coming} RENAME TO {target}")
+        if before is not None:
+            spark.sql(f"DROP TABLE {schema}.{name}{REFRESH}{mark}_antes")
+    spark.catalog.refreshTable(target)
+    _drop_folders(spark, f"{beside}/{name}{REFRESH}*", keep=(folder, before))
 
 
-def _recover(spark: SparkSession, target: str) -> None:
-    """Undo a refresh that stopped before its last step: the old files still lie beside the target."""
-    leaving = _beside(spark, target, LEAVING)
-    if not _exists(spark, leaving + "/"):
-        return
-    old = spark.read.option("mergeSchema", "true").parquet(leaving)
-    inside = (old.inputFiles() or [""])[0].partition(LEAVING)[2].split("/")
-    directories = [step.partition("=")[0] for step in inside if "=" in step]
-    if _is_path(target):
-        _delete(spark, target)
-    _settle(spark, leaving, target, old.schema, directories)
+def _same_shape(df: DataFrame, target: str, directories: Sequence[str]) -> bool:
+    """Whether a table has these columns, comments and partitions, and reads its partitions off its folder."""
+    spark = df.sparkSession
+    described = [tuple(r)[:2] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()]
+    names = [name for name, _ in described]
+    parts = names[names.index("# col_name") + 1 : names.index("# Detailed Table Information")] if "# col_name" in names else []
+    columns = [f for f in df.schema if f.name not in directories] + [df.schema[d] for d in directories]
+    known = spark.table(target).schema
+    same = [(f.name, f.dataType, f.metadata) for f in known] == [(f.name, f.dataType, f.metadata) for f in columns]
+    return same and [p for p in parts if p] == list(directories) and ("Partition Provider", "Catalog") not in described
 
 
-def _replace(df: DataFrame, target: str, directories: Sequence[str]) -> int:
-    """Write beside the target, count, then change places; only files are moved, never rows."""
-    spark = df.sparkSession
-    coming, leaving = _beside(spark, target, COMING), _beside(spark, target, LEAVING)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*directories).parquet(coming)
-    rows = spark.read.schema(df.schema).parquet(coming).count()
-    if _exists(spark, target):
-        _set_aside(spark, target)
-    _settle(spark, coming, target, df.schema, directories)
-    _delete(spark, leaving)
-    return rows
+def _create(spark: SparkSession, table: str, schema: StructType, directories: Sequence[str], folder: str) -> None:
+    """A table over a folder of files."""
 
+    def told(comment: str) -> str:
+        return comment.replace("\\", "\\\\").replace("'", "\\'")
 
-def _set_aside(spark: SparkSession, target: str) -> None:
-    place = target if _is_path(target) else _location(spark, f"TABLE EXTENDED {target}")
-    _move(spark, place, _beside(spark, target, LEAVING))
+    columns = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}"
+        + (f" COMMENT '{told(f.metadata['comment'])}'" if "comment" in f.metadata else "")
+        for f in schema
+    )
+    by = f" PARTITIONED BY ({', '.join(f'`{d}`' for d in directories)})" if directories else ""
+    with _set(spark, LISTS_PARTITIONS, "false"):
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{by} LOCATION '{folder}'")
 
 
-def _settle(
-    spark: SparkSession, folder: str, target: str, schema: StructType, directories: Sequence[str]
-) -> None:
-    """Make a folder of files the target. A table is made anew, without rows, and is given the files."""
-    if _is_path(target):
-        _move(spark, folder, target)
-        return
-    spark.sql(f"DROP TABLE IF EXISTS {target}")  # its files lie elsewhere by now
-    empty = spark.createDataFrame([], schema).write.format("parquet")
-    empty.partitionBy(*directories).saveAsTable(target)
-    place = _location(spark, f"TABLE EXTENDED {target}")
-    store, old = _hadoop(spark, folder)
-    for child in store.listStatus(old):
-        name = child.getPath().getName()
-        if name != "_SUCCESS":
-            _move(spark, f"{folder}/{name}", f"{place}/{name}")
-    if directories:
-        spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
-    spark.catalog.refreshTable(target)
-    _delete(spark, folder)
+@contextmanager
+def _set(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting that a command takes from the session only, for that command."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _drop_folders(spark: SparkSession, pattern: str, keep: Sequence[str | None]) -> None:
+    store, where = _hadoop(spark, pattern)
+    kept = {store.makeQualified(_hadoop(spark, k)[1]).toString() for k in keep if k}
+    for found in store.globStatus(where) or ():
+        if found.getPath().toString() not in kept:
+            store.delete(found.getPath(), True)
+
+
+def _refresh_path(df: DataFrame, target: str, directories: Sequence[str]) -> None:
+    """Write a new folder beside the path, then let it take over the path's name."""
+    spark = df.sparkSession
+    target = target.rstrip("/")
+    mark = uuid.uuid4().hex
+    coming, leaving = f"{target}{REFRESH}{mark}", f"{target}{REFRESH}{mark}_antes"
+    df.write.partitionBy(*directories).parquet(coming)
+    store, place = _hadoop(spark, target)
+    if store.exists(place) and not store.rename(place, _hadoop(spark, leaving)[1]):
+        raise OSError(f"could not set {target} aside")
+    if not store.rename(_hadoop(spark, coming)[1], place):
+        store.rename(_hadoop(spark, leaving)[1], place)
+        raise OSError(f"could not put {coming} in place")
+    _drop_folders(spark, f"{target}{REFRESH}*", keep=())
 
 
 def _add_load(df: DataFrame, target: str, directories: Sequence[str]) -> None:
@@ -203,14 +228,8 @@ def _add_load(df: DataFrame, target: str, directories: Sequence[str]) -> None:
             for f in wanted
         ]
     )
-    # insertInto takes the mode from the session only, so it is set for this one write.
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
+    with _set(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         ordered.write.insertInto(target, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
 
 
 def _append(rows: DataFrame, table: str) -> None:

@@ -210,32 +210,42 @@ def stored_checks(spark: SparkSession, options: Options) -> DataFrame:
         raw = raw.where(F.col(VERSION) == options.version)
     legs, airlines = spark.table("silver.vra"), spark.table("silver.empresas")
 
-    def rows(*tables: DataFrame) -> DataFrame:
-        counted = [t.agg(measures.rows().alias("n")) for t in tables]
-        return reduce(DataFrame.unionByName, counted).agg(F.sum("n").alias("n"))
+    def count(*tables: DataFrame) -> DataFrame:
+        return totals(*[t.agg(measures.rows().alias("linhas")) for t in tables])
 
-    def times(df: DataFrame, name: str) -> DataFrame:
-        written = F.col(name).isNotNull() & (F.col(name).cast("string") != silver.NO_TIME)
-        return df.agg(F.count(F.when(written, 1)).alias("n"))
+    def counted(df: DataFrame) -> DataFrame:
+        """Rows, and the times that hold something, in one pass over the table."""
+        written = {t: F.col(t).isNotNull() & (F.col(t).cast("string") != silver.NO_TIME) for t in silver.TIMES}
+        return totals(df.agg(measures.rows().alias("linhas"), *[measures.hits(w).alias(t) for t, w in written.items()]))
 
-    none = spark.range(1).select(F.lit(0).cast("long").alias("n"))
+    def totals(*ones: DataFrame) -> DataFrame:
+        """(medida, n) of one-row frames, added up."""
+        named = [one.unpivot([], one.columns, "medida", "n") for one in ones]
+        return reduce(DataFrame.unionByName, named).groupBy("medida").agg(F.sum("n").alias("n"))
+
+    none = spark.range(1).select(F.lit("linhas").alias("medida"), F.lit(0).cast("long").alias("n"))
     registries = [spark.table(f"bronze.empresas_{kind}") for kind in ("nacionais", "estrangeiras")]
     named = airlines.where(F.col("icao") != "")
     airports = lookups.uncovered_keys(legs, ("icao_origem", "icao_destino"), spark.table("gold.dim_aeroporto"), "icao_aeroporto")
     checks = [
-        ("linhas", "silver.vra", rows(raw), rows(legs)),
-        ("linhas", "silver.empresas", rows(*registries), rows(airlines)),
-        ("linhas", "silver.aerodromos", rows(spark.table("bronze.aerodromos")), rows(spark.table("silver.aerodromos"))),
-        ("linhas", "gold.obt_voos", rows(legs), rows(spark.table("gold.obt_voos"))),
-        ("linhas", "gold.obt_voos_enriquecida", rows(legs), rows(spark.table("gold.obt_voos_enriquecida"))),
-        ("chave_unica", "silver.empresas", none, rows(lookups.duplicate_keys(named, "icao"))),
-        ("cobertura", "gold.dim_aeroporto", none, rows(airports)),
-        *[("tempo_lido", f"silver.vra.{t}", times(raw, t), times(legs, t)) for t in silver.TIMES],
+        ("linhas", "silver.vra", counted(raw), counted(legs)),
+        ("linhas", "silver.empresas", count(*registries), count(airlines)),
+        ("linhas", "silver.aerodromos", count(spark.table("bronze.aerodromos")), count(spark.table("silver.aerodromos"))),
+        ("linhas", "gold.obt_voos", count(legs), count(spark.table("gold.obt_voos"))),
+        ("linhas", "gold.obt_voos_enriquecida", count(legs), count(spark.table("gold.obt_voos_enriquecida"))),
+        ("chave_unica", "silver.empresas", none, count(lookups.duplicate_keys(named, "icao"))),
+        ("cobertura", "gold.dim_aeroporto", none, count(airports)),
     ]
     if not options.dedupe_fact:
-        checks.append(("linhas", "gold.fato_voos", rows(legs), rows(spark.table("gold.fato_voos"))))
+        checks.append(("linhas", "gold.fato_voos", count(legs), count(spark.table("gold.fato_voos"))))
+    is_time = F.col("medida") != "linhas"
     sides = [
-        side.select(F.lit(check).alias("verificacao"), F.lit(place).alias("alvo"), F.lit(end).alias("lado"), "n")
+        side.select(
+            F.when(is_time, "tempo_lido").otherwise(check).alias("verificacao"),
+            F.when(is_time, F.concat_ws(".", F.lit(place), "medida")).otherwise(place).alias("alvo"),
+            F.lit(end).alias("lado"),
+            "n",
+        )
         for check, place, expected, found in checks
         for end, side in (("esperado", expected), ("encontrado", found))
     ]

@@ -252,16 +252,70 @@ def test_a_load_that_fails_keeps_all_loads(spark, target):
     assert stored(spark, target).count() == 4
 
 
-def test_a_refresh_that_stopped_between_its_moves_is_put_right(spark, target):
+def test_a_refresh_that_stops_before_the_swap_leaves_the_old_rows(spark, target, monkeypatch):
+    """The new files are all there, the target still shows the old ones; the next refresh clears them away."""
     from aerolake.operators import publish as writer
 
     publish(spark.range(4).withColumn("p", F.col("id") % 2), target, {"id": "A number."}, ["p"])
-    writer._set_aside(spark, target)
-    with pytest.raises(Exception, match="broken"):
-        publish(broken(spark), target)
+    with monkeypatch.context() as patched:
+        patched.setattr(writer, "_same_shape", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        patched.setattr(writer, "_refresh_path", lambda df, place, by: (df.write.parquet(f"{place}{writer.REFRESH}x"), 1 / 0))
+        with pytest.raises((KeyboardInterrupt, ZeroDivisionError)):
+            publish(spark.range(9).withColumn("p", F.col("id") % 2), target, {"id": "A number."}, ["p"])
     rows = stored(spark, target)
     assert landed(rows.select("id", "p")) == [(0, 0), (1, 1), (2, 0), (3, 1)]
-    assert rows.schema["id"].metadata["comment"] == "A number."
+    if "." in target and "/" not in target:
+        assert rows.schema["id"].metadata["comment"] == "A number."
+    assert publish(spark.range(5).withColumn("p", F.col("id") % 2), target, {"id": "A number."}, ["p"]) == 5
+    assert stored(spark, target).count() == 5
+
+
+@pytest.mark.parametrize("by", [[], ["p"]])
+def test_a_reader_sees_the_old_rows_or_the_new_ones(spark, by):
+    """While a table is refreshed again and again, every count is that of one refresh."""
+    from threading import Event, Thread
+
+    name = f"t_publish.swap_{len(by)}"
+    rows = {n: spark.range(n).withColumn("p", F.col("id") % 3) for n in (400, 600)}
+    publish(rows[400], name, partition_by=by)
+    seen, done = set(), Event()
+
+    def read():
+        while not done.is_set():
+            spark.catalog.refreshTable(name)
+            seen.add(spark.table(name).count())
+
+    reader = Thread(target=read)
+    reader.start()
+    for turn in range(6):
+        before = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()[1]
+        assert publish(rows[(600, 400)[turn % 2]], name, partition_by=by) == (600, 400)[turn % 2]
+        # A query planned before the swap still finds its files.
+        assert spark.read.parquet(before).count() == (400, 600)[turn % 2]
+    done.set()
+    reader.join()
+    assert seen and seen <= {400, 600}
+
+
+def test_rows_are_counted_by_the_write(spark, target):
+    """A refresh is one job and reads nothing back; a path has its columns read from footers, by two jobs."""
+    rows = spark.range(1000).withColumn("x", F.lit("a"))
+    publish(rows, target)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("counted", "")
+    assert publish(rows.where("id < 700"), target) == 700
+    jobs = tracker.getJobIdsForGroup("counted")
+    spark.sparkContext.setJobGroup("after", "")
+    assert len(jobs) == (3 if "/" in target else 1)
+
+
+def test_refresh_changes_partitions_and_comments(spark):
+    name = "t_publish.shape"
+    publish(spark.range(6).withColumn("p", F.col("id") % 2), name, {"id": "It's a \\ number."}, ["p"])
+    publish(spark.range(8).withColumn("q", F.col("id") % 4), name, {"id": "Another."}, ["q"])
+    assert spark.table(name).schema["id"].metadata["comment"] == "Another."
+    assert landed(spark.table(name).groupBy("q").count()) == [(0, 2), (1, 2), (2, 2), (3, 2)]
+    assert "PartitionFilters: [isnotnull(q" in plan(spark.table(name).where("q = 1"))
 
 
 def test_versioned_loads_widen_the_schema(spark, target):
@@ -461,6 +515,16 @@ def test_checks_show_what_went_wrong(spark, sources):
     }
 
 
+def test_checks_read_each_table_once_for_all_its_times(spark, sources):
+    options = pipeline.Options(run_date=dt.date(2026, 2, 1))
+    spark.sql("DROP TABLE IF EXISTS bronze.vra")
+    pipeline.run(spark, sources, options)
+    scans = [line for line in plan(pipeline.stored_checks(spark, options)).split("\n") if "FileScan" in line]
+    for table in ("bronze", "silver"):
+        timed = [line for line in scans if f"{table}.vra[" in line and "partida_real" in line]
+        assert len(timed) == 1 and "chegada_prevista" in timed[0]
+
+
 def test_glossary_has_no_column_of_its_own(spark):
     """A stale description or an undescribed column shows up as a gap."""
     schema = governance.seed_table(
