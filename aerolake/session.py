@@ -89,10 +89,10 @@ def broadcastable(df: DataFrame) -> bool:
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     if all(leaves.apply(i).nodeName() == "LocalRelation" for i in range(leaves.size())):
         return True
-    return input_bytes(df) * DECODED_WIDTH <= _broadcast_bytes(df.sparkSession)
+    return input_bytes(df) * DECODED_WIDTH <= broadcast_bytes(df.sparkSession)
 
 
-def _broadcast_bytes(spark: SparkSession) -> int:
+def broadcast_bytes(spark: SparkSession) -> int:
     return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
@@ -129,7 +129,7 @@ def keep_small(df: DataFrame) -> DataFrame:
     stored = keep(df)
     width = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
     held = stored.agg(F.sum(reduce(Column.__add__, width))).first()[0] or 0
-    return F.broadcast(stored) if held <= _broadcast_bytes(df.sparkSession) else stored
+    return F.broadcast(stored) if held <= broadcast_bytes(df.sparkSession) else stored
 
 
 def partitions_for(stored: int, at_least: int, partition_bytes: int = SHUFFLE_PARTITION_BYTES) -> int:

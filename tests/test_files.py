@@ -130,6 +130,36 @@ def test_discovery_does_not_grow_with_the_files(spark, tmp_path):
     assert jobs(40, True) <= 12
 
 
+@pytest.mark.parametrize("odd", [False, True])
+def test_files_are_scanned_once(spark, tmp_path, odd):
+    """One scan of the glob whatever the layouts, and no list of paths in the plan or the driver."""
+    for i in range(60):
+        header = "Nota;Código;Nome" if odd and i % 2 else "Código;Nome;Nota"
+        fields = f"x;{i};Um" if odd and i % 2 else f"{i};Um;x"
+        write(tmp_path / f"{i}.csv", [PREAMBLE, header, fields, header])
+    rows = read_delimited(spark, str(tmp_path / "*.csv"), COLUMNS)
+    text = plan(rows)
+    assert text.count("FileScan csv") == 1 and "59.csv" not in text
+    assert text.count("Exchange hashpartitioning") == 0 or "InMemoryTableScan" in text
+    assert len(landed(rows)) == 120
+    assert landed(rows.where("nota = 'x'").select("codigo")) == sorted([(str(i),) for i in range(60)], key=str)
+
+
+def test_the_first_row_of_a_file_is_told_apart_below_any_filter(spark, tmp_path):
+    """A filter that drops rows ahead of a repeated header must not make it look like the first."""
+    header = "Código;Nome;Nota"
+    for i in range(30):
+        write(tmp_path / f"{i}.csv", [PREAMBLE, header, "1;Um;x", header])
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = read_delimited(spark, str(tmp_path / "*.csv"), COLUMNS)
+        assert rows.where("codigo <> '1'").count() == 30
+        assert rows.where("nota = 'Nota'").select("nome").count() == 30
+        assert rows.count() == 60
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_only_spark_can_read_the_store(spark, tmp_path, monkeypatch):
     from aerolake.sources import delimited
 
