@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import math
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from aerolake.llm import common, packing, words
@@ -67,11 +71,54 @@ def test_words_equal_the_library(library):
         "", " ", "It's I'LL we've 12½³ x_y--z", "ÀÉÎ Ǆ ȺȾ İı ſ ß", "a\x1cb\x85c\xa0d", "日本 Σίσυφος ΣΑΣ K Å ﬁ", "é é",
         "<|endoftext|> <|startoftext|>", "'s'S''s 't'tt", "“quoted” – dash…", "x" * 3000,
     ]
-    library.encode_special_tokens = True
-    made = words.Encoder(WORD_VOCABULARY).encode(texts)
-    assert [np.frombuffer(m, "<u4").tolist() for m in made] == [
-        library.encode(t, add_special_tokens=False).ids for t in texts
-    ]
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    encoder = words.Encoder(WORD_VOCABULARY)
+    for _ in range(2):
+        assert [m.tolist() for m in encoder.encode(pa.array(texts))] == expected
+    assert encoder.encode(pa.array([], pa.string())) == []
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.lists(st.text(alphabet="aB1é²'’stre.,-_ \t\nß½Ǆ<|>", max_size=40), max_size=5))
+def test_words_of_any_text(library, texts):
+    made = words.encoder(WORD_VOCABULARY).encode(pa.array(texts, pa.string()))
+    assert [m.tolist() for m in made] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_not_met_for_long_are_forgotten(library, monkeypatch):
+    monkeypatch.setattr(words, "REMEMBERED", 20)
+    encoder = words.Encoder(WORD_VOCABULARY)
+    for turn in range(30):
+        text = f"always here and word{turn}x or {turn * 7} things{turn}"
+        made = encoder.encode(pa.array([text]))
+        assert made[0].tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(encoder.met) + len(encoder.before) < 50
+    assert "always" in encoder.met or "always" in encoder.before
+
+
+def plain_assign(lengths, capacity, linear, quadratic):
+    """Each piece, longest first, to the first of the cheapest sequences that have room; else to a new one."""
+    opened = math.ceil(packing.OPENED * sum(lengths) / capacity)
+    room, cost, out = [capacity] * opened, [0.0] * opened, []
+    for n in lengths:
+        fits = [i for i in range(len(room)) if room[i] >= n]
+        if not fits:
+            room.append(capacity)
+            cost.append(0.0)
+            fits = [len(room) - 1]
+        at = min(fits, key=lambda i: (cost[i], i))
+        out.append((at, capacity - room[at]))
+        room[at] -= n
+        cost[at] += linear * n + quadratic * n * n
+    return out
+
+
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.integers(1, 50), max_size=80), st.sampled_from([50, 64, 100]), st.sampled_from([0.0, 0.02, 1.0]))
+def test_assign_equals_a_plain_loop(lengths, capacity, quadratic):
+    lengths = sorted(lengths, reverse=True)
+    sequence, offset = packing.assign(np.array(lengths, np.int64), capacity, 1.0, quadratic)
+    assert list(zip(sequence.tolist(), offset.tolist())) == plain_assign(lengths, capacity, 1.0, quadratic)
 
 
 def test_assign_takes_the_cheapest_with_room():
@@ -96,7 +143,7 @@ def test_added_tokens_have_their_own_ids(spark):
     """As an unmodified library gives them."""
     library = Tokenizer.from_file(WORD_VOCABULARY)
     texts = ["a <|endoftext|> b", "x<|startoftext|>y", "<|ENDOFTEXT|> <|endof text|>", "日本 <|endoftext|>", "plain text"]
-    made = words.encoder(WORD_VOCABULARY).encode(texts)
+    made = words.encoder(WORD_VOCABULARY).encode(pa.array(texts))
     assert [np.frombuffer(m, "<u4").tolist() for m in made] == [
         library.encode(t, add_special_tokens=False).ids for t in texts
     ]
