@@ -104,8 +104,98 @@ SENTENCES: dict[str, tuple[str, ...]] = {
         "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
         "products derived from this software without specific prior written permission",
     ),
+    "lgpl21_later": (
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general "
+        "public license as published by the free software foundation either version 2 1 of the license or at your "
+        "option any later version",
+    ),
+    "lgpl3_later": (
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general "
+        "public license as published by the free software foundation either version 3 of the license or at your "
+        "option any later version",
+    ),
+    "lgpl_hope": (
+        "this library is distributed in the hope that it will be useful but without any warranty without even the "
+        "implied warranty of merchantability or fitness for a particular purpose",
+    ),
+    "agpl3_later": (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general "
+        "public license as published by the free software foundation either version 3 of the license or at your "
+        "option any later version",
+    ),
+    "isc_grant": (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+        "permission to use copy modify and distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+    ),
+    "unlicense_release": ("this is free and unencumbered software released into the public domain",),
+    "boost_grant": (
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license the software to use reproduce display distribute execute and "
+        "transmit the software and to prepare derivative works of the software and to permit third parties to whom the "
+        "software is furnished to do so all subject to the following",
+    ),
+    "epl2_terms": (
+        "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license v2 0",
+    ),
+    "zlib_asis": ("this software is provided as is without any express or implied warranty",),
+    "zlib_grant": (
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to "
+        "alter it and redistribute it freely subject to the following restrictions",
+    ),
+    "bsd_disclaim": (
+        "this software is provided by the copyright holders and contributors as is and any express or implied warranties "
+        "including but not limited to the implied warranties of merchantability and fitness for a particular purpose are "
+        "disclaimed",
+    ),
     "all_reserved": ("all rights reserved",),
 }
+# Licences by their SPDX identifiers, as named in one line of a file.
+SPDX = (
+    "MIT", "MIT-0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib", "BSL-1.0", "Unlicense", "CC0-1.0",
+    "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "MPL-2.0", "EPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
+    "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only",
+    "AGPL-3.0-or-later", "PSF-2.0",
+)
+# Usual names of licences in a sentence that only refers to them; identifier -> licence, names.
+NAMED: dict[str, tuple[str, tuple[str, ...]]] = {
+    "mit_under": ("MIT", ("mit license",)),
+    "apache2_under": ("Apache-2.0", ("apache license 2 0", "apache license version 2 0")),
+    "bsd2_under": ("BSD-2-Clause", ("bsd 2 clause license", "2 clause bsd license")),
+    "bsd3_under": ("BSD-3-Clause", ("bsd 3 clause license", "3 clause bsd license")),
+    "isc_under": ("ISC", ("isc license",)),
+    "zlib_under": ("Zlib", ("zlib license",)),
+    "boost_under": ("BSL-1.0", ("boost software license version 1 0", "boost software license 1 0")),
+    "unlicense_under": ("Unlicense", ("unlicense",)),
+    "mpl2_under": ("MPL-2.0", ("mozilla public license 2 0", "mozilla public license version 2 0")),
+    "epl2_under": ("EPL-2.0", ("eclipse public license 2 0", "eclipse public license version 2 0")),
+    "gpl2_under": ("GPL-2.0-only", ("gnu general public license version 2", "gnu gpl version 2")),
+    "gpl3_under": ("GPL-3.0-only", ("gnu general public license version 3", "gnu gpl version 3")),
+    "lgpl21_under": ("LGPL-2.1-only", ("gnu lesser general public license version 2 1",)),
+    "lgpl3_under": ("LGPL-3.0-only", ("gnu lesser general public license version 3",)),
+    "agpl3_under": ("AGPL-3.0-only", ("gnu affero general public license version 3",)),
+    "psf2_under": ("PSF-2.0", ("python software foundation license", "python software foundation license version 2")),
+}
+# Sentences around such a name.
+REFERRING = (
+    "licensed under the {}", "released under the {}", "distributed under the {}", "this project is licensed under the {}",
+    "this software is released under the {}", "this code is distributed under the {}", "this work is licensed under the {}",
+)
+
+
+def spdx_name(licence: str) -> str:
+    return "spdx_" + licence.lower().replace("-", "_").replace(".", "_")
+
+
+for _licence in SPDX:
+    SENTENCES[spdx_name(_licence)] = ("spdx license identifier " + _licence.lower().replace("-", " ").replace(".", " "),)
+for _identifier, (_, _names) in NAMED.items():
+    _told = [form.format(name) for name in _names for form in REFERRING]
+    SENTENCES[_identifier] = tuple(dict.fromkeys([*SENTENCES.get(_identifier, ()), *_told]))
+
 # Further published wordings, which the SQL does not state.
 PUBLISHED: dict[str, tuple[str, ...]] = {
     # MIT-0 sets no conditions.
@@ -116,6 +206,7 @@ OPENINGS = (
     SENTENCES["gpl_redistribute"][0],
     "you may obtain a copy of the license at",
     "to the extent possible under law the author has waived all copyright",
+    *SENTENCES["epl2_terms"],
 )
 
 # Ordered rules; the run of identifiers on the left is the licence on the right.
@@ -127,16 +218,28 @@ RULES: tuple[tuple[tuple[str, ...], str], ...] = (
     (("mit_grant", "mit_notice", "asis_short"), "MIT"),
     (("mit_grant", "mit_notice"), "MIT"),
     (("mit_grant", "asis_short"), "MIT-0"),
+    (("bsd_permit", "bsd_source", "bsd_binary", "bsd_endorse", "bsd_disclaim"), "BSD-3-Clause"),
     (("bsd_permit", "bsd_source", "bsd_binary", "bsd_endorse"), "BSD-3-Clause"),
+    (("bsd_permit", "bsd_source", "bsd_binary", "bsd_disclaim"), "BSD-2-Clause"),
     (("bsd_permit", "bsd_source", "bsd_binary"), "BSD-2-Clause"),
     (("bsd_permit", "bsd_source"), "BSD-1-Clause"),
     (("gpl3_later", "gpl_hope"), "GPL-3.0-or-later"),
     (("gpl2_later", "gpl_hope"), "GPL-2.0-or-later"),
+    (("lgpl21_later", "lgpl_hope"), "LGPL-2.1-or-later"),
+    (("lgpl3_later", "lgpl_hope"), "LGPL-3.0-or-later"),
+    (("agpl3_later", "gpl_hope"), "AGPL-3.0-or-later"),
+    (("lgpl21_later",), "LGPL-2.1-or-later"),
+    (("lgpl3_later",), "LGPL-3.0-or-later"),
+    (("agpl3_later",), "AGPL-3.0-or-later"),
+    (("zlib_asis", "zlib_grant"), "Zlib"),
+    (("isc_grant",), "ISC"),
+    (("unlicense_release",), "Unlicense"),
+    (("boost_grant",), "BSL-1.0"),
+    (("epl2_terms",), "EPL-2.0"),
     (("gpl3_later",), "GPL-3.0-or-later"),
     (("gpl2_later",), "GPL-2.0-or-later"),
-    (("apache2_under",), "Apache-2.0"),
-    (("mit_under",), "MIT"),
-    (("gpl3_under",), "GPL-3.0-only"),
+    *(((_identifier,), _licence) for _identifier, (_licence, _) in NAMED.items()),
+    *(((spdx_name(_licence),), _licence) for _licence in SPDX),
     (("ccbync4_under",), "CC-BY-NC-4.0"),
     (("ccby4_under",), "CC-BY-4.0"),
     (("ccbysa4_under",), "CC-BY-SA-4.0"),
@@ -150,12 +253,15 @@ END = r"(?>\r\n?|\n)"
 # Words that begin a comment line; other comment markers are no words.
 COMMENT = rf"(^|{END})[ \t]*(?:dnl|rem)(?![^ \t\r\n])"
 VERSION = r"(?<![a-z0-9])v\.[^a-z0-9]++(?=[0-9])"
+# Every pattern below looks at a run of characters from the run's first one only, or takes it whole, so that long
+# runs of any mark take time in proportion to their length.
 # An address, after which a sentence may end or go on (S).
-ADDRESS = r"(https?://\S+)[ \t]+"
+ADDRESS = r"(?<!\S)((?>\S*?https?://)\S++)[ \t]+"
 # The marker of a list item, which ends a sentence for good (H), as do a stop before white space, a line without
 # words and a dash that begins a line.
 ITEM = rf"((?:^|{END})[^a-z0-9\r\n]*(?:[0-9]{{1,2}}|[a-z]|[ivx]{{2,4}})\))[ \t]+"
-HARD = rf"[.!?](?:[ \t]+|[^a-z0-9\r\n]*{END})|{END}[^a-z0-9\r\n]*{END}|(?:^|{END})[ \t]*[-•][ \t]+"
+STOPPED = rf"(?<![^a-z0-9\r\n])[^a-z0-9\r\n.!?]*+[.!?][^a-z0-9\r\n]*+{END}"
+HARD = rf"{STOPPED}|(?<![.!?])[.!?]++[ \t]+|{END}[^a-z0-9\r\n]*+{END}|(?:^|{END})[ \t]*+[-•][ \t]+"
 # May end a sentence or lie inside one (S): a line end, a colon, a semicolon.
 SOFT = rf"[:;][ \t]+|{END}"
 NOT_WORD = "[^a-z0-9HS]+"

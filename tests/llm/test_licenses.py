@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import textwrap
+import time
 
-from aerolake.llm import licenses
+import pytest
 
+from aerolake.llm import licenses
 
 
 def scanned(spark, texts):
@@ -104,8 +106,53 @@ HOPE = (
     "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."
 )
 CC = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+LIBRARY = GPL.replace("This program", "This library").replace("GNU General", "GNU Lesser General")
+ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+    "provided that the above copyright notice and this permission notice appear in all copies."
+)
+BOOST = (
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+    'accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and '
+    "transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software "
+    "is furnished to do so, all subject to the following:"
+)
+ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable.",
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it "
+    "and redistribute it freely, subject to the following restrictions:",
+)
+DISCLAIMED = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED."
+)
+NAMES = {
+    "bsd2_under": "BSD 2-Clause License", "bsd3_under": "3-Clause BSD License", "isc_under": "ISC License",
+    "zlib_under": "zlib License", "boost_under": "Boost Software License, Version 1.0", "unlicense_under": "Unlicense",
+    "mpl2_under": "Mozilla Public License 2.0", "epl2_under": "Eclipse Public License 2.0",
+    "gpl2_under": "GNU General Public License, version 2", "lgpl21_under": "GNU Lesser General Public License, version 2.1",
+    "lgpl3_under": "GNU Lesser General Public License, version 3", "agpl3_under": "GNU Affero General Public License, version 3",
+    "psf2_under": "Python Software Foundation License",
+}
 # Published notices: paragraphs, licence, identifiers.
 NOTICES = (
+    ((LIBRARY.format(";", ";", "2.1"), HOPE.replace("program", "library")), "LGPL-2.1-or-later", "lgpl21_later lgpl_hope"),
+    ((LIBRARY.format(":", ",", 3), HOPE.replace("program", "library")), "LGPL-3.0-or-later", "lgpl3_later lgpl_hope"),
+    ((LIBRARY.format(";", ";", "2.1"),), "LGPL-2.1-or-later", "lgpl21_later"),
+    ((LIBRARY.format(":", ",", 3),), "LGPL-3.0-or-later", "lgpl3_later"),
+    ((GPL.format(":", ",", 3).replace("GNU", "GNU Affero"), HOPE), "AGPL-3.0-or-later", "agpl3_later gpl_hope"),
+    ((GPL.format(":", ",", 3).replace("GNU", "GNU Affero"),), "AGPL-3.0-or-later", "agpl3_later"),
+    ((ISC,), "ISC", "isc_grant"),
+    ((BOOST,), "BSL-1.0", "boost_grant"),
+    (ZLIB, "Zlib", "zlib_asis zlib_grant"),
+    (("This is free and unencumbered software released into the public domain.",), "Unlicense", "unlicense_release"),
+    (("This program and the accompanying materials are made available under the terms of the Eclipse Public License v. 2.0 "
+      "which is available at https://www.eclipse.org/legal/epl-2.0.",), "EPL-2.0", "epl2_terms"),
+    ((*BSD, DISCLAIMED), "BSD-3-Clause", "bsd_permit bsd_source bsd_binary bsd_endorse bsd_disclaim"),
+    ((*BSD[:3], DISCLAIMED), "BSD-2-Clause", "bsd_permit bsd_source bsd_binary bsd_disclaim"),
+    *(((f"This code is distributed under the {name}.",), licenses.NAMED[x][0], x) for x, name in NAMES.items()),
+    *(((f"SPDX-License-Identifier: {x}",), x, licenses.spdx_name(x)) for x in licenses.SPDX),
     (APACHE, "Apache-2.0", "apache2_under apache2_comply apache2_copy apache2_asis"),
     (APACHE[:2], "Apache-2.0", "apache2_under apache2_comply apache2_copy"),
     ((APACHE[0].split(" You")[0],), "Apache-2.0", "apache2_under apache2_comply"),
@@ -163,7 +210,7 @@ def test_sentences_end_where_they_end(spark):
             "Released under the\n- MIT License.",
             "Not released under the MIT License.",
             "Released under the MIT License or another.",
-            GPL.format(":", ",", 3).replace("GNU", "GNU Affero"),
+            GPL.format(":", ",", 3).replace("GNU", "GNU Other"),
             "(a) Released under the MIT License; (b) see\n(ii) Licensed under CC BY 4.0",
             "HS Released under the MIT License S H",
         ],
@@ -172,3 +219,30 @@ def test_sentences_end_where_they_end(spark):
     assert made[5].identifiers == made[5].leftovers == ["gpl_redistribute"]
     assert made[6].licences == ["CC-BY-4.0", "MIT"]
     assert made[7].identifiers == []
+
+
+def test_usual_short_forms(spark):
+    texts = [
+        "Licensed under the Apache License 2.0.", "This code is distributed under the MIT License.",
+        "// SPDX-License-Identifier: Apache-2.0\n", "/* SPDX-License-Identifier: LGPL-2.1-or-later */",
+        "SPDX-License-Identifier: MIT OR Apache-2.0",
+    ]
+    made = scanned(spark, texts)
+    assert [made[i].licences for i in range(5)] == [["Apache-2.0"], ["MIT"], ["Apache-2.0"], ["LGPL-2.1-or-later"], []]
+
+
+RUNS = (
+    ".", "!", "?", ":", ";", "-", "•", " ", "\t", "\n", "\r", "\r\n", "://", "http://", "https://x", ". ", ".,", ". . ", "\n.", "\n-", "\n- ",
+    "1)", "\n1)", "v.", "v. ", "dnl", "\ndnl ", "(", "H", "S ", ": ", "licensed under ", "\u00e9", "a", "0",
+)
+
+
+@pytest.mark.parametrize("run", RUNS)
+def test_long_runs_take_time_in_proportion(spark, run):
+    """A megabyte of any mark: well under a second once the code is warm, and the sentence after it is known."""
+    text = run * (1_000_000 // len(run)) + "\n\nReleased under the MIT License.\n"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string").coalesce(1)
+    start = time.perf_counter()
+    row = licenses.scan(docs).first()
+    assert time.perf_counter() - start < 5
+    assert row.licences == ["MIT"]
