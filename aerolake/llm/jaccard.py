@@ -36,7 +36,6 @@ from pyspark.sql import functions as F
 
 from aerolake.llm import cells, common
 from aerolake.llm.simhash import components
-from aerolake.session import keep_small
 
 SHINGLE = 3
 PERCENT = 90
@@ -46,7 +45,7 @@ COUNTED = 5
 ORDERS = ("first", "second", "third")
 # Of the number of sets that hold a token, and of a token, in a rank; tokens that meet there are further candidates.
 HELD_BITS, TOKEN_BITS = 15, 47
-# Rows of the table of bits that finds the texts of sets again.
+# Rows of numbers that are broadcast at most: ids, or a table of bits that finds the texts of sets again.
 MARKS = 1 << 16
 # Word hashes and sets already sent that a task remembers.
 REMEMBERED = 200_000
@@ -217,11 +216,20 @@ def prefix(backwards: bool = False) -> Column:
     return F.transform(first, lambda rank: _token(turned(rank)))
 
 
+def bounded(rows: DataFrame) -> DataFrame:
+    """Stored rows of a few numbers each, hinted for a broadcast if there are at most ``MARKS`` of them."""
+    return F.broadcast(rows) if rows.count() <= MARKS else rows
+
+
 def near_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is among ``ids`` (distinct, not null).
+    """The rows of ``docs`` whose doc_id is among ``ids`` (stored, distinct, not null).
 
-    Bits of the ids, a table of at most ``MARKS`` rows, first leave out most others before texts move.
+    Up to ``MARKS`` ids are broadcast. Of more ids, bits in a table of that many rows first leave out most other
+    texts, before those left move to the ids.
     """
+    if (few := bounded(ids)) is not ids:
+        return docs.join(few, "doc_id", "left_semi")
+
     def place(name: str) -> tuple[Column, Column]:
         spread = F.xxhash64(name)
         return F.pmod(spread, F.lit(MARKS)), F.pmod(F.shiftrightunsigned(spread, 32), F.lit(63)).cast("int")
@@ -353,7 +361,7 @@ def near_sets(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) ->
 
     # Second and third order, over the sets that passed.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ids = keep_small(kept.select(F.col("least").alias("doc_id")).where("doc_id is not null").distinct())
+    ids = common.keep(kept.select(F.col("least").alias("doc_id")).where("doc_id is not null").distinct())
     wanted = near_rows(texts, ids)
     if not kept.where("least is null").isEmpty():
         wanted = wanted.unionByName(texts.where("doc_id is null"))
@@ -364,7 +372,7 @@ def near_sets(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) ->
     others = common.keep(ranks.select("id", prefix().alias(ORDERS[1]), prefix(backwards=True).alias(ORDERS[2])))
 
     families = common.keep(connected(postings(others, ORDERS[2])).join(kept.select("id", "n", ORDERS[0]), "id").join(others, "id"))
-    links = compared(sets.select("id", "tokens"), families, percent)
+    links = compared(sets.join(bounded(families.select("id")), "id", "left_semi").select("id", "tokens"), families, percent)
     roots = components(links).toDF("id", "root").join(kept.select("id", *key), "id")
     rooted = classes.join(roots, key, "left").select(*key, "least", "root")
     joined = rooted.where("root is not null")

@@ -180,7 +180,9 @@ def test_prefix_length(size, length):
     assert jaccard.prefix_length(size) == length
 
 
-def test_near_rows(spark):
+@pytest.mark.parametrize("marks", [1 << 16, 64])
+def test_near_rows(spark, monkeypatch, marks):
+    monkeypatch.setattr(jaccard, "MARKS", marks)
     docs = spark.range(20_000).selectExpr("id as doc_id", "'x' as text", "1 as slot").select("doc_id", "text")
     ids = spark.range(0, 20_000, 70).withColumnRenamed("id", "doc_id")
     assert jaccard.near_rows(docs, ids).count() == ids.count()
