@@ -253,18 +253,21 @@ END = r"(?>\r\n?|\n)"
 # Words that begin a comment line; other comment markers are no words.
 COMMENT = rf"(^|{END})[ \t]*(?:dnl|rem)(?![^ \t\r\n])"
 VERSION = r"(?<![a-z0-9])v\.[^a-z0-9]++(?=[0-9])"
-# Every pattern below looks at a run of characters from the run's first one only, or takes it whole, so that long
-# runs of any mark take time in proportion to their length.
+# Every pattern below looks at a long run of any mark from its first character only, or takes it whole, so that it
+# takes time in proportion to its length.
 # An address, after which a sentence may end or go on (S).
 ADDRESS = r"(?<!\S)((?>\S*?https?://)\S++)[ \t]+"
 # The marker of a list item, which ends a sentence for good (H), as do a stop before white space, a line without
 # words and a dash that begins a line.
 ITEM = rf"((?:^|{END})[^a-z0-9\r\n]*(?:[0-9]{{1,2}}|[a-z]|[ivx]{{2,4}})\))[ \t]+"
-STOPPED = rf"(?<![^a-z0-9\r\n])[^a-z0-9\r\n.!?]*+[.!?][^a-z0-9\r\n]*+{END}"
-HARD = rf"{STOPPED}|(?<![.!?])[.!?]++[ \t]+|{END}[^a-z0-9\r\n]*+{END}|(?:^|{END})[ \t]*+[-•][ \t]+"
+# A stop looks to the end of its run of marks unless another one close before it has.
+HARD = (
+    rf"[.!?](?:[ \t]+|(?<![.!?][^a-z0-9\r\n]{{0,64}}[.!?])[^a-z0-9\r\n]*+{END})"
+    rf"|{END}[^a-z0-9\r\n]*+{END}|(?:^|{END})[ \t]*+[-•][ \t]+"
+)
 # May end a sentence or lie inside one (S): a line end, a colon, a semicolon.
 SOFT = rf"[:;][ \t]+|{END}"
-NOT_WORD = "[^a-z0-9HS]+"
+NOT_WORD = "[^a-z0-9HS]++"
 
 
 def known() -> dict[str, str]:
@@ -278,15 +281,29 @@ def wordings() -> dict[str, str]:
     return dict(sorted((known() | more).items(), key=lambda x: (-len(x[0]), x[0])))
 
 
+def _where_held(text: Column, pattern: str, put: str, needed: str) -> Column:
+    """The text with the pattern replaced; left as it is where it lacks ``needed``. A lambda names the text, which
+    would else be computed for the test and for the replacement."""
+
+    def replaced(named: Column) -> Column:
+        return F.when(F.contains(named, F.lit(needed)), F.regexp_replace(named, pattern, put)).otherwise(named)
+
+    return F.get(F.transform(F.array(text), replaced), F.lit(0))
+
+
 def marked(text: Column) -> Column:
     """Lower-case words and marks, a blank between each two, a mark at both ends."""
     made = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    # Pattern, what is put for it, and a text without which there is nothing to find.
     marks = (
-        (COMMENT, "$1"), (VERSION, "v "), (ADDRESS, "$1 S "), (ITEM, "$1 H "), (HARD, " H "), (SOFT, " S "),
-        (NOT_WORD, " "),
+        (COMMENT, "$1", None), (VERSION, "v ", "v."), (ADDRESS, "$1 S ", "://"), (ITEM, "$1 H ", ")"), (HARD, " H ", None),
+        (SOFT, " S ", None), (NOT_WORD, " ", None),
     )
-    for pattern, put in marks:
-        made = F.regexp_replace(made, pattern, put)
+    for pattern, put, needed in marks:
+        if needed is None:
+            made = F.regexp_replace(made, pattern, put)
+        else:
+            made = _where_held(made, pattern, put, needed)
     return F.concat(F.lit("H "), F.trim(made), F.lit(" H"))
 
 
