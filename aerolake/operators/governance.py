@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,24 @@ def data_dictionary(
     return seed_table(spark, rows, DICTIONARY)
 
 
+def column_profile(df: DataFrame) -> DataFrame:
+    """(coluna, linhas, preenchidas) of every column of a table, in one pass over it."""
+    counts = df.agg(measures.rows().alias("linhas"), *[measures.filled(c).alias(c) for c in df.columns])
+    return counts.unpivot(["linhas"], df.columns, "coluna", "preenchidas").select("coluna", "linhas", "preenchidas")
+
+
+def profiled_dictionary(
+    spark: SparkSession, tables: Mapping[tuple[str, str], DataFrame], descriptions: Mapping[tuple[str, str], str] | None = None
+) -> DataFrame:
+    """The data dictionary of the tables with what each column holds; a table's own row has neither count."""
+    profiles = [
+        column_profile(df).withColumns({"camada": F.lit(layer), "tabela": F.lit(table)})
+        for (layer, table), df in tables.items()
+    ]
+    dictionary = data_dictionary(spark, {place: df.schema for place, df in tables.items()}, descriptions)
+    return dictionary.join(reduce(DataFrame.unionByName, profiles), ["camada", "tabela", "coluna"], "left")
+
+
 def dictionary_gaps(dictionary: DataFrame, schema: DataFrame) -> DataFrame:
     """Comments without a column ('sem_coluna') and columns without a comment ('sem_comentario')."""
     where = ["camada", "tabela", "coluna"]

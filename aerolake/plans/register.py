@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.functions import measures, text
 from aerolake.operators import conform, governance, lookups, quality
+from aerolake.operators.publish import with_comments
 from aerolake.plans import consumption, gold, silver
 from aerolake.session import input_bytes, keep_small, pin, size_shuffles
 from aerolake.sources import views
@@ -107,6 +109,19 @@ def file_manifest(spark, sf_dir):
     return quality.manifest(daily, "_arquivo_origem", "_ingerido_em")
 
 
+@query
+def scanned_files(spark, sf_dir):
+    """Rows and last time of every file that the scans of three tables read, by the files' own names."""
+    times = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
+    rows = [
+        views.table(spark, sf_dir, table).select(
+            F.col("_metadata.file_name").alias("_arquivo_origem"), F.col(time).cast("timestamp").alias("_ingerido_em")
+        )
+        for table, time in times.items()
+    ]
+    return quality.manifest(reduce(DataFrame.unionByName, rows), "_arquivo_origem", "_ingerido_em")
+
+
 # --- typed layer -----------------------------------------------------------------------------
 
 
@@ -402,6 +417,16 @@ def _described_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.join(labels, "doc_id", "left")
 
 
+@query
+def table_dictionary(spark, sf_dir):
+    """Every column of the given tables with its description and what it holds, and a row for each table."""
+    tables = {}
+    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
+        df = views.table(spark, sf_dir, name)
+        tables["fonte", name] = with_comments(df, {c: "chave" for c in df.columns if c.endswith("key")})
+    return governance.profiled_dictionary(spark, tables, {place: f"tabela {place[1]}" for place in tables})
+
+
 @query
 def doc_coverage(spark, sf_dir):
     return governance.doc_coverage(_described_documents(spark, sf_dir), ("tabela",))

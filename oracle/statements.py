@@ -409,6 +409,17 @@ STATEMENTS: dict[str, str] = {
           FROM registered)""",
         body=f"SELECT {FACT_LIST} FROM ruled LEFT JOIN single ON icao_empresa = icao",
     ),
+    "scanned_files": """
+        SELECT 'events.parquet' AS _arquivo_origem, COUNT(*) AS linhas, MAX(CAST(ts AS TIMESTAMP)) AS ingerido_em FROM events
+        UNION ALL SELECT 'lineitem.parquet', COUNT(*), MAX(CAST(l_shipdate AS TIMESTAMP)) FROM lineitem
+        UNION ALL SELECT 'orders.parquet', COUNT(*), MAX(CAST(o_orderdate AS TIMESTAMP)) FROM orders""",
+    "table_dictionary": " UNION ALL ".join(
+        f"""SELECT 'fonte' AS camada, '{t}' AS tabela, coluna, CASE WHEN coluna LIKE '%key' THEN 'chave' END AS comentario,
+          (SELECT COUNT(*) FROM {t}) AS linhas, preenchidas
+        FROM (UNPIVOT (SELECT COUNT(COLUMNS(*)) FROM {t}) ON COLUMNS(*) INTO NAME coluna VALUE preenchidas)
+        UNION ALL SELECT 'fonte', '{t}', '', 'tabela {t}', NULL, NULL"""
+        for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+    ),
     "dictionary_gaps": """
         WITH described AS (SELECT CAST(doc_id AS VARCHAR) AS coluna FROM labels WHERE quality = 1),
         columns AS (SELECT CAST(doc_id AS VARCHAR) AS coluna FROM documents WHERE n_chars < 3000)
