@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from aerolake.session import keep, shared_folder
 
-__all__ = ["by_block", "in_order", "keep", "per_text", "read", "shared_folder", "slices", "text_or_empty"]
+__all__ = [
+    "by_block", "first_in_order", "in_order", "keep", "per_text", "read", "shared_folder", "slices", "text_or_empty", "unused",
+]
 
 # Texts handed to a Python step at a time; keeps a step's memory flat whatever an Arrow batch holds.
 BLOCK_BYTES = 8 << 20
@@ -31,6 +33,29 @@ def in_order(key: Column) -> Column:
     return F.xxhash64(key.cast("string"), F.lit("order"))
 
 
+def first_in_order(rows: DataFrame, key: Column, most: int) -> DataFrame:
+    """At most ``most`` rows, the first by ``in_order`` of a key.
+
+    A bound on the hash drops most rows where they lie, so tasks send about ``2 * most`` rows to the last sort
+    together, not ``most`` each. Where keys repeat so much that the bound leaves too few, all rows are sorted.
+    """
+    total = rows.count()
+    if total > 4 * most:
+        bound = -(1 << 63) + int((1 << 64) * (2 * most + 1000) / total)
+        below = rows.where(in_order(key) <= F.lit(min(bound, (1 << 63) - 1)))
+        if below.count() >= most:
+            rows = below
+    return rows.orderBy(in_order(key), key).limit(most)
+
+
+def unused(columns: Iterable[str], name: str) -> str:
+    """The name, lengthened until no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batch: pa.RecordBatch, sizes: Iterable[int], most: int) -> Iterator[pa.RecordBatch]:
     """Runs of a batch's rows whose sizes add up to ``most`` at most, one row at least."""
     start, held = 0, 0

@@ -7,10 +7,15 @@ At the end each view is calibrated on labelled rows that it was not fitted on, a
 log-odds are added, less the prior that both hold. Confidence is judged on calibrated scores, so a view
 that knows little teaches little.
 
-Models are fitted on bounded samples, ``sample_rows`` labelled and ``pool_rows`` unlabelled rows; every
-document is scored. Null texts count as empty, null metadata is a value of its own; an empty text has
-all-zero content features. Repeated rows are scored alike, further columns pass through. Without labels
-of both kinds every score is the share of good labels (1 where there are none).
+Labels come from a bounded sample (``sample_rows``); every row without a label can teach, in every round,
+and every document is scored. Texts are read once: ``views`` stores both views' features, and fitting and
+scoring use those. What the content view is sure of reaches the metadata view as counts by (lang, source,
+length), at most ``LANG_BUCKETS * SOURCE_BUCKETS * BANDS`` of them. So that a large corpus does not drown the
+labels, the taught rows of a view weigh no more together than its labelled ones.
+
+Null texts count as empty, null metadata is a value of its own; an empty text has all-zero content features.
+Rows without doc_id have no label. Repeated rows are scored alike, further columns pass through under any
+name. Without labels of both kinds every score is the share of good labels (1 where there are none).
 """
 
 from __future__ import annotations
@@ -21,26 +26,26 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.llm import common
 
 SAMPLE_ROWS = 20_000
-POOL_ROWS = 10_000
 ROUNDS = 3
 CONFIDENT = 0.95
 # Every so many labelled rows one is kept for calibration.
 CALIBRATION_PART = 4
 LANG_BUCKETS = 16
 SOURCE_BUCKETS = 32
+BANDS = 24
 PASSES = 12
 LINE_PASSES = 8
 # Good means at least this probability.
 THRESHOLD = 0.5
 
-VIEWS = ("_content_view", "_metadata_view")
+VIEWS = ("content", "places")
 METADATA = ("lang", "source", "n_chars")
 SENTENCE = re.compile(r"[.!?\n]+\s*")
 CONTENT = 15
@@ -82,26 +87,32 @@ def read_content(text: str) -> list[float]:
 
 
 def content(text: Column) -> Column:
-    return array_to_vector(common.per_text(lambda: read_content, text))
+    return common.per_text(lambda: read_content, text)
 
 
-def metadata(docs: DataFrame) -> Column:
-    """Hashed lang and source and bands of the length; a missing column or value is a value of its own."""
+def places(docs: DataFrame) -> Column:
+    """Hashed lang and source and a band of the length, as three places of one vector; a missing column or
+    value is a value of its own."""
 
     def value(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit("")) if name in docs.columns else F.lit("")
 
-    def one_of(code: Column, buckets: int) -> list[Column]:
-        return [(code == i).cast("double") for i in range(buckets)]
-
     size = F.coalesce(F.col("n_chars").cast("long"), F.lit(0)) if "n_chars" in docs.columns else F.lit(0)
-    band = F.least(F.floor(F.log2(F.greatest(size, F.lit(0)) + 1)), F.lit(23))
-    return array_to_vector(
-        F.array(
-            *one_of(F.pmod(F.xxhash64(value("lang")), F.lit(LANG_BUCKETS)), LANG_BUCKETS),
-            *one_of(F.pmod(F.xxhash64(value("source")), F.lit(SOURCE_BUCKETS)), SOURCE_BUCKETS),
-            *one_of(band, 24),
-        )
+    band = F.least(F.floor(F.log2(F.greatest(size, F.lit(0)) + 1)), F.lit(BANDS - 1))
+    return F.array(
+        F.pmod(F.xxhash64(value("lang")), F.lit(LANG_BUCKETS)).cast("int"),
+        (F.pmod(F.xxhash64(value("source")), F.lit(SOURCE_BUCKETS)) + LANG_BUCKETS).cast("int"),
+        (band + LANG_BUCKETS + SOURCE_BUCKETS).cast("int"),
+    )
+
+
+def views(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """(row, doc_id, content, places): the named columns of every row (all unless named) as one field, so that
+    no name clashes, and both views' features."""
+    row = F.struct(*(docs.columns if columns is None else columns) or [F.lit(0)])
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(
+        row.alias("row"), doc_id.alias("doc_id"), content(F.col("text")).alias("content"), places(docs).alias("places")
     )
 
 
@@ -119,28 +130,35 @@ class View:
 
     def log_odds(self) -> Column:
         """From the view's feature column; linear, so it stays one expression."""
-        return F.lit(self.slope) * _dot(F.col(self.name), self.model) + F.lit(self.shift)
+        return F.lit(self.slope) * self._sum() + F.lit(self.shift)
 
     def chance(self) -> Column:
         return 1.0 / (1.0 + F.exp(-self.log_odds()))
 
+    def _sum(self) -> Column:
+        held, total = F.col(self.name), F.lit(float(self.model.intercept))
+        weights = [float(w) for w in self.model.coefficients]
+        if self.name == "content":
+            return sum((F.get(held, F.lit(i)) * F.lit(w) for i, w in enumerate(weights)), total)
+        listed = F.array(*map(F.lit, weights))
+        return sum((F.get(listed, F.get(held, F.lit(i))) for i in range(3)), total)
+
 
-def _dot(vector: Column, model: LogisticRegressionModel) -> Column:
-    weights = F.array(*[F.lit(float(w)) for w in model.coefficients])
-    products = F.zip_with(vector_to_array(vector), weights, lambda x, w: x * w)
-    return F.aggregate(products, F.lit(float(model.intercept)), lambda a, x: a + x)
+def _vector(name: str) -> Column:
+    if name == "content":
+        return array_to_vector(name)
+    width = LANG_BUCKETS + SOURCE_BUCKETS + BANDS
+    return array_to_vector(F.array(*[F.array_contains(name, i).cast("double") for i in range(width)]))
 
 
-def _fit(rows: DataFrame, features: str, passes: int = PASSES) -> LogisticRegressionModel:
-    return LogisticRegression(
-        featuresCol=features, labelCol="label", maxIter=passes, regParam=1e-3, weightCol="weight"
-    ).fit(rows)
+def _fit(rows: DataFrame, features: Column, passes: int = PASSES) -> LogisticRegressionModel:
+    regression = LogisticRegression(featuresCol="x", labelCol="label", maxIter=passes, regParam=1e-3, weightCol="weight")
+    return regression.fit(rows.select(features.alias("x"), "label", "weight"))
 
 
 def _calibrated(view: View, held: DataFrame) -> View:
     """A line through the log-odds, fitted on labelled rows that the view has not seen."""
-    rows = held.select(array_to_vector(F.array(view.log_odds())).alias("line"), "label", "weight")
-    line = _fit(rows, "line", LINE_PASSES)
+    line = _fit(held, array_to_vector(F.array(view.log_odds())), LINE_PASSES)
     return View(view.name, view.model, float(line.coefficients[0]), float(line.intercept))
 
 
@@ -154,10 +172,25 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     sample_rows: int = SAMPLE_ROWS,
-    pool_rows: int = POOL_ROWS,
+    pool_rows: int | None = None,
+    rounds: int = ROUNDS,
+    confident: float = CONFIDENT,
+) -> Model:
+    """``fit_views`` on the views of ``docs``."""
+    return fit_views(common.keep(views(docs, [])), labels, sample_rows, pool_rows, rounds, confident)
+
+
+def fit_views(
+    rows: DataFrame,
+    labels: DataFrame,
+    sample_rows: int = SAMPLE_ROWS,
+    pool_rows: int | None = None,
     rounds: int = ROUNDS,
     confident: float = CONFIDENT,
 ) -> Model:
+    """Fit on stored ``views`` and (doc_id, quality). All rows without a label teach, unless a caller bounds them
+    by ``pool_rows``. A doc_id with several labels has the least; one that stands on many rows is one labelled
+    row, the least of them."""
     doc_id = F.col("doc_id")
     marked = (
         labels.select(doc_id.cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label"))
@@ -165,28 +198,13 @@ def fit(
         .groupBy("doc_id")
         .agg(F.min("label").alias("label"))
     )
-    chosen = marked.orderBy(common.in_order(doc_id), "doc_id").limit(sample_rows)
-    others = (
-        docs.select(doc_id.cast("long").alias("doc_id"))
-        .where(doc_id.isNotNull())
-        .distinct()
-        .join(marked, "doc_id", "left_anti")
-        .orderBy(common.in_order(doc_id), "doc_id")
-        .limit(pool_rows)
-        .withColumn("label", F.lit(None).cast("double"))
-    )
-    # Both samples are bounded, so their ids go to every task and the texts stay where they are.
-    ids = F.broadcast(chosen.unionByName(others))
-    read = ["text", *[c for c in METADATA if c in docs.columns]]
-    texts = docs.select(doc_id.cast("long").alias("doc_id"), F.struct(*read).alias("row"))
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION_PART))
-    # A doc_id that stands on many rows counts once, by its least row, so the samples stay bounded.
-    single = texts.join(ids, "doc_id").groupBy("doc_id", "label").agg(F.min("row").alias("row"))
-    single = single.select("label", part.alias("part"), "row.*")
-    views = (content(F.col("text")), metadata(docs))
-    rows = common.keep(single.select(*[v.alias(n) for v, n in zip(views, VIEWS)], "label", "part"))
-    rows = rows.coalesce(2)  # two small tasks for each of the many short passes
-    known = rows.where("label is not null").withColumn("weight", F.lit(1.0))
+    rows = rows.select("doc_id", *VIEWS)
+    # The sample is bounded, so its ids go to every task and the features stay where they are.
+    chosen = F.broadcast(common.first_in_order(marked, doc_id, sample_rows))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION_PART)).alias("part")
+    single = rows.join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct(*VIEWS)).alias("x"))
+    known = single.select("label", F.lit(1.0).alias("weight"), part, "x.*")
+    known = common.keep(known).coalesce(2)  # two small tasks for each of the many short passes
     by_part = known.groupBy("label", (F.col("part") == 0).alias("held")).count().collect()
     counts = {(r["label"], r["held"]): r["count"] for r in by_part}
     good, bad = (sum(n for (label, _), n in counts.items() if label == x) for x in (1.0, 0.0))
@@ -196,31 +214,51 @@ def fit(
     seen, held = known.where("part <> 0"), known.where("part = 0")
     if not all(counts.get((x, True)) for x in (0.0, 1.0)):
         held = seen
-    pool = rows.where("label is null").drop("label")
+    weighed = sum(n for (_, kept_back), n in counts.items() if not kept_back)
+
+    pool = rows.join(marked, "doc_id", "left_anti")
+    if pool_rows is not None:
+        pool = common.first_in_order(pool.where(doc_id.isNotNull()), doc_id, pool_rows)
+    pool = common.keep(pool.select(*VIEWS)) if rounds else None
 
     taught: dict[str, DataFrame | None] = {name: None for name in VIEWS}
     for turn in range(rounds + 1):
-        views = {}
+        now = {}
         for name in VIEWS:
-            more = taught[name]
-            view = View(name, _fit(seen if more is None else seen.unionByName(more.select(seen.columns)), name))
-            views[name] = _calibrated(view, held)
+            known_rows, more = seen.select(name, "label", "weight"), taught[name]
+            fitted = _fit(known_rows if more is None else known_rows.unionByName(more), _vector(name))
+            now[name] = _calibrated(View(name, fitted), held)
         if turn == rounds:
             break
         for teacher, learner in zip(VIEWS, reversed(VIEWS)):
-            chance = views[teacher].chance()
-            sure = (chance >= confident) | (chance <= 1 - confident)
-            taught[learner] = pool.where(sure).withColumns(
-                {"label": (chance >= 0.5).cast("double"), "weight": F.lit(1.0)}
-            )
-    return Model((views[VIEWS[0]], views[VIEWS[1]]), prior)
-
-
-def with_score(docs: DataFrame, model: Model, name: str = "quality_score") -> DataFrame:
-    """The rows with the combined, calibrated probability of being good."""
+            taught[learner] = _lesson(pool, now[teacher].chance(), learner, confident, weighed)
+    return Model((now[VIEWS[0]], now[VIEWS[1]]), prior)
+
+
+def _lesson(pool: DataFrame, chance: Column, learner: str, confident: float, most: int) -> DataFrame | None:
+    """The rows that a teacher is sure of, labelled, as the learner sees them; together they weigh ``most`` at most."""
+    sure = pool.where((chance >= confident) | (chance <= 1 - confident))
+    sure = sure.select(learner, (chance >= 0.5).cast("double").alias("label"))
+    if learner == "places":
+        sure = common.keep(sure.groupBy(learner, "label").agg(F.count("*").cast("double").alias("n")).coalesce(1))
+        total = sure.agg(F.sum("n")).first()[0] or 0
+    else:
+        sure = sure.withColumn("n", F.lit(1.0))
+        total = sure.count()
+    if not total:
+        return None
+    return sure.select(learner, "label", (F.col("n") * min(1.0, most / total)).alias("weight"))
+
+
+def score_views(rows: DataFrame, model: Model, name: str = "quality_score") -> DataFrame:
+    """The rows below ``views`` with the combined, calibrated probability of being good."""
     if model.views is None:
-        return docs.withColumn(name, F.lit(model.prior))
+        return rows.select("row.*", F.lit(model.prior).alias(name))
     first, second = model.views
-    rows = docs.withColumns(dict(zip(VIEWS, (content(F.col("text")), metadata(docs)))))
     total = first.log_odds() + second.log_odds() - F.lit(model.prior)
-    return rows.withColumn(name, 1.0 / (1.0 + F.exp(-total))).select(*docs.columns, name)
+    return rows.select("row.*", (1.0 / (1.0 + F.exp(-total))).alias(name))
+
+
+def with_score(docs: DataFrame, model: Model, name: str = "quality_score") -> DataFrame:
+    """``score_views`` on the views of ``docs``."""
+    return score_views(views(docs), model, name)

@@ -55,8 +55,9 @@ def op2_onebit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document and whether it stays."""
     docs = common.read(spark, sf_dir, "documents")
-    model = quality.fit(docs, common.read(spark, sf_dir, "labels"))
-    scored = quality.with_score(docs, model, "score")
+    rows = common.keep(quality.views(docs, ["doc_id"]))
+    model = quality.fit_views(rows, common.read(spark, sf_dir, "labels"))
+    scored = quality.score_views(rows, model, "score")
     return scored.select("doc_id", "score", (F.col("score") >= quality.THRESHOLD).alias("kept"))
 
 

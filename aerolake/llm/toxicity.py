@@ -1,7 +1,8 @@
 """Toxicity: gradient-boosted trees over dense features of the whole text, with isotonic calibration.
 
-The lexicon is learned from labelled training texts: words and word beginnings that stand in far more
-toxic than other texts. Features are lexicon densities, nearness of lexicon hits to second-person words,
+The lexicon is learned from labelled training texts: every word and word beginning that stands in far more
+toxic than other texts, by the lower bound of its log-odds, whatever the sample's size; only ``LEXICON_BYTES``
+bound it, as it goes to every task. Features are lexicon densities, nearness of lexicon hits to second-person words,
 rates of capitals and punctuation, and rates of obfuscated spellings. Trees are fitted on a bounded
 sample of labelled rows (``sample_rows``), the calibration on a part of it that the trees do not see.
 
@@ -33,10 +34,13 @@ from aerolake.llm import common
 SAMPLE_ROWS = 20_000
 FOLDS = 5
 CALIBRATION_FOLD = 4
-LEXICON_TERMS = 300
+# Bound of the lexicon in bytes; the strongest terms stay.
+LEXICON_BYTES = 8 << 20
+TERM_BYTES = 64  # what a term takes beside its own text
 LEAST_TEXTS = 3
-LEAST_SHARE = 0.004
-LEAST_WEIGHT = 2.0
+# A term's log-odds less SURE standard errors must reach LEAST_WEIGHT.
+LEAST_WEIGHT = 1.0
+SURE = 1.96
 BEGINNINGS = range(3, 8)
 NEAR_WORDS = 6
 # A document is toxic from this score on.
@@ -79,8 +83,8 @@ def terms(token: str) -> set[str]:
 # --- lexicon ---------------------------------------------------------------------------------
 
 
-def lexicon(texts: DataFrame, size: int = LEXICON_TERMS) -> dict[str, float]:
-    """Terms of (text, label) rows with their log-odds, strongest first; at most ``size`` reach the driver."""
+def lexicon(texts: DataFrame, most: int = LEXICON_BYTES) -> dict[str, float]:
+    """Terms of (text, label) rows with their log-odds, strongest first; at most ``most`` bytes reach the driver."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: tuple[Counter, Counter] = (Counter(), Counter())
@@ -117,15 +121,22 @@ def lexicon(texts: DataFrame, size: int = LEXICON_TERMS) -> dict[str, float]:
     if of is None or not of["toxic"] or not of["clean"]:
         return {}
     weight = F.log((F.col("toxic") + 0.5) / (of["toxic"] + 1.0)) - F.log((F.col("clean") + 0.5) / (of["clean"] + 1.0))
-    rows = (
+    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    found = (
         counted.where("term <> ''")
         .withColumn("weight", weight)
-        .where((F.col("weight") >= LEAST_WEIGHT) & (F.col("toxic") >= LEAST_SHARE * of["toxic"]))
-        .orderBy(F.desc(F.col("toxic") * F.col("weight")), F.length("term"), "term")
-        .limit(size)
-        .collect()
+        .where(F.col("weight") - SURE * error >= LEAST_WEIGHT)
+        .select("term", "weight", (F.col("toxic") * F.col("weight")).alias("gain"))
     )
-    return {r["term"]: r["weight"] for r in rows}
+    # No term is shorter than nothing, so this many are enough; the bytes are then counted exactly.
+    first = found.orderBy(F.desc("gain"), F.length("term"), "term").limit(most // TERM_BYTES)
+    chosen, left = {}, most
+    for row in first.toLocalIterator():
+        left -= TERM_BYTES + len(row["term"].encode())
+        if left < 0:
+            break
+        chosen[row["term"]] = row["weight"]
+    return chosen
 
 
 # --- features --------------------------------------------------------------------------------
@@ -221,9 +232,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
         .where(fold_of(doc_id) != 0)
-        .orderBy(common.in_order(doc_id), "doc_id")
-        .limit(sample_rows)
     )
+    marked = common.first_in_order(marked, doc_id, sample_rows)
     texts = docs.select(doc_id.cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
     # A doc_id that stands on many rows counts once, by its least text, so the sample stays bounded.
     single = texts.join(F.broadcast(marked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
@@ -258,23 +268,11 @@ def with_score(docs: DataFrame, model: Model, name: str = "toxic_score") -> Data
     """The rows with their calibrated probability of being toxic."""
     if model.trees is None:
         return docs.withColumn(name, F.lit(model.share))
-    work = {
-        "features": "_text_features",
-        "raw": "_raw_score",
-        "rawPrediction": "_margin",
-        "probability": "_odds",
-        "prediction": "_class",
-    }
-    trees = (
-        model.trees.copy()
-        .setFeaturesCol(work["features"])
-        .setRawPredictionCol(work["rawPrediction"])
-        .setProbabilityCol(work["probability"])
-        .setPredictionCol(work["prediction"])
-    )
-    rows = docs.withColumn(work["features"], array_to_vector(features(model.weights, F.col("text"))))
-    rows = trees.transform(rows).withColumn(work["raw"], vector_to_array(work["probability"])[1])
+    # The caller's columns travel as one field, so that no name of the trees clashes with them.
+    text = features(model.weights, F.col("text"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), array_to_vector(text).alias("features"))
+    rows = _raw(model.trees, rows)
     if model.steps is None:
-        return rows.withColumn(name, F.col(work["raw"])).drop(*work.values())
-    steps = model.steps.copy().setFeaturesCol(work["raw"]).setPredictionCol(name)
-    return steps.transform(rows).drop(*work.values())
+        return rows.select("row.*", F.col("raw_score").alias(name))
+    steps = model.steps.copy().setFeaturesCol("raw_score").setPredictionCol("score")
+    return steps.transform(rows).select("row.*", F.col("score").alias(name))
