@@ -18,16 +18,17 @@ from aerolake.llm.register import WORD_VOCABULARY
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained quality classifier does not reject."""
-    model = quality.fit(docs, common.read(spark, sf_dir, "labels"))
-    scored = quality.with_score(docs, model, "_quality")
-    return scored.where(F.col("_quality") >= quality.THRESHOLD).select(*docs.columns)
+    rows = common.keep(quality.views(docs))
+    model = quality.fit_views(rows, common.read(spark, sf_dir, "labels"))
+    name = common.unused(docs.columns, "quality")
+    return quality.score_views(rows, model, name).where(F.col(name) >= quality.THRESHOLD).drop(name)
 
 
 def civil_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject."""
     model = toxicity.fit(docs, common.read(spark, sf_dir, "labels"))
-    scored = toxicity.with_score(docs, model, "_toxic")
-    return scored.where(F.col("_toxic") < toxicity.THRESHOLD).select(*docs.columns)
+    name = common.unused(docs.columns, "toxic")
+    return toxicity.with_score(docs, model, name).where(F.col(name) < toxicity.THRESHOLD).drop(name)
 
 
 def single_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
