@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -40,8 +41,10 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 @query
 def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdict of every page's url by rule or by its host's place in the link graph."""
-    return urls.judge(common.read(spark, sf_dir, "pages"))
+    """Verdict of every page's url by rule or by its host's place in the link graph; trust and distrust in 10^-12."""
+    judged = urls.judge(common.read(spark, sf_dir, "pages"))
+    unit = F.lit(Decimal(urls.UNIT // 10**12))
+    return judged.withColumns({c: urls.whole_part(F.col(c), unit).cast("long") for c in ("trust", "distrust")})
 
 
 @query

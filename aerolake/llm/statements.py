@@ -42,10 +42,10 @@ def url_sql() -> str:
     steps, last = "", "seeds"
     for turn in range(1, urls.ROUNDS + 1):
         steps += f""", s{turn} AS MATERIALIZED (
-  SELECT kind, host, CAST(sum(score) AS BIGINT) AS score FROM (
-    SELECT o.kind, o.target AS host, x.score * {urls.DAMPING} // (100 * o.degree) AS score
+  SELECT kind, host, CAST(sum(score) AS HUGEINT) AS score FROM (
+    SELECT o.kind, o.target AS host, x.score * CAST({urls.DAMPING} AS HUGEINT) // CAST(100 * o.degree AS HUGEINT) AS score
     FROM out o JOIN {last} x ON o.kind = x.kind AND o.source = x.host
-    UNION ALL SELECT kind, host, score * {100 - urls.DAMPING} // 100 FROM seeds) GROUP BY ALL)"""
+    UNION ALL SELECT kind, host, score * CAST({100 - urls.DAMPING} AS HUGEINT) // 100 FROM seeds) GROUP BY ALL)"""
         last = f"s{turn}"
     return f"""
 WITH rest AS (
@@ -61,7 +61,8 @@ WITH rest AS (
   FROM ruled WHERE host <> '' GROUP BY host
 ), links AS MATERIALIZED (
   SELECT source, target FROM (
-    SELECT DISTINCT host AS source, translate(unnest(regexp_extract_all(html, '{link}', 1)), {lower}) AS target FROM split)
+    SELECT DISTINCT source, translate(regexp_replace(regexp_replace(link, '{urls.USER}', ''), '{urls.PORT}', ''), {lower}) AS target
+    FROM (SELECT host AS source, unnest(regexp_extract_all(html, '{link}', 1)) AS link FROM split))
   WHERE source <> '' AND source <> target AND target IN (SELECT host FROM hosts)
   UNION SELECT host, regexp_extract(host, '^[^.]+\\.(.+)$', 1) FROM hosts
     WHERE regexp_extract(host, '^[^.]+\\.(.+)$', 1) IN (SELECT host FROM hosts)
@@ -72,10 +73,10 @@ WITH rest AS (
 ), out AS MATERIALIZED (
   SELECT *, count(*) OVER (PARTITION BY kind, source) AS degree FROM edges
 ), seeds AS MATERIALIZED (
-  SELECT 'allow' AS kind, host, CAST(allowed * ({urls.UNIT} // greatest(1, (SELECT sum(allowed) FROM hosts))) AS BIGINT) AS score
+  SELECT 'allow' AS kind, host, CAST(CAST(allowed AS HUGEINT) * ({urls.UNIT} // greatest(1, (SELECT sum(allowed) FROM hosts))) AS HUGEINT) AS score
   FROM hosts WHERE allowed > 0
   UNION ALL
-  SELECT 'block', host, CAST(blocked * ({urls.UNIT} // greatest(1, (SELECT sum(blocked) FROM hosts))) AS BIGINT)
+  SELECT 'block', host, CAST(CAST(blocked AS HUGEINT) * ({urls.UNIT} // greatest(1, (SELECT sum(blocked) FROM hosts))) AS HUGEINT)
   FROM hosts WHERE blocked > 0
 ){steps}, of_host AS (
   SELECT host, coalesce(sum(score) FILTER (kind = 'allow'), 0) AS trust,
@@ -83,7 +84,8 @@ WITH rest AS (
 )
 SELECT r.page_id, r.host, r.path, r.rule,
   coalesce(r.verdict, CASE WHEN coalesce(h.distrust, 0) > coalesce(h.trust, 0) THEN 'block' ELSE 'allow' END) AS verdict,
-  CAST(coalesce(h.trust, 0) AS BIGINT) AS trust, CAST(coalesce(h.distrust, 0) AS BIGINT) AS distrust
+  CAST(coalesce(h.trust, 0) // {urls.UNIT // 10**12} AS BIGINT) AS trust,
+  CAST(coalesce(h.distrust, 0) // {urls.UNIT // 10**12} AS BIGINT) AS distrust
 FROM ruled r LEFT JOIN of_host h USING (host)"""
 
 

@@ -6,7 +6,9 @@ absolute links of the pages, to hosts with and without pages of their own, and,
 link each other absolutely, a host and the host directly above it are joined both ways where both have
 pages. A host counts as a seed once for each of its pages under a rule, and once for each linked address
 (host and path) under a rule that has no page. Scores are whole numbers (shares of
-``UNIT``), so they do not depend on the order of additions. A host is blocked where its distrust exceeds
+``UNIT``), so they do not depend on the order of additions; ``UNIT`` is large enough for a page's share of
+10^11 seeds to pass many hops. Links are read in any case and with blanks around ``=``; a user part and a
+default port of their host do not count. A host is blocked where its distrust exceeds
 its trust; a host that neither reaches is allowed.
 
 A null url or one without ``://`` has empty host and path, fits no rule and is allowed. Null html has no
@@ -17,6 +19,7 @@ Further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,14 +28,17 @@ from aerolake.llm import common
 
 # (verdict, host and path): a rule fits its host and all subdomains where the path starts with its own.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-UNIT = 10**12
+UNIT = 10**30
+SCORE = "decimal(38, 0)"
 DAMPING = 85  # per cent
 ROUNDS = 10
 CUT_EVERY = 5
 # Fixed: links with a host in markup.
-LINK = r"""(?:href|src)=["']?(?:https?:)?//([^/?#"'> ]+)"""
+LINK = r"""(?i)(?:href|src)[ \t\r\n]*=[ \t\r\n]*["']?(?:https?:)?//([^/?#"'> ]+)"""
 # The same with the path.
 TARGET = LINK + r"""([^?#"'> ]*)"""
+# Fixed: what stands before and after a linked host without naming another one.
+USER, PORT = "^.*@", ":(80|443)?$"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -78,7 +84,8 @@ def linked(pages: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
     host, _ = split_url(F.col("url"))
     found = F.array_distinct(F.regexp_extract_all("html", F.lit(TARGET), F.lit(0)))
     rows = pages.select(host.alias("source"), F.explode(found).alias("link")).where("source <> ''")
-    target = F.translate(F.regexp_extract("link", TARGET, 1), UPPER, LOWER)
+    target = F.regexp_replace(F.regexp_replace(F.regexp_extract("link", TARGET, 1), USER, ""), PORT, "")
+    target = F.translate(target, UPPER, LOWER)
     rows = rows.select("source", target.alias("target"), F.regexp_extract("link", TARGET, 2).alias("path"))
     _, verdict = decide(F.col("target"), F.col("path"), rules)
     rows = rows.withColumn("verdict", verdict)
@@ -111,19 +118,25 @@ def seed_hosts(ruled: DataFrame, links: DataFrame, hosts: DataFrame) -> DataFram
     )
 
 
+def whole_part(top: Column, by: Column) -> Column:
+    """Whole-number division of scores, exact to the last digit."""
+    return ((top - top % by) / by).cast(SCORE)
+
+
 def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: int = DAMPING) -> DataFrame:
     """(kind, host, score) after ``rounds`` steps of personalised PageRank from (kind, host, seed) over
     (kind, source, target); kinds do not mix. What reaches a host without edges ends there."""
     degree = edges.groupBy("kind", "source").agg(F.count("*").alias("degree"))
     out = common.keep(edges.join(degree, ["kind", "source"]))
-    seeds = common.keep(seeds)
+    seeds = common.keep(seeds.withColumn("seed", F.col("seed").cast(SCORE)))
     scores = seeds.select("kind", "host", F.col("seed").alias("score"))
-    back = seeds.select("kind", "host", F.expr(f"seed * {100 - damping} div 100").alias("score"))
+    back = seeds.select("kind", "host", whole_part(F.col("seed") * (100 - damping), F.lit(100)).alias("score"))
+    step = whole_part(F.col("score") * damping, 100 * F.col("degree")).alias("score")
     for turn in range(1, rounds + 1):
         spread = out.join(scores.withColumnRenamed("host", "source"), ["kind", "source"]).select(
-            "kind", F.col("target").alias("host"), F.expr(f"score * {damping} div (100 * degree)").alias("score")
+            "kind", F.col("target").alias("host"), step
         )
-        scores = spread.unionByName(back).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        scores = spread.unionByName(back).groupBy("kind", "host").agg(F.sum("score").cast(SCORE).alias("score"))
         if turn % CUT_EVERY == 0 and turn < rounds:
             scores = common.keep(scores)
     return scores
@@ -153,18 +166,18 @@ def judge(
     for kind, count in (("allow", "allowed"), ("block", "blocked")):
         part = UNIT // max(1, total[kind] or 0)
         made = starts.where(F.col(count) > 0).select(
-            F.lit(kind).alias("kind"), "host", (F.col(count) * F.lit(part)).cast("long").alias("seed")
+            F.lit(kind).alias("kind"), "host", (F.col(count) * F.lit(Decimal(part))).cast(SCORE).alias("seed")
         )
         seeds = made if seeds is None else seeds.unionByName(made)
     scores = propagate(seeds, edges, rounds, damping)
     of_host = scores.groupBy("host").agg(
         *[
-            F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0)).alias(name)
+            F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0)).cast(SCORE).alias(name)
             for k, name in (("allow", "trust"), ("block", "distrust"))
         ]
     )
     named = ruled.join(of_host, "host", "left")
-    trust, distrust = (F.coalesce(F.col(c), F.lit(0)) for c in ("trust", "distrust"))
+    trust, distrust = (F.coalesce(F.col(c), F.lit(0)).cast(SCORE) for c in ("trust", "distrust"))
     own = F.when(distrust > trust, "block").otherwise("allow")
     return named.select(
         "page_id", "host", "path", "rule", F.coalesce("verdict", own).alias("verdict"),

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -96,3 +97,31 @@ def test_an_address_counts_once(spark):
     made = {r.page_id: r for r in urls.judge(pages, rounds=1).collect()}
     assert made[3].distrust == made[4].distrust == urls.UNIT // 2 * 15 // 100
     assert made[1].distrust == made[2].distrust == urls.UNIT // 2 * 85 // 200
+
+
+def test_links_in_any_form(spark):
+    """Case, blanks around the sign, a user part and a default port hide no host; another port is another server."""
+    links = ['HREF="//bad.net/"', "href = 'HTTP://bad.net/'", 'Src=\n"https://user:word@BAD.net:443/"', "href=//bad.net:80"]
+    rows = [(i, f"http://h{i}.com/", f"<a {link}>") for i, link in enumerate(links)]
+    rows += [(8, "http://bad.net/", ""), (9, "http://h9.com/", '<a href="//bad.net:81/">')]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    made = {r.page_id: r.verdict for r in urls.judge(pages).collect()}
+    assert made == {0: "block", 1: "block", 2: "block", 3: "block", 8: "block", 9: "allow"}
+
+
+def test_a_page_among_very_many_seeds_is_heard(spark):
+    """One of 10^11 seed pages still reaches hosts behind three hubs of 1,000 links each."""
+    hops = [("a", "b"), ("b", "c"), ("c", "d")]
+    edges = [("allow", s, t) for s, t in hops] + [("allow", s, f"{s}{i}") for s, _ in hops for i in range(999)]
+    seeds = [("allow", "a", Decimal(urls.UNIT // 10**11))]
+    made = urls.propagate(
+        spark.createDataFrame(seeds, f"kind string, host string, seed {urls.SCORE}"),
+        spark.createDataFrame(edges, "kind string, source string, target string"),
+        rounds=4,
+    )
+    share = urls.UNIT // 10**11 * 15 // 100
+    expected = {"a": share}
+    for s, t in hops:
+        expected[t] = expected[s] * 85 // 100_000
+    scores = {r.host: r.score for r in made.collect()}
+    assert {h: scores[h] for h in expected} == expected and expected["d"] > 10**6
