@@ -42,6 +42,9 @@ SOURCE_BUCKETS = 32
 BANDS = 24
 PASSES = 12
 LINE_PASSES = 8
+# Rows of features that a task of a pass reads, about 10 MB, and how many tasks there may be in any case.
+TASK_ROWS = 50_000
+LEAST_TASKS = 8
 # Good means at least this probability.
 THRESHOLD = 0.5
 
@@ -219,7 +222,9 @@ def fit_views(
     pool = rows.join(marked, "doc_id", "left_anti")
     if pool_rows is not None:
         pool = common.first_in_order(pool.where(doc_id.isNotNull()), doc_id, pool_rows)
-    pool = common.keep(pool.select(*VIEWS)) if rounds else None
+    if rounds:
+        pool = common.keep(pool.select(*VIEWS))
+        pool = pool.coalesce(max(LEAST_TASKS, pool.count() // TASK_ROWS))
 
     taught: dict[str, DataFrame | None] = {name: None for name in VIEWS}
     for turn in range(rounds + 1):
@@ -240,7 +245,8 @@ def _lesson(pool: DataFrame, chance: Column, learner: str, confident: float, mos
     sure = pool.where((chance >= confident) | (chance <= 1 - confident))
     sure = sure.select(learner, (chance >= 0.5).cast("double").alias("label"))
     if learner == "places":
-        sure = common.keep(sure.groupBy(learner, "label").agg(F.count("*").cast("double").alias("n")).coalesce(1))
+        # Bounded once it is grouped, so the passes over it are one small task each.
+        sure = common.keep(sure.groupBy(learner, "label").agg(F.count("*").cast("double").alias("n"))).coalesce(1)
         total = sure.agg(F.sum("n")).first()[0] or 0
     else:
         sure = sure.withColumn("n", F.lit(1.0))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +112,81 @@ def test_nearness_to_the_second_person():
     of = dict(zip(toxicity.FEATURES, near))
     assert of["near_hits"] > 0 and of["nearest"] > dict(zip(toxicity.FEATURES, far))["nearest"]
     assert reader.read("") == [0.0] * len(toxicity.FEATURES)
+
+
+def plain_content(text):
+    """The content features by plain loops over words and characters."""
+    words = text.split()
+    if not words:
+        return [0.0] * quality.CONTENT
+    n, chars = len(words), len(text)
+    sentences, held = [], ""
+    for c in text + "\n":
+        if c in ".!?\n":
+            sentences.append(held)
+            held = ""
+        elif held or not c.isspace() or not sentences:
+            held += c
+    sentences = [s for s in sentences if s]
+    marks = [c for c in text if not (c.isalnum() or c == "_" or c.isspace() or c in ".,")]
+    at, doubled = 0, 0
+    while at + 1 < chars:
+        c = text[at]
+        if c == text[at + 1] and not (c.isalnum() or c == "_" or c.isspace()):
+            doubled, at = doubled + 1, at + 2
+        else:
+            at += 1
+    return [
+        1.0,
+        math.log1p(n) / 10,
+        sum(words[i] == words[i + 1] for i in range(n - 1)) / n,
+        max(words.count(w) for w in words) / n,
+        1 - len(set(words)) / n,
+        1 - len(set(sentences)) / max(1, len(sentences)),
+        sum(len(w) > 1 and w.isupper() for w in words) / n,
+        sum(not w[0].isalnum() and not w[-1].isalnum() for w in words) / n,
+        len(marks) / chars,
+        min(1.0, doubled / n),
+        max((marks.count(c) for c in marks), default=0) / n,
+        sum(c.isalpha() for c in text) / chars,
+        sum(c.isdigit() for c in text) / chars,
+        min(sum(map(len, words)) / n, 40) / 10,
+        min(n / max(1, len(sentences)), 200) / 100,
+    ]
+
+
+def test_content_features_against_plain_loops():
+    texts = ["", "One. Two! Two!  || a | b || 12 12", "ALL CAPS caps!!\n\n- a\n- a\n", "no sentence, only words words", "$$$ ##"]
+    for text in texts:
+        assert quality.read_content(text) == pytest.approx(plain_content(text)), text
+
+
+def test_every_unlabelled_row_may_teach(spark):
+    """Rows without a label and without an id are the pool; a label's row is not in it, names may clash."""
+    schema = "doc_id long, text string, lang string, content string, places string, `row` string, features string"
+    rows = [(i, f"plain words here {i}." if i % 2 else "$$ || $$ || ##", "en" if i % 2 else "xx", *"abcd") for i in range(80)]
+    rows += [(None, "plain words here.", "en", *"abcd"), (None, "$$ || $$ ##", "xx", *"abcd")]
+    docs = spark.createDataFrame(rows, schema)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    model = quality.fit(docs, labels, rounds=1)
+    scored = quality.with_score(docs, model, "score")
+    assert scored.columns == [*docs.columns, "score"]
+    assert all((r.score >= quality.THRESHOLD) == (r.lang == "en") and r.content == "a" for r in scored.collect())
+
+
+def test_lexicon_against_plain_counts(spark):
+    """Terms by the lower bound of their log-odds; the same share of a small language is as good."""
+    texts = [(f"good text number {i} alpha", 0) for i in range(600)] + [(f"you moron {i}", 1) for i in range(20)]
+    texts += [(f"du trottel {i}", 1) for i in range(8)] + [("rare", 1), ("rare x", 1)]
+    made = toxicity.lexicon(spark.createDataFrame(texts, "text string, label int"))
+    counts = {}
+    for text, label in texts:
+        for term in set().union(*map(toxicity.terms, toxicity.TOKEN.findall(text.lower()))):
+            counts.setdefault(term, [0, 0])[label] += 1
+    expected = {}
+    for term, (clean, toxic) in counts.items():
+        weight = math.log((toxic + 0.5) / 31) - math.log((clean + 0.5) / 601)
+        error = math.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
+        if toxic >= toxicity.LEAST_TEXTS and weight - toxicity.SURE * error >= toxicity.LEAST_WEIGHT:
+            expected[term] = pytest.approx(weight)
+    assert made == expected and "moron." in made and "trottel." in made and "rare." not in made
